@@ -36,7 +36,7 @@ def clean_features(df: DataFrame, features: Iterable[str]) -> DataFrame:
 def chronological_split(df: DataFrame, by: tuple[str, ...], share: float = TRAIN_SHARE) -> DataFrame:
     """Add ``split``: the first ``floor(rows * share)`` rows in time are ``train``, the rest ``test``."""
     cut = ordered_cut(df, by, share)
-    return cut.withColumn("split", F.when("in_head", "train").otherwise("test")).drop("in_head")
+    return cut.withColumn("split", F.when(F.col("in_head"), "train").otherwise("test")).drop("in_head")
 
 
 def validation_split(train: DataFrame, by: tuple[str, ...], share: float = VALIDATION_SHARE) -> DataFrame:

@@ -14,13 +14,14 @@ from voltaria.operators.ordered import Series, running_sum, windowed
 TRACKED = ("revenue_gain_pct", "utilization_rate", "congestion_rate", "wait_time_proxy", "pricing_efficiency_score")
 
 
-def episode_metrics(df: DataFrame) -> DataFrame:
+def episode_metrics(df: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
     """Episode rows with the missing figures derived and unknown columns packed as JSON text.
 
     Efficiency is gain / (congestion + 1); wait is congestion x utilization x 10, with congestion in
     place of a missing utilization.
     """
-    known = {*TRACKED, "episode", "timestamp"}
+    kept = [*keys, "timestamp", "episode"]
+    known = {*TRACKED, *kept}
     have = set(df.columns)
     extras = [c for c in df.columns if c not in known]
 
@@ -30,7 +31,7 @@ def episode_metrics(df: DataFrame) -> DataFrame:
     congestion = of("congestion_rate")
     load = F.coalesce(of("mean_utilization"), congestion)
     return df.select(
-        *[c for c in ("timestamp", "episode") if c in have],
+        *[c for c in kept if c in have],
         of("revenue_gain_pct").alias("revenue_gain_pct"),
         of("utilization_rate").alias("utilization_rate"),
         congestion.alias("congestion_rate"),
@@ -60,7 +61,7 @@ def history(episodes: DataFrame, metric: str, n: int = 100, seq: str = "episode"
     return episodes.select(seq, *stamp, metric).orderBy(F.desc(seq)).limit(n).orderBy(seq)
 
 
-def _newest(metrics: DataFrame, keys: list[str], window: int) -> DataFrame:
+def newest(metrics: DataFrame, keys: list[str], window: int) -> DataFrame:
     """The newest rows of each group, numbered from the newest; Spark prunes by rank before the shuffle."""
     recent = Window.partitionBy(*keys).orderBy(F.desc("seq"))
     return metrics.withColumn("_age", F.row_number().over(recent)).where(F.col("_age") <= window)
@@ -73,7 +74,7 @@ def drift(metrics: DataFrame, keys: Iterable[str] = ("metric",), config: Monitor
     (population std). Too few rows, too few values or a flat history is no drift.
     """
     by = list(keys)
-    last = _newest(metrics, by, config.window)
+    last = newest(metrics, by, config.window)
     rows = last.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("values"))
     known = last.where(F.col("value").isNotNull())
     # At most `window` rows per group are left here.
@@ -147,7 +148,7 @@ def should_retrain(
 def metric_summary(metrics: DataFrame, keys: Iterable[str] = ("metric",), window: int | None = 100) -> DataFrame:
     """count, mean, sample std, min, max and latest of the newest values of each group."""
     by = list(keys)
-    kept = metrics if window is None else _newest(metrics, by, window)
+    kept = metrics if window is None else newest(metrics, by, window)
     known = kept.where(F.col("value").isNotNull())
     return known.groupBy(*by).agg(
         F.count("value").alias("count"),

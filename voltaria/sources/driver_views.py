@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaria.functions.scalar import clip
+from voltaria.functions.scalar import clip, hours_between
 from voltaria.operators.ordered import Series, windowed
 
 STATION_SERIES = Series(keys=("station_id",), by=("ts",))
@@ -50,11 +50,15 @@ def station_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly panel per user: the same columns, with gaps where a user had no event."""
+    """Hourly panel per user: the same columns and a duration, with gaps where a user had no event."""
     grouped = (
         table(spark, sf_dir, "events")
         .groupBy(_period("hour", "ts").alias("ts"), F.col("user_id").alias("station_id"))
-        .agg(F.count(F.lit(1)).cast("double").alias("occupancy"), _cents("value").alias("volume"))
+        .agg(
+            F.count(F.lit(1)).cast("double").alias("occupancy"),
+            _cents("value").alias("volume"),
+            hours_between(F.min("ts"), F.max("ts")).alias("duration"),
+        )
     )
     price = clip(F.try_divide(F.col("volume"), F.col("occupancy")), 5.0, 30.0)
     return grouped.select(
@@ -62,6 +66,7 @@ def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         "station_id",
         "occupancy",
         "volume",
+        "duration",
         price.alias("price"),
         (F.lit(1) + F.col("station_id") % 3).cast("double").alias("capacity"),
     )

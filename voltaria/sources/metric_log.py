@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltaria.sources.panel import write_by_date
+
 
 def conform(df: DataFrame, schema: T.StructType, now: datetime | None = None) -> DataFrame:
     """The log's columns in order; a missing one is null, a missing timestamp is the current UTC time."""
@@ -25,7 +27,7 @@ def conform(df: DataFrame, schema: T.StructType, now: datetime | None = None) ->
 
 def append_log(df: DataFrame, path: str, schema: T.StructType, now: datetime | None = None) -> None:
     """Append rows, partitioned by date so that reads of recent days prune."""
-    conform(df, schema, now).withColumn("date", F.to_date("timestamp")).write.mode("append").partitionBy("date").parquet(path)
+    write_by_date(conform(df, schema, now), path, "timestamp")
 
 
 def read_log(

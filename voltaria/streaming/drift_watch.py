@@ -4,34 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from voltaria.config import MonitorConfig
-from voltaria.operators.monitor import drift
+from voltaria.operators.monitor import drift, newest
 
 
 class DriftWatch:
     """Appends each micro-batch to the log and writes the drift status of the affected groups.
 
-    A batch owns the folder ``batch=<id>`` in both tables and overwrites it, so a batch that is run
-    again after a failure leaves the same rows.
+    Drift looks at the newest ``window`` rows of a group, so only those are carried from batch to batch:
+    the cost of a batch does not grow with the log. A batch owns the folder ``batch=<id>`` of each table
+    and overwrites it, so a batch that is run again after a failure leaves the same rows.
     """
 
-    def __init__(self, log_path: str, status_path: str, keys: list[str], config: MonitorConfig = MonitorConfig()) -> None:
-        self.log_path = log_path
-        self.status_path = status_path
+    def __init__(self, root: str, keys: list[str], config: MonitorConfig = MonitorConfig()) -> None:
+        self.log_path = f"{root}/log"
+        self.recent_path = f"{root}/recent"
+        self.status_path = f"{root}/status"
         self.keys = keys
         self.config = config
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{self.log_path}/batch={batch_id}")
-        schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
-        log = spark.read.schema(schema).parquet(self.log_path).where(F.col("batch") <= batch_id)
-        touched = batch.select(*self.keys).distinct()
-        status = drift(log.join(touched, self.keys, "left_semi"), self.keys, self.config)
-        status.write.mode("overwrite").parquet(f"{self.status_path}/batch={batch_id}")
+        spark, schema = batch.sparkSession, batch.schema
+        own = f"{self.log_path}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(own)
+        arrived = spark.read.schema(schema).parquet(own)
+        known = arrived
+        if batch_id > 0:
+            known = arrived.unionByName(spark.read.schema(schema).parquet(f"{self.recent_path}/batch={batch_id - 1}"))
+        recent = f"{self.recent_path}/batch={batch_id}"
+        newest(known, self.keys, self.config.window).drop("_age").write.mode("overwrite").parquet(recent)
+        touched = spark.read.schema(schema).parquet(recent).join(arrived.select(*self.keys).distinct(), self.keys, "left_semi")
+        drift(touched, self.keys, self.config).write.mode("overwrite").parquet(f"{self.status_path}/batch={batch_id}")
 
     def writer(self, metrics: DataFrame, checkpoint: str) -> DataStreamWriter:
         return (
@@ -42,7 +47,7 @@ class DriftWatch:
 
     def latest_status(self, spark: SparkSession) -> DataFrame:
         """The newest status per group."""
-        rows = spark.read.option("mergeSchema", False).parquet(self.status_path)
+        rows = spark.read.parquet(self.status_path)
         values = [c for c in rows.columns if c not in (*self.keys, "batch")]
         newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("s"))
         return newest.select(*self.keys, "s.*")
