@@ -10,7 +10,7 @@ from voltaria.functions import demand as D
 from voltaria.functions import pricing as P
 from voltaria.functions import temporal as T
 from voltaria.queries.inputs import weekly_decisions
-from voltaria.queries.registry import R, query, rounded
+from voltaria.queries.registry import R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
 from voltaria.sources import driver_views as V
 
@@ -98,7 +98,7 @@ def _demand_sql() -> str:
 def demand_features(spark: SparkSession, sf: str) -> DataFrame:
     made = D.add_demand_features(V.station_panel(spark, sf), V.STATION_SERIES, windows=(12, 36))
     rolling = {c: 5 if "_std_" in c else 6 for c in made.columns if "_rolling_" in c}
-    return made.withColumns({c: F.round(c, d) + F.lit(0.0) for c, d in rolling.items()})
+    return made.withColumns({c: settle(c, d) for c, d in rolling.items()})
 
 
 @query(
@@ -123,7 +123,7 @@ def congestion_features(spark: SparkSession, sf: str) -> DataFrame:
     area = V.station_dim(spark, sf).select("station_id", "area")
     panel = V.station_panel(spark, sf).select("ts", "station_id", "occupancy", "capacity").join(area, "station_id")
     made = N.add_congestion_features(panel)
-    return made.withColumn("congestion_score", F.round("congestion_score", 9) + F.lit(0.0))
+    return made.withColumn("congestion_score", settle("congestion_score", 9))
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voltaria.operators import clean as C
 from voltaria.operators import quality as Q
 from voltaria.operators import tariff as X
-from voltaria.queries.inputs import weekly_decided
+from voltaria.queries.inputs import hourly_decided
 from voltaria.queries.registry import R, query, rounded
 from voltaria.queries.views_sql import with_views
 from voltaria.schemas import PRICING_DECISIONS, SESSIONS
@@ -201,30 +201,31 @@ def district_source(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "panel_dated_sink",
     with_views(
-        "SELECT CAST(ts AS DATE) AS day, count(*) AS n, sum(volume) AS volume FROM station_panel WHERE ts >= DATE '1999-01-01' GROUP BY 1",
-        "station_panel",
+        f"SELECT CAST(ts AS DATE) AS day, count(*) AS n, {R('sum(volume)', 4)} AS volume FROM hourly_panel WHERE ts >= DATE '2024-01-10' GROUP BY 1",
+        "hourly_panel",
     ),
 )
 def panel_dated_sink(spark: SparkSession, sf: str) -> DataFrame:
     """The panel written by day and read back with partition pruning."""
     path = scratch_path(spark, "panel")
-    P.write_by_date(V.station_panel(spark, sf), path)
-    recent = spark.read.parquet(path).where(F.col("date") >= F.lit("1999-01-01").cast("date"))
-    return recent.groupBy(F.col("date").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
+    P.write_by_date(V.hourly_panel(spark, sf), path)
+    recent = spark.read.parquet(path).where(F.col("date") >= F.lit("2024-01-10").cast("date"))
+    counted = recent.groupBy(F.col("date").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum("volume").alias("volume"))
+    return rounded(counted, 4)
 
 
 _RECORDS = """SELECT ts AS "timestamp", CAST(station_id AS VARCHAR) AS station_id, utilization,
     current_price AS baseline_price, new_price AS optimized_price, new_price - current_price AS price_delta,
     revenue_baseline AS revenue_old, revenue_new, revenue_gain * 100.0::DOUBLE AS revenue_gain_pct,
-    'rule' AS decision_source FROM weekly_decided"""
+    'rule' AS decision_source FROM hourly_decided"""
 
 
-@query("pricing_decision_log", with_views(_RECORDS, "weekly_decided"))
+@query("pricing_decision_log", with_views(_RECORDS, "hourly_decided"))
 def pricing_decision_log(spark: SparkSession, sf: str) -> DataFrame:
     """Decisions appended to the log in two batches and read back whole."""
     path = scratch_path(spark, "decisions")
-    records = X.decision_records(weekly_decided(spark, sf), "rule")
-    half = F.col("timestamp") < F.lit("1998-06-01").cast("timestamp_ntz")
+    records = X.decision_records(hourly_decided(spark, sf), "rule")
+    half = F.col("timestamp") < F.lit("2024-01-12").cast("timestamp_ntz")
     L.append_log(records.where(half), path, PRICING_DECISIONS)
     L.append_log(records.where(~half), path, PRICING_DECISIONS)
     return L.read_log(spark, path, PRICING_DECISIONS, limit=None)
@@ -234,11 +235,11 @@ def pricing_decision_log(spark: SparkSession, sf: str) -> DataFrame:
     "pricing_decisions_newest",
     with_views(
         f"SELECT * FROM ({_RECORDS}) WHERE decision_source = 'rule' ORDER BY \"timestamp\" DESC, station_id DESC LIMIT 500",
-        "weekly_decided",
+        "hourly_decided",
     ),
 )
 def pricing_decisions_newest(spark: SparkSession, sf: str) -> DataFrame:
-    records = L.conform(X.decision_records(weekly_decided(spark, sf), "rule"), PRICING_DECISIONS)
+    records = L.conform(X.decision_records(hourly_decided(spark, sf), "rule"), PRICING_DECISIONS)
     return L.newest(records, {"decision_source": "rule"}, 500, ("station_id",))
 
 

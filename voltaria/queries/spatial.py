@@ -10,7 +10,7 @@ from voltaria.operators import graph as G
 from voltaria.operators import metrics as M
 from voltaria.operators import spatial as S
 from voltaria.operators.ordered import windowed
-from voltaria.queries.registry import R, query, rounded
+from voltaria.queries.registry import R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
 from voltaria.sources import driver_views as V
 
@@ -42,7 +42,7 @@ def _lags_sql(missing: str) -> str:
 
 def _lagged(spark: SparkSession, sf: str, missing: str) -> DataFrame:
     made = S.add_spatial_lags(_panel(spark, sf), V.edges(spark, sf), missing=missing)
-    return made.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in made.columns if "_spatial_lag" in c})
+    return made.withColumns({c: settle(c, 6) for c in made.columns if "_spatial_lag" in c})
 
 
 @query("spatial_lags", _lags_sql("zero"))
@@ -86,43 +86,38 @@ def weighted_edges(spark: SparkSession, sf: str) -> DataFrame:
 def graph_windows(spark: SparkSession, sf: str) -> DataFrame:
     made = G.graph_windows(V.hourly_panel(spark, sf), 12, 2, key="station_id")
     x = F.col("features")
-    picked = made.select(
+    return made.select(
         "ts",
         "station_id",
         "target",
         F.size(x).alias("n"),
         x[0].alias("first_occupancy"),
         x[23].alias("last_volume"),
-        F.round(x[24], 9).alias("hour_sin") + F.lit(0.0),
-        F.round(x[26], 9).alias("weekday_norm") + F.lit(0.0),
+        settle(x[24], 9).alias("hour_sin"),
+        settle(x[26], 9).alias("weekday_norm"),
     )
-    return picked.toDF("ts", "station_id", "target", "n", "first_occupancy", "last_volume", "hour_sin", "weekday_norm")
+
+
+_HOPS = """,
+links AS (SELECT src, dst FROM edges UNION ALL SELECT DISTINCT node_id, node_id FROM district_panel),
+degrees AS (SELECT src AS node, CAST(count(*) AS DOUBLE) AS d FROM links GROUP BY 1),
+a AS (SELECT src, dst, 1.0::DOUBLE / sqrt(s.d * t.d) AS a FROM links JOIN degrees s ON src = s.node JOIN degrees t ON dst = t.node),
+h1 AS (SELECT ts, src AS node_id, sum(occupancy * a) AS x FROM district_panel JOIN a ON node_id = dst GROUP BY 1, 2),
+present AS (SELECT p.ts, p.node_id, h1.x FROM district_panel p JOIN h1 USING (ts, node_id)),
+h2 AS (SELECT ts, src AS node_id, sum(x * a) AS x FROM present JOIN a ON node_id = dst GROUP BY 1, 2)"""
 
 
 @query(
     "graph_propagation",
-    with_views(
-        f"""SELECT ts, node_id, occupancy, {R('h1', 6)} AS occupancy_hop_1, {R('h2', 6)} AS occupancy_hop_2
-        FROM (SELECT p.ts, p.node_id, p.occupancy, h1.x AS h1, h2.x AS h2 FROM district_panel p
-          LEFT JOIN h1 USING (ts, node_id) LEFT JOIN h2 USING (ts, node_id))""",
-        "district_panel",
-        "edges",
-    ).replace(
-        "\nSELECT ts, node_id, occupancy, (round(h1",
-        """,
-        links AS (SELECT src, dst FROM edges UNION ALL SELECT DISTINCT node_id, node_id FROM district_panel),
-        degrees AS (SELECT src AS node, CAST(count(*) AS DOUBLE) AS d FROM links GROUP BY 1),
-        a AS (SELECT src, dst, 1.0::DOUBLE / sqrt(s.d * t.d) AS a FROM links JOIN degrees s ON src = s.node JOIN degrees t ON dst = t.node),
-        h1 AS (SELECT ts, src AS node_id, sum(occupancy * a) AS x FROM district_panel JOIN a ON node_id = dst GROUP BY 1, 2),
-        present AS (SELECT p.ts, p.node_id, h1.x FROM district_panel p JOIN h1 USING (ts, node_id)),
-        h2 AS (SELECT ts, src AS node_id, sum(x * a) AS x FROM present JOIN a ON node_id = dst GROUP BY 1, 2)
-SELECT ts, node_id, occupancy, (round(h1""",
-    ),
+    with_views(_HOPS, "district_panel", "edges").replace(")\n,", "),", 1)
+    + f"""
+SELECT ts, node_id, occupancy, {R('h1.x', 6)} AS occupancy_hop_1, {R('h2.x', 6)} AS occupancy_hop_2
+FROM district_panel LEFT JOIN h1 USING (ts, node_id) LEFT JOIN h2 USING (ts, node_id)""",
 )
 def graph_propagation(spark: SparkSession, sf: str) -> DataFrame:
     panel = V.district_panel(spark, sf).select("ts", "node_id", "occupancy")
     made = G.propagated(panel, V.edges(spark, sf), "occupancy", 2)
-    return made.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in made.columns if "_hop_" in c})
+    return made.withColumns({c: settle(c, 6) for c in made.columns if "_hop_" in c})
 
 
 @query("graph_forecast")
