@@ -183,10 +183,16 @@ def _scenario_parts(revenue: Column, utilization: Column, config: TariffConfig)
     ]
 
 
-def fixed_scenario(df: DataFrame, by: Iterable[str] = (), price: float | None = None, config: TariffConfig = TariffConfig()) -> DataFrame:
-    """Revenue and load figures at one fixed price."""
+def fixed_scenario(
+    df: DataFrame,
+    by: Iterable[str] = (),
+    price: float | None = None,
+    config: TariffConfig = TariffConfig(),
+    extra: Iterable[Column] = (),
+) -> DataFrame:
+    """Revenue and load figures at one fixed price; ``extra`` aggregates ride in the same pass."""
     at = config.baseline_price if price is None else price
-    return df.groupBy(*by).agg(*_scenario_parts(F.lit(at) * F.col("volume"), _utilization(), config))
+    return df.groupBy(*by).agg(*_scenario_parts(F.lit(at) * F.col("volume"), _utilization(), config), *extra)
 
 
 def dynamic_scenario(decided: DataFrame, by: Iterable[str] = (), config: TariffConfig = TariffConfig()) -> DataFrame:

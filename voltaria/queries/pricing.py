@@ -169,10 +169,8 @@ def district_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: panel, utilization, congestion, revenue at the fixed price, per district."""
     dim = V.station_dim(spark, sf).select("station_id", "node_id", "region")
     rows = station_rows(spark, sf).join(dim, "station_id")
-    labelled = rows.withColumn("congested", (F.col("utilization_rate") > 0.8).cast("int"))
-    figures = X.fixed_scenario(labelled, ["node_id", "region"])
-    congested = labelled.groupBy("node_id", "region").agg(F.sum("congested").alias("congested_steps"))
-    return rounded(figures.join(congested, ["node_id", "region"]), **_SCENARIO_DIGITS)
+    congested = F.count_if(F.col("utilization_rate") > 0.8).alias("congested_steps")
+    return rounded(X.fixed_scenario(rows, ["node_id", "region"], extra=[congested]), **_SCENARIO_DIGITS)
 
 
 @query("hourly_rule_tariff", with_views(f"SELECT {_OUT} FROM hourly_decided", "hourly_decided"))
