@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from voltaria.functions.temporal import hour_angle, weekday_share
 from voltaria.operators.ordered import Series, windowed
-from voltaria.session import shared_dir
+from voltaria.session import broadcast_if_small, stage
 
 
 def weighted_edges(edges: DataFrame, epsilon: float = 1e-3) -> DataFrame:
@@ -61,34 +61,42 @@ def feature_count(window: int, temporal: bool = True) -> int:
 def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -> DataFrame:
     """``{column}_hop_{k}``: the value smoothed k times by the symmetric normalised adjacency with self loops.
 
-    One edge join and one aggregation per hop (simple graph convolution: the learned part comes after).
-    Beyond two hops the lineage is cut with a checkpoint in the shared folder.
+    One edge join and one aggregation per hop (simple graph convolution: the learned part comes after);
+    ``(ts, node_id)`` is unique. Every third hop is written to the shared folder to keep the plan short.
     """
-    links = edges.select("src", "dst")
+    links = edges.where(F.col("src") != F.col("dst")).select("src", "dst")
     loops = panel.select(F.col("node_id").alias("src")).distinct().withColumn("dst", F.col("src"))
-    full = links.where(F.col("src") != F.col("dst")).unionByName(loops)
+    full = links.unionByName(loops)
     degree = full.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).cast("double").alias("d"))
     scaled = (
         full.join(degree.select(F.col("node").alias("src"), F.col("d").alias("ds")), "src")
         .join(degree.select(F.col("node").alias("dst"), F.col("d").alias("dd")), "dst")
         .select("src", "dst", (F.lit(1.0) / F.sqrt(F.col("ds") * F.col("dd"))).alias("a"))
     )
-    if hops > 2:
-        shared_dir(panel.sparkSession)
-    out, current = panel, column
+    # Every hop reads the same links; they are found once.
+    scaled = broadcast_if_small(stage(scaled, "links"))
+    own = F.col("src") == F.col("dst")
+    current = panel.select("ts", "node_id", column)
+    carried = [column]
     for hop in range(1, hops + 1):
-        name = f"{column}_hop_{hop}"
-        sent = out.select("ts", F.col("node_id").alias("dst"), F.col(current).alias("x"))
-        smoothed = (
-            sent.join(scaled, "dst")
+        # The self loop brings a node's own values along and shows that it has a row in this step.
+        current = (
+            current.withColumnRenamed("node_id", "dst")
+            .join(scaled, "dst")
             .groupBy("ts", F.col("src").alias("node_id"))
-            .agg(F.sum(F.col("x") * F.col("a")).alias(name))
+            .agg(
+                F.bool_or(own).alias("_present"),
+                *[F.max(F.when(own, F.col(c))).alias(c) for c in carried],
+                F.sum(F.col(carried[-1]) * F.col("a")).alias(f"{column}_hop_{hop}"),
+            )
+            .where("_present")
+            .drop("_present")
         )
-        out = out.join(smoothed, ["ts", "node_id"], "left")
-        if hop > 2:
-            out = out.checkpoint()
-        current = name
-    return out
+        carried.append(f"{column}_hop_{hop}")
+        if hop % 3 == 0:
+            current = stage(current, "hop")
+    rest = [c for c in panel.columns if c not in ("ts", "node_id", column)]
+    return panel.select("ts", "node_id", *rest).join(current, ["ts", "node_id"]) if rest else current
 
 
 def fit_graph_forecast(panel: DataFrame, edges: DataFrame, hops: int = 2, window: int = 4, horizon: int = 1):
@@ -104,7 +112,8 @@ def fit_graph_forecast(panel: DataFrame, edges: DataFrame, hops: int = 2, window
         back=window - 1,
         ahead=horizon,
     ).dropna(subset=[*lagged, "target"])
-    ready = VectorAssembler(inputCols=list(lagged), outputCol="x").transform(made)
+    # Read by the fit and by the predictions.
+    ready = VectorAssembler(inputCols=list(lagged), outputCol="x").transform(stage(made, "samples"))
     model = LinearRegression(featuresCol="x", labelCol="target", predictionCol="prediction", regParam=0.01).fit(ready)
     return model, model.transform(ready).select("ts", "node_id", "target", "prediction")
 

@@ -55,7 +55,7 @@ def unified_hourly(sessions: DataFrame, panel: DataFrame, metrics: Iterable[str]
     joined = hourly_sessions(sessions).join(hourly_panel_means(panel, metrics), "ts", "full_outer")
     numbers = [c for c in joined.columns if c != "ts"]
     typed = joined.withColumns({c: F.col(c).cast("double") for c in numbers})
-    return interpolated(typed, Series(by=("ts",)), numbers)
+    return interpolated(typed, Series(by=("ts",), bounded=True), numbers)
 
 
 def utilization_histogram(panel: DataFrame, utilization: str = "utilization_rate", width: float = 0.2) -> DataFrame:

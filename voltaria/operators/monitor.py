@@ -68,20 +68,22 @@ def newest(metrics: DataFrame, keys: list[str], window: int) -> DataFrame:
 
 
 def drift(metrics: DataFrame, keys: Iterable[str] = ("metric",), config: MonitorConfig = MonitorConfig()) -> DataFrame:
-    """Per group: recent and historical mean, z-score and ``drifted``.
+    """Per group: recent and historical mean, z-score, ``drifted`` and the latest known value.
 
     Of the newest ``window`` rows, the latest quarter of the known values is compared with the rest
-    (population std). Too few rows, too few values or a flat history is no drift.
+    (population std). Too few rows, too few values or a flat history is no drift. All steps share the
+    shuffle of the first, which carries at most ``window`` rows per group and task.
     """
     by = list(keys)
     last = newest(metrics, by, config.window)
-    rows = last.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("values"))
-    known = last.where(F.col("value").isNotNull())
-    # At most `window` rows per group are left here.
-    order = Window.partitionBy(*by).orderBy("_age")
-    size = F.greatest(F.floor(F.count(F.lit(1)).over(Window.partitionBy(*by)) / 4), F.lit(1))
-    split = known.withColumn("_recent", F.row_number().over(order) <= size)
-    stats = split.groupBy(*by).agg(
+    group = Window.partitionBy(*by)
+    known = F.col("value").isNotNull()
+    size = F.greatest(F.floor(F.count("value").over(group) / 4), F.lit(1))
+    recent = known & (F.count("value").over(group.orderBy("_age").rowsBetween(Window.unboundedPreceding, 0)) <= size)
+    stats = last.withColumn("_recent", recent).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("value").alias("values"),
+        F.max_by(F.when(known, F.col("value")), F.when(known, F.col("seq"))).alias("latest"),
         F.avg(F.when(F.col("_recent"), F.col("value"))).alias("recent_mean"),
         F.avg(F.when(~F.col("_recent"), F.col("value"))).alias("historical_mean"),
         F.stddev_pop(F.when(~F.col("_recent"), F.col("value"))).alias("historical_std"),
@@ -91,11 +93,7 @@ def drift(metrics: DataFrame, keys: Iterable[str] = ("metric",), config: Monitor
     z = F.when(
         enough & moving, F.try_divide(F.abs(F.col("recent_mean") - F.col("historical_mean")), F.col("historical_std"))
     )
-    return (
-        rows.join(stats, by, "left")
-        .withColumn("z_score", z)
-        .withColumn("drifted", F.coalesce(F.col("z_score") > config.z_threshold, F.lit(False)))
-    )
+    return stats.withColumn("z_score", z).withColumn("drifted", F.coalesce(F.col("z_score") > config.z_threshold, F.lit(False)))
 
 
 def feedback(current: DataFrame, target: DataFrame, config: MonitorConfig = MonitorConfig()) -> DataFrame:
@@ -133,11 +131,9 @@ def should_retrain(
     """Per group: ``drifted`` on any metric, ``gain_low``, ``congestion_high`` and their union ``retrain``."""
     by = list(keys)
     drifts = drift(metrics, [*by, "metric"], config)
-    latest = latest_values(metrics, [*by, "metric"])
-    joined = drifts.join(latest, [*by, "metric"], "left")
-    low = (F.col("metric") == "revenue_gain_pct") & (F.col("value") < config.min_revenue_gain)
-    high = (F.col("metric") == "congestion_rate") & (F.col("value") > config.max_congestion_rate)
-    checks = joined.groupBy(*by).agg(
+    low = (F.col("metric") == "revenue_gain_pct") & (F.col("latest") < config.min_revenue_gain)
+    high = (F.col("metric") == "congestion_rate") & (F.col("latest") > config.max_congestion_rate)
+    checks = drifts.groupBy(*by).agg(
         F.bool_or("drifted").alias("drifted"),
         F.coalesce(F.bool_or(low), F.lit(False)).alias("gain_low"),
         F.coalesce(F.bool_or(high), F.lit(False)).alias("congestion_high"),

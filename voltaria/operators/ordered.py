@@ -10,7 +10,8 @@ operator here therefore splits the input:
   the next (row counts, last value, running sum) is one row per slice.
 
 Both ways give the same rows. Whether a key can exceed a task is read from the size statistics of the
-plan where those suffice; only a larger input is counted, with map-side partial counts.
+plan where those suffice. Only a larger input is counted, with map-side partial counts; one that is
+itself the result of shuffles is first written to the shared folder, so that they are not repeated.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltaria.session import plan_bytes
+from voltaria.session import input_bytes, is_derived, plan_bytes, stage
 
 MAX_HOT_KEYS = 1000
 MAX_SLICES = 4096
@@ -45,6 +46,8 @@ class Series:
     by: tuple[str, ...] = ("ts",)
     task_rows: int = 2_000_000
     task_bytes: int = 64 << 20
+    #: The rows have a bound of their own, such as one per hour: no check is needed.
+    bounded: bool = False
 
     def window(self, *extra: str, backward: bool = False) -> WindowSpec:
         order = [F.col(c).desc() if backward else F.col(c).asc() for c in self.by]
@@ -56,10 +59,19 @@ def same_keys(left: DataFrame, right: DataFrame, pairs: Iterable[tuple[str, str]
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
+def _fits(df: DataFrame, series: Series) -> bool:
+    """Whether all rows together fit one task: by the estimate, or because little is read at all."""
+    return plan_bytes(df) <= series.task_bytes or input_bytes(df) <= series.task_bytes // 4
+
+
 def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, DataFrame | None]:
     """The rows whose key fits one task, and the rows whose key does not."""
-    if plan_bytes(df) <= series.task_bytes:
+    if series.bounded or _fits(df, series):
         return df, None
+    if is_derived(df):
+        df = stage(df, "series")
+        if _fits(df, series):
+            return df, None
     if not series.keys:
         return (df, None) if df.count() <= series.task_rows else (None, df)
     # At most MAX_HOT_KEYS rows reach the driver; a key below the largest thousand holds < 0.1 % of all rows.
@@ -307,7 +319,7 @@ def quantiles(df: DataFrame, columns: Iterable[str], probabilities: Iterable[flo
     on distributed running counts over the distinct values instead.
     """
     names, points = list(columns), list(probabilities)
-    if plan_bytes(df.select(*names)) <= series.task_bytes:
+    if _fits(df.select(*names), series):
         return df.agg(
             F.struct(*[F.percentile(c, F.array(*[F.lit(p) for p in points])).alias(c) for c in names]).alias("q")
         ).scalar()

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltaria.session import broadcast_if_small
+
 SPATIAL_COLUMNS = ("occupancy", "volume", "price", "utilization_rate")
 
 
@@ -49,13 +51,13 @@ def add_spatial_lags(
         ]
 
     around = (
-        values.join(edges, "dst")
+        values.join(broadcast_if_small(edges), "dst")
         .groupBy("ts", F.col("src").alias("node_id"))
         .agg(*[p for c in names for p in parts(c)])
     )
     joined = panel.join(around, ["ts", "node_id"], "left")
     if missing == "zero":
-        joined = joined.join(node_weights(edges), "node_id", "left")
+        joined = joined.join(broadcast_if_small(node_weights(edges)), "node_id", "left")
 
     def mean(total: str, by: Column) -> Column:
         return F.coalesce(F.try_divide(F.col(total), by.cast("double")), F.lit(0.0))
@@ -81,5 +83,5 @@ def neighbor_correlation(panel: DataFrame, edges: DataFrame, column: str = "volu
     left = panel.select("ts", F.col("node_id").alias("src"), F.col(column).alias("x"))
     right = panel.select("ts", F.col("node_id").alias("dst"), F.col(column).alias("y"))
     return (
-        left.join(pairs, "src").join(right, ["ts", "dst"]).groupBy("src", "dst").agg(F.corr("x", "y").alias("correlation"))
+        left.join(broadcast_if_small(pairs), "src").join(right, ["ts", "dst"]).groupBy("src", "dst").agg(F.corr("x", "y").alias("correlation"))
     )

@@ -105,14 +105,17 @@ def best_actions(df: DataFrame, config: TariffConfig = TariffConfig()) -> DataFr
     """
     base = df.withColumn("utilization", _utilization())
 
-    def scored(a: Column) -> Column:
-        o = step_outcome(F.col("current_price"), F.col("volume"), F.col("utilization"), a["change"], config)
+    def scored(index: int, change: float, name: str) -> Column:
+        o = step_outcome(F.col("current_price"), F.col("volume"), F.col("utilization"), F.lit(change), config)
+        # Compared at nine digits, so that equal rewards tie whatever their last bits.
+        rank = F.floor(o["reward"] * F.lit(1e9) + F.lit(0.5))
         return F.struct(
-            F.round(o["reward"], 9).alias("rank"), (-F.abs(a["change"])).alias("calm"), a["change"].alias("change"),
-            a["action"].alias("action"), a["name"].alias("name"),
+            rank.alias("rank"), F.lit(-abs(change)).alias("calm"), F.lit(change).alias("change"),
+            F.lit(index).alias("action"), F.lit(name).alias("name"),
         )
 
-    best = F.array_max(F.transform(action_table(), scored))
+    # Written out per action: a lambda over an array would leave generated code.
+    best = F.greatest(*[scored(*a) for a in ACTIONS])
     chosen = base.withColumn("_b", best).select(*base.columns, "_b.action", "_b.change", "_b.name")
     return _with_outcome(chosen, df.columns, config)
 
@@ -151,8 +154,8 @@ def recommended_price(price_norm: Column, change: Column, config: TariffConfig =
     return clip(price * (F.lit(1.0) + change), config.min_price, config.max_price)
 
 
-def evaluate_policy(decided: DataFrame, by: Iterable[str] = ()) -> DataFrame:
-    """Mean and population std of the reward, revenues, gain and mean utilization."""
+def evaluate_policy(decided: DataFrame, by: Iterable[str] = (), extra: Iterable[Column] = ()) -> DataFrame:
+    """Mean and population std of the reward, revenues, gain and mean utilization; ``extra`` rides along."""
     total = decided.groupBy(*by).agg(
         F.avg("reward").alias("mean_reward"),
         F.stddev_pop("reward").alias("std_reward"),
@@ -160,6 +163,7 @@ def evaluate_policy(decided: DataFrame, by: Iterable[str] = ()) -> DataFrame:
         F.sum("revenue_baseline").alias("baseline_revenue"),
         F.avg("utilization").alias("mean_utilization"),
         F.count(F.lit(1)).alias("steps"),
+        *extra,
     )
     gain = (F.col("total_revenue") - F.col("baseline_revenue")) / (F.col("baseline_revenue") + F.lit(TINY)) * 100.0
     return total.withColumn("revenue_gain_pct", gain)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from voltaria.config import OFF_PEAK_HOURS, PEAK_HOURS, TariffConfig
 from voltaria.functions.scalar import in_hour_ranges, ratio
 from voltaria.operators.ordered import Series, quantiles, running_sum, windowed
+from voltaria.session import broadcast_if_small
 
 
 def kpi_summary(decided: DataFrame, region: str = "region", config: TariffConfig = TariffConfig()) -> DataFrame:
@@ -39,7 +40,7 @@ def cumulative_revenue(decided: DataFrame, ts: str = "ts") -> DataFrame:
         F.sum("revenue_baseline").alias("fixed"), F.sum("revenue_new").alias("dynamic")
     )
     return running_sum(
-        daily, Series(by=("day",)), {"fixed_total": F.col("fixed"), "dynamic_total": F.col("dynamic")}
+        daily, Series(by=("day",), bounded=True), {"fixed_total": F.col("fixed"), "dynamic_total": F.col("dynamic")}
     ).select("day", "fixed_total", "dynamic_total")
 
 
@@ -166,12 +167,10 @@ def kpi_trend(metrics: DataFrame, series: Series, window: int = 10) -> DataFrame
     )
 
 
-def drift_table(drifts: DataFrame, latest: DataFrame, keys: list[str]) -> DataFrame:
+def drift_table(drifts: DataFrame, keys: list[str]) -> DataFrame:
     """Current value, historical mean, z-score and status per metric."""
     status = F.when(F.col("drifted"), "drift").otherwise("stable")
-    return drifts.join(latest, keys, "left").select(
-        *keys, F.col("value").alias("current"), "historical_mean", "z_score", status.alias("status")
-    )
+    return drifts.select(*keys, F.col("latest").alias("current"), "historical_mean", "z_score", status.alias("status"))
 
 
 def demand_response(changes: DataFrame, width: float = 0.05) -> DataFrame:
@@ -202,7 +201,7 @@ def map_table(panel: DataFrame, dimension: DataFrame, view: str = "utilization",
         raise ValueError(f"unknown view {view!r}; choose from {tuple(views)}")
     sized = {"utilization": 20.0, "volume": 0.01, "price": 1.0, "congestion": 30.0}[view]
     value = panel.groupBy(station).agg(F.avg(views[view]).alias("value"))
-    return value.join(dimension, station).withColumn("size", F.lit(5.0) + F.col("value") * F.lit(sized))
+    return value.join(broadcast_if_small(dimension, one_row_per_key=True), station).withColumn("size", F.lit(5.0) + F.col("value") * F.lit(sized))
 
 
 def top_districts(panel: DataFrame, value: str, node: str = "node_id", n: int = 10) -> DataFrame:

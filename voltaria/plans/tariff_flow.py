@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from voltaria.config import TariffConfig
 from voltaria.operators import tariff as X
 from voltaria.operators.ordered import Series, windowed
+from voltaria.session import broadcast_if_small
 
 
 def decision_rows(panel: DataFrame, dimension: DataFrame, series: Series, station: str = "station_id") -> DataFrame:
@@ -23,7 +24,7 @@ def decision_rows(panel: DataFrame, dimension: DataFrame, series: Series, statio
         F.try_divide(F.col("fast_count").cast("double"), F.col("count").cast("double")).alias("fast_ratio"),
         F.col("cbd_flag").cast("double").alias("cbd_flag"),
     )
-    return forecast.join(kind, station).select(
+    return forecast.join(broadcast_if_small(kind, one_row_per_key=True), station).select(
         "ts",
         station,
         "occupancy",
@@ -39,10 +40,7 @@ def decision_rows(panel: DataFrame, dimension: DataFrame, series: Series, statio
 
 def episode_kpis(decided: DataFrame, by: Iterable[str], config: TariffConfig = TariffConfig()) -> DataFrame:
     """One monitored episode per group: gain, utilization and congestion."""
-    total = X.evaluate_policy(decided, by)
-    crowded = decided.groupBy(*by).agg(
-        F.avg((F.col("utilization") > config.surge_threshold).cast("double")).alias("congestion_rate")
-    )
-    return total.join(crowded, list(by)).select(
+    crowded = F.avg((F.col("utilization") > config.surge_threshold).cast("double")).alias("congestion_rate")
+    return X.evaluate_policy(decided, by, [crowded]).select(
         *by, "revenue_gain_pct", F.col("mean_utilization").alias("utilization_rate"), "congestion_rate"
     )

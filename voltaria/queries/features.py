@@ -12,6 +12,7 @@ from voltaria.functions import temporal as T
 from voltaria.queries.inputs import weekly_decisions
 from voltaria.queries.registry import R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
+from voltaria.session import broadcast_if_small
 from voltaria.sources import driver_views as V
 
 _PEAK = "(h >= 7 AND h < 10) OR (h >= 17 AND h < 21)"
@@ -121,7 +122,7 @@ def demand_features(spark: SparkSession, sf: str) -> DataFrame:
 )
 def congestion_features(spark: SparkSession, sf: str) -> DataFrame:
     area = V.station_dim(spark, sf).select("station_id", "area")
-    panel = V.station_panel(spark, sf).select("ts", "station_id", "occupancy", "capacity").join(area, "station_id")
+    panel = V.station_panel(spark, sf).select("ts", "station_id", "occupancy", "capacity").join(broadcast_if_small(area, one_row_per_key=True), "station_id")
     made = N.add_congestion_features(panel)
     return made.withColumn("congestion_score", settle("congestion_score", 9))
 

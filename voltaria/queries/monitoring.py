@@ -73,7 +73,7 @@ def metric_history(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def metric_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(K.drift(metric_rows(spark, sf), KEYS), 6, historical_std=5, z_score=5)
+    return rounded(K.drift(metric_rows(spark, sf), KEYS).drop("latest"), 6, historical_std=5, z_score=5)
 
 
 _TARGETS = {

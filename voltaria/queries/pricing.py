@@ -9,6 +9,7 @@ from voltaria.operators import tariff as X
 from voltaria.queries.inputs import hourly_decided, hourly_decisions, station_rows, weekly_decided, weekly_decisions
 from voltaria.queries.registry import R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
+from voltaria.session import broadcast_if_small
 from voltaria.sources import driver_views as V
 
 
@@ -35,7 +36,7 @@ def action_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _BEST = """SELECT {out} FROM (SELECT *, row_number() OVER (PARTITION BY station_id, ts
-    ORDER BY round(reward, 9) DESC, abs(change), change DESC) AS rn FROM {source}) WHERE rn = 1"""
+    ORDER BY floor(reward * 1e9 + 0.5::DOUBLE) DESC, abs(change), change DESC) AS rn FROM {source}) WHERE rn = 1"""
 
 
 @query("best_actions", with_views(_BEST.format(out=_OUT, source="weekly_actions"), "weekly_actions"))
@@ -168,7 +169,7 @@ def scenario_comparison(spark: SparkSession, sf: str) -> DataFrame:
 def district_kpis(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: panel, utilization, congestion, revenue at the fixed price, per district."""
     dim = V.station_dim(spark, sf).select("station_id", "node_id", "region")
-    rows = station_rows(spark, sf).join(dim, "station_id")
+    rows = station_rows(spark, sf).join(broadcast_if_small(dim, one_row_per_key=True), "station_id")
     congested = F.count_if(F.col("utilization_rate") > 0.8).alias("congested_steps")
     return rounded(X.fixed_scenario(rows, ["node_id", "region"], extra=[congested]), **_SCENARIO_DIGITS)
 

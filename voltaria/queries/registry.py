@@ -35,7 +35,8 @@ _OFF_CUT = 0.118034
 def settle(column: Column | str, digits: int = 9) -> Column:
     """A double rounded so that two engines agree on it; -0.0 becomes 0.0."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.round(value + F.lit(_OFF_CUT * 10.0**-digits), digits) + F.lit(0.0)
+    unit = F.lit(10.0**digits)
+    return F.rint(value * unit + F.lit(_OFF_CUT)) / unit + F.lit(0.0)
 
 
 def rounded(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
@@ -49,4 +50,4 @@ def rounded(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
 
 def R(expr: str, digits: int = 9) -> str:
     """The same rounding in SQL."""
-    return f"(round(({expr}) + {_OFF_CUT * 10.0**-digits!r}::DOUBLE, {digits}) + 0.0::DOUBLE)"
+    return f"(round(({expr}) * 1e{digits} + {_OFF_CUT}::DOUBLE) / 1e{digits} + 0.0::DOUBLE)"

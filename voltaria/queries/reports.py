@@ -13,6 +13,7 @@ from voltaria.queries.inputs import hourly_decided, hourly_rows, metric_rows, st
 from voltaria.queries.monitoring import _DRIFT, KEYS
 from voltaria.queries.registry import R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
+from voltaria.session import broadcast_if_small
 from voltaria.sources import driver_views as V
 
 _OFF = "(hour(ts) >= 22 OR hour(ts) < 7)"
@@ -41,7 +42,7 @@ _CROWDED = _share("utilization > 0.8::DOUBLE")
 )
 def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
     region = V.station_dim(spark, sf).select("station_id", "region")
-    made = M.kpi_summary(weekly_decided(spark, sf).join(region, "station_id"))
+    made = M.kpi_summary(weekly_decided(spark, sf).join(broadcast_if_small(region, one_row_per_key=True), "station_id"))
     return rounded(made, 9, dynamic_revenue=3, fixed_revenue=3, energy=3, revenue_gain_pct=6, pricing_efficiency=6)
 
 
@@ -265,8 +266,7 @@ def kpi_trend(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def drift_table(spark: SparkSession, sf: str) -> DataFrame:
-    metrics = metric_rows(spark, sf)
-    made = M.drift_table(K.drift(metrics, KEYS), K.latest_values(metrics, KEYS), KEYS)
+    made = M.drift_table(K.drift(metric_rows(spark, sf), KEYS), KEYS)
     return made.withColumns({"historical_mean": settle("historical_mean", 6), "z_score": settle("z_score", 5)})
 
 
@@ -324,7 +324,7 @@ _TOP = """SELECT node_id, value FROM (SELECT node_id, round(avg({0}), 6) AS valu
 @query("top_utilization", with_views(_TOP.format("utilization_rate", clip_util()), "station_panel", "station_dim"))
 def top_utilization(spark: SparkSession, sf: str) -> DataFrame:
     node = V.station_dim(spark, sf).select("station_id", "node_id")
-    return M.top_districts(station_rows(spark, sf).join(node, "station_id"), "utilization_rate")
+    return M.top_districts(station_rows(spark, sf).join(broadcast_if_small(node, one_row_per_key=True), "station_id"), "utilization_rate")
 
 
 @query(
@@ -335,7 +335,7 @@ def top_utilization(spark: SparkSession, sf: str) -> DataFrame:
 )
 def top_congestion(spark: SparkSession, sf: str) -> DataFrame:
     node = V.station_dim(spark, sf).select("station_id", "node_id")
-    rows = station_rows(spark, sf).join(node, "station_id")
+    rows = station_rows(spark, sf).join(broadcast_if_small(node, one_row_per_key=True), "station_id")
     labelled = rows.withColumn("congestion_label", congestion_label(F.col("utilization_rate")).cast("double"))
     return M.top_districts(labelled, "congestion_label")
 
@@ -351,7 +351,7 @@ def _segments(name: str, test: str) -> str:
 
 def _segmented(spark: SparkSession, sf: str, name: str, test) -> DataFrame:
     dim = V.station_dim(spark, sf).select("station_id", "cbd_flag", "dynamic_pricing", "fast_count", "count")
-    made = M.segment_compare(station_rows(spark, sf).join(dim, "station_id"), test, name)
+    made = M.segment_compare(station_rows(spark, sf).join(broadcast_if_small(dim, one_row_per_key=True), "station_id"), test, name)
     return rounded(made, revenue=3)
 
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -52,4 +53,39 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def plan_bytes(df: DataFrame) -> int:
     """Size that Catalyst estimates for a frame, from file sizes; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return int(str(_optimized(df).stats().sizeInBytes()))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything a frame reads. Joins multiply the estimate of :func:`plan_bytes`, not this one."""
+    leaves = _optimized(df).collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+BROADCAST_BYTES = 16 << 20
+
+
+def broadcast_if_small(df: DataFrame, one_row_per_key: bool = False) -> DataFrame:
+    """Mark a join side for broadcast if its size is known to be small; else Spark picks the join.
+
+    The check uses Catalyst's estimate. A dimension with one row per key cannot outgrow the files it is
+    read from, while the estimate multiplies the sizes of the tables it joins: there the files count.
+    """
+    size = input_bytes(df) if one_row_per_key else plan_bytes(df)
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def is_derived(df: DataFrame) -> bool:
+    """Whether reading the frame again would repeat a shuffle, and not just a scan."""
+    nodes = [_optimized(df)]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName().split()[0] in ("Aggregate", "Join", "Window", "Sort", "RepartitionByExpression", "Distinct"):
+            return True
+        children = node.children()
+        nodes.extend(children.apply(i) for i in range(children.size()))
+    return False
+
+
+def _optimized(df: DataFrame):
+    return df._jdf.queryExecution().optimizedPlan()

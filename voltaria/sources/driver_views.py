@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from voltaria.functions.scalar import clip, hours_between
 from voltaria.operators.ordered import Series, windowed
+from voltaria.session import broadcast_if_small
 
 STATION_SERIES = Series(keys=("station_id",), by=("ts",))
 DISTRICT_SERIES = Series(keys=("node_id",), by=("ts",))
@@ -26,8 +27,8 @@ def _period(unit: str, ts: str):
 
 
 def _cents(column: str):
-    """Exact money sum: doubles added in task order would not repeat."""
-    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+    """Exact money sum over whole cents: doubles added in task order would not repeat."""
+    return F.sum(F.rint(F.col(column) * F.lit(100.0)).cast("long")) / F.lit(100.0)
 
 
 def station_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,20 +105,20 @@ def district_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("l_quantity").alias("volume"),
-            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("money"),
+            F.sum(F.rint(F.col("l_extendedprice") * F.lit(100.0)).cast("long")).alias("cents"),
         )
     )
     grouped = (
-        weekly.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        weekly.join(broadcast_if_small(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("ts", "node_id")
         .agg(
             F.sum("n").cast("double").alias("occupancy"),
             F.sum("volume").alias("volume"),
-            F.sum("money").cast("double").alias("_money"),
+            (F.sum("cents") / F.lit(100.0)).alias("_money"),
         )
     )
     price = clip(F.try_divide(F.col("_money"), F.col("volume")) / F.lit(100.0), 5.0, 30.0)
-    return grouped.withColumn("price", price).join(capacity, "node_id").select(
+    return grouped.withColumn("price", price).join(broadcast_if_small(capacity), "node_id").select(
         "ts", "node_id", "occupancy", "volume", "price", "capacity"
     )
 
