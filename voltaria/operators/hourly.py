@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltaria.operators.ordered import Series, interpolated
+from voltaria.operators.ordered import Series, interpolated, windowed
 
 PANEL_METRICS = ("occupancy", "volume", "duration", "price")
 
@@ -17,10 +17,17 @@ def truncated(unit: str, ts: str) -> Column:
 
 
 def with_empty_steps(df: DataFrame, ts: str = "ts", step: str = "1 hour") -> DataFrame:
-    """Add a row for every step between the first and the last one, nulls elsewhere."""
-    ends = df.agg(F.min(ts).alias("first"), F.max(ts).alias("last")).where(F.col("first").isNotNull())
-    spine = ends.select(F.explode(F.sequence("first", "last", F.expr(f"INTERVAL {step}"))).alias(ts))
-    return spine.join(df, ts, "left")
+    """Add a row for every step between the first and the last one, nulls elsewhere.
+
+    ``df`` has one row per step at most. Each row emits the empty steps up to the next one, so the
+    input is read once.
+    """
+    length = F.expr(f"INTERVAL {step}")
+    ahead = windowed(df, Series(by=(ts,), bounded=True), {"_next": lambda w: F.lead(ts).over(w)}, ahead=1)
+    steps = F.sequence(F.col(ts), F.coalesce(F.col("_next") - length, F.col(ts)), length)
+    spread = ahead.withColumn("_step", F.explode(steps))
+    values = [F.when(F.col("_step") == F.col(ts), F.col(c)).alias(c) for c in df.columns if c != ts]
+    return spread.select(F.col("_step").alias(ts), *values)
 
 
 def hourly_sessions(sessions: DataFrame) -> DataFrame:

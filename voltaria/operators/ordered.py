@@ -323,6 +323,8 @@ def quantiles(df: DataFrame, columns: Iterable[str], probabilities: Iterable[flo
         return df.agg(
             F.struct(*[F.percentile(c, F.array(*[F.lit(p) for p in points])).alias(c) for c in names]).alias("q")
         ).scalar()
+    if is_derived(df):
+        df = stage(df.select(*names), "quantiles")
     return F.struct(*[_ranked_quantiles(df, c, points, series).alias(c) for c in names])
 
 
@@ -348,6 +350,8 @@ def ordered_cut(df: DataFrame, by: tuple[str, ...], share: float, series: Series
     The split compares each row with the cut row, found by rank among the distinct values of the first
     column and then, within that value, of the next; no position is assigned to every row.
     """
+    if is_derived(df) and not _fits(df, series):
+        df = stage(df, "cut")
     wanted = F.floor(df.agg(F.count(F.lit(1)).alias("n")).scalar() * F.lit(share))
     inside: Column = F.lit(False)
     level, prefix = df, []

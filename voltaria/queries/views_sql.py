@@ -66,8 +66,11 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "edges": (
         (),
-        """SELECT a.n_nationkey AS src, b.n_nationkey AS dst, CAST(abs(a.n_nationkey - b.n_nationkey) AS DOUBLE) AS dist
-        FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey <> b.n_nationkey""",
+        """SELECT src, dst, CAST(abs(dst - src) AS DOUBLE) AS dist FROM (
+          SELECT src, dst FROM (SELECT n_nationkey AS src, lead(n_nationkey) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS dst FROM nation)
+          UNION ALL
+          SELECT dst, src FROM (SELECT n_nationkey AS src, lead(n_nationkey) OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS dst FROM nation))
+        WHERE src IS NOT NULL AND dst IS NOT NULL""",
     ),
     "sessions": (
         (),

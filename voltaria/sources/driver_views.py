@@ -124,15 +124,14 @@ def district_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directed links between the nations of one region; distance is the key difference."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    other = nation.select(F.col("n_nationkey").alias("dst"), "n_regionkey")
-    return (
-        nation.withColumnRenamed("n_nationkey", "src")
-        .join(other, "n_regionkey")
-        .where(F.col("src") != F.col("dst"))
-        .select("src", "dst", F.abs(F.col("src") - F.col("dst")).cast("double").alias("dist"))
-    )
+    """Links in both directions between nations that follow each other in a region; distance is the key gap."""
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("src"), "n_regionkey")
+    chain = windowed(
+        nation, Series(keys=("n_regionkey",), by=("src",)), {"dst": lambda w: F.lead("src").over(w)}, ahead=1
+    ).where(F.col("dst").isNotNull())
+    gap = (F.col("dst") - F.col("src")).cast("double").alias("dist")
+    there = chain.select("src", "dst", gap)
+    return there.unionByName(there.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "dist"))
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
