@@ -30,6 +30,7 @@ from voltaria.session import input_bytes, is_derived, plan_bytes, stage
 
 MAX_HOT_KEYS = 1000
 MAX_SLICES = 4096
+MAX_BROADCAST_ROWS = 200_000
 
 _SLICE, _POS, _CHUNK, _HOME = "_slice", "_pos", "_chunk", "_home"
 
@@ -64,7 +65,16 @@ def _fits(df: DataFrame, series: Series) -> bool:
     return plan_bytes(df) <= series.task_bytes or input_bytes(df) <= series.task_bytes // 4
 
 
-def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, DataFrame | None]:
+@dataclass(frozen=True)
+class Hot:
+    """Rows of keys that exceed a task, with the number of such rows and keys."""
+
+    df: DataFrame
+    rows: int
+    keys: int
+
+
+def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, Hot | None]:
     """The rows whose key fits one task, and the rows whose key does not."""
     if series.bounded or _fits(df, series):
         return df, None
@@ -73,7 +83,8 @@ def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, DataFram
         if _fits(df, series):
             return df, None
     if not series.keys:
-        return (df, None) if df.count() <= series.task_rows else (None, df)
+        rows = df.count()
+        return (df, None) if rows <= series.task_rows else (None, Hot(df, rows, 1))
     # At most MAX_HOT_KEYS rows reach the driver; a key below the largest thousand holds < 0.1 % of all rows.
     top = (
         df.groupBy(*series.keys)
@@ -94,7 +105,8 @@ def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, DataFram
         )
     )
     on = same_keys(df, hot, zip(series.keys, names))
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+    picked = Hot(df.join(hot, on, "left_semi"), sum(row["_rows"] for row in top), len(top))
+    return df.join(hot, on, "left_anti"), picked
 
 
 def _order_number(df: DataFrame, name: str) -> Column:
@@ -111,29 +123,37 @@ def _order_number(df: DataFrame, name: str) -> Column:
     return F.coalesce(number, F.lit(float("-inf")))
 
 
-def _slice(hot: DataFrame, series: Series) -> DataFrame:
-    """Give each row the slice its order value falls in; the driver holds MAX_SLICES cut values."""
-    placed = hot.withColumn("_at", _order_number(hot, series.by[0]))
-    slices = min(MAX_SLICES, max(2, math.ceil(2 * hot.count() / series.task_rows)))
+def _slice(hot: Hot, series: Series) -> tuple[DataFrame, int]:
+    """Give each row the slice its order value falls in, and bound the number of keys times slices.
+
+    The driver holds at most MAX_SLICES cut values.
+    """
+    placed = hot.df.withColumn("_at", _order_number(hot.df, series.by[0]))
+    slices = min(MAX_SLICES, max(2, math.ceil(2 * hot.rows / series.task_rows)))
     probabilities = [i / slices for i in range(1, slices)]
     found = placed.stat.approxQuantile("_at", probabilities, 1 / (4 * slices))
     cuts = sorted({c for c in found if math.isfinite(c)})
+    ends = hot.keys * (len(cuts) + 2)
     if not cuts:
-        return placed.withColumn(_SLICE, F.lit(0)).drop("_at")
+        return placed.withColumn(_SLICE, F.lit(0)).drop("_at"), ends
     bucketizer = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")], inputCol="_at", outputCol=_SLICE, handleInvalid="keep"
     )
-    return bucketizer.transform(placed).withColumn(_SLICE, F.col(_SLICE).cast("int")).drop("_at")
+    return bucketizer.transform(placed).withColumn(_SLICE, F.col(_SLICE).cast("int")).drop("_at"), ends
 
 
 def _with_carry(
     sliced: DataFrame,
     series: Series,
+    ends_bound: int,
     edges: Mapping[str, Column],
     carries: Mapping[str, Callable[[WindowSpec], Column]],
     backward: bool = False,
 ) -> DataFrame:
-    """Join to each row what the earlier slices of its key hand over (one row per key and slice)."""
+    """Join to each row what the earlier slices of its key hand over: one row per key and slice.
+
+    Broadcast when their number is known to be small, so that the rows themselves are not shuffled for it.
+    """
     group = [*series.keys, _SLICE]
     order = F.col(_SLICE).desc() if backward else F.col(_SLICE).asc()
     earlier = Window.partitionBy(*series.keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -142,15 +162,18 @@ def _with_carry(
         *[F.col(c).alias(f"_of_{c}") for c in group],
         *[make(earlier).alias(name) for name, make in carries.items()],
     )
+    if ends_bound <= MAX_BROADCAST_ROWS:
+        held = F.broadcast(held)
     joined = sliced.join(held, same_keys(sliced, held, [(c, f"_of_{c}") for c in group]), "left")
     return joined.drop(*[f"_of_{c}" for c in group])
 
 
-def _place(sliced: DataFrame, series: Series, name: str) -> DataFrame:
+def _place(sliced: DataFrame, series: Series, ends: int, name: str) -> DataFrame:
     """Exact 0-based position within the key: rows of earlier slices plus position in the slice."""
     base = _with_carry(
         sliced,
         series,
+        ends,
         {"_n": F.count(F.lit(1))},
         {"_base": lambda w: F.coalesce(F.sum("_n").over(w), F.lit(0))},
     )
@@ -186,7 +209,8 @@ def windowed(
     if hot is not None:
         size = max(series.task_rows, back, ahead, 1)
         offset = F.col(_POS) % size
-        placed = _place(_slice(hot, series), series, _POS).drop(_SLICE)
+        sliced, ends = _slice(hot, series)
+        placed = _place(sliced, series, ends, _POS).drop(_SLICE)
         homes = F.array_compact(
             F.array(
                 F.col(_HOME),
@@ -208,21 +232,26 @@ def position(df: DataFrame, series: Series, name: str = "position") -> DataFrame
     if cold is not None:
         parts.append(cold.withColumn(name, (F.row_number().over(series.window()) - 1).cast("long")))
     if hot is not None:
-        parts.append(_place(_slice(hot, series), series, name).drop(_SLICE))
+        sliced, ends = _slice(hot, series)
+        parts.append(_place(sliced, series, ends, name).drop(_SLICE))
     return _union(parts)
 
 
-def _fill(part: DataFrame, series: Series, columns: Mapping[str, Column], backward: bool, sliced: bool) -> DataFrame:
-    extra = (_SLICE,) if sliced else ()
+def _fill(
+    part: DataFrame, series: Series, columns: Mapping[str, Column], backward: bool, ends: int | None = None
+) -> DataFrame:
+    """Fill within keys, or within slices plus what the slices before hand over when ``ends`` is given."""
+    extra = () if ends is None else (_SLICE,)
     # A reversed running frame, not a following one: Spark evaluates those in quadratic time.
     running = series.window(*extra, backward=backward).rowsBetween(Window.unboundedPreceding, 0)
-    if not sliced:
+    if ends is None:
         return part.withColumns({n: F.last(c, ignorenulls=True).over(running) for n, c in columns.items()})
     pick = F.min_by if backward else F.max_by
     at = F.struct(*series.by)
     held = _with_carry(
         part,
         series,
+        ends,
         {f"_end_{n}": pick(c, F.when(c.isNotNull(), at)) for n, c in columns.items()},
         {f"_held_{n}": _last_of(f"_end_{n}") for n in columns},
         backward,
@@ -250,22 +279,21 @@ def filled(
     """Carry the last non-null value forward (or the next one backward) within each key."""
     sources = dict(columns) if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
     cold, hot = split_hot(df, series)
-    return _union(
-        [
-            None if cold is None else _fill(cold, series, sources, backward, sliced=False),
-            None if hot is None else _fill(_slice(hot, series), series, sources, backward, sliced=True).drop(_SLICE),
-        ]
-    )
+    parts = [None if cold is None else _fill(cold, series, sources, backward)]
+    if hot is not None:
+        sliced, ends = _slice(hot, series)
+        parts.append(_fill(sliced, series, sources, backward, ends).drop(_SLICE))
+    return _union(parts)
 
 
-def _interpolate(part: DataFrame, series: Series, columns: list[str], sliced: bool) -> DataFrame:
-    if sliced:
-        placed = _place(part, series, _POS)
+def _interpolate(part: DataFrame, series: Series, columns: list[str], ends: int | None = None) -> DataFrame:
+    if ends is not None:
+        placed = _place(part, series, ends, _POS)
     else:
         placed = part.withColumn(_POS, F.row_number().over(series.window()).cast("long"))
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(_POS).alias("at"), F.col(c).alias("value"))) for c in columns}
-    both = _fill(placed, series, {f"_prev_{c}": known[c] for c in columns}, backward=False, sliced=sliced)
-    both = _fill(both, series, {f"_next_{c}": known[c] for c in columns}, backward=True, sliced=sliced)
+    both = _fill(placed, series, {f"_prev_{c}": known[c] for c in columns}, False, ends)
+    both = _fill(both, series, {f"_next_{c}": known[c] for c in columns}, True, ends)
 
     def between(c: str) -> Column:
         prev, nxt = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
@@ -281,12 +309,11 @@ def interpolated(df: DataFrame, series: Series, columns: Iterable[str]) -> DataF
     """Fill numeric nulls on the straight line by row position; ends take the nearest value."""
     names = list(columns)
     cold, hot = split_hot(df, series)
-    return _union(
-        [
-            None if cold is None else _interpolate(cold, series, names, sliced=False),
-            None if hot is None else _interpolate(_slice(hot, series), series, names, sliced=True).drop(_SLICE),
-        ]
-    )
+    parts = [None if cold is None else _interpolate(cold, series, names)]
+    if hot is not None:
+        sliced, ends = _slice(hot, series)
+        parts.append(_interpolate(sliced, series, names, ends).drop(_SLICE))
+    return _union(parts)
 
 
 def running_sum(df: DataFrame, series: Series, columns: Mapping[str, Column]) -> DataFrame:
@@ -299,9 +326,11 @@ def running_sum(df: DataFrame, series: Series, columns: Mapping[str, Column]) ->
         parts.append(cold.withColumns({n: F.sum(c).over(running) for n, c in sources.items()}))
     if hot is not None:
         running = series.window(_SLICE).rowsBetween(Window.unboundedPreceding, 0)
+        sliced, ends = _slice(hot, series)
         held = _with_carry(
-            _slice(hot, series),
+            sliced,
             series,
+            ends,
             {f"_end_{n}": F.sum(c) for n, c in sources.items()},
             {f"_held_{n}": _sum_of(f"_end_{n}") for n in sources},
         )
@@ -315,8 +344,8 @@ def running_sum(df: DataFrame, series: Series, columns: Mapping[str, Column]) ->
 def quantiles(df: DataFrame, columns: Iterable[str], probabilities: Iterable[float], series: Series = Series()) -> Column:
     """Exact quantiles (linear between ranks) as a scalar struct: column name -> array of values.
 
-    ``percentile`` keeps every distinct value in one task, so beyond a task's size the ranks are found
-    on distributed running counts over the distinct values instead.
+    ``percentile`` keeps every distinct value in one task. Beyond a task's size, approximate quantiles
+    (mergeable sketches, no shuffle) bracket each rank, and only the values inside the brackets are ordered.
     """
     names, points = list(columns), list(probabilities)
     if _fits(df.select(*names), series):
@@ -325,23 +354,32 @@ def quantiles(df: DataFrame, columns: Iterable[str], probabilities: Iterable[flo
         ).scalar()
     if is_derived(df):
         df = stage(df.select(*names), "quantiles")
-    return F.struct(*[_ranked_quantiles(df, c, points, series).alias(c) for c in names])
-
-
-def _ranked_quantiles(df: DataFrame, column: str, points: list[float], series: Series) -> Column:
-    values = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    by_value = replace(series, keys=(), by=(column,))
-    counted = running_sum(values, by_value, {"_upto": F.col("_n")})
-    rank = (df.agg(F.count(column).alias("n")).scalar() - 1).cast("double")
-
-    def at(position: Column) -> Column:
-        return F.min(F.when(F.col("_upto") > position, F.col(column).cast("double")))
-
-    def point(p: float) -> Column:
-        low, high = at(F.floor(rank * p)), at(F.ceil(rank * p))
-        return low + (high - low) * (rank * p - F.floor(rank * p))
-
-    return counted.agg(F.array(*[point(p) for p in points]).alias("q")).scalar()
+    return F.struct(*[F.array(*_ranked_quantiles(df, c, points, series)).alias(c) for c in names])
+
+
+def _ranked_quantiles(df: DataFrame, column: str, points: list[float], series: Series) -> list[Column]:
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("v"))
+    n = values.count()
+    if n == 0:
+        return [F.lit(None).cast("double") for _ in points]
+    # A sketch of error e is off by e * n ranks; brackets of 2e on each side hold the rank and its neighbour.
+    error = max(1e-4, 4 / n)
+    edges = [(max(p - 2 * error, 0.0), min(p + 2 * error, 1.0)) for p in points]
+    found = values.stat.approxQuantile("v", [e for pair in edges for e in pair], error)
+    made = []
+    for i, (p, (low, high)) in enumerate(zip(points, edges)):
+        first = found[2 * i] if low > 0 else float("-inf")
+        last = found[2 * i + 1] if high < 1 else float("inf")
+        inside = values.where((F.col("v") >= first) & (F.col("v") <= last)).groupBy("v").agg(F.count(F.lit(1)).alias("_n"))
+        counted = running_sum(inside, replace(series, keys=(), by=("v",)), {"_upto": F.col("_n")})
+        before = values.agg(F.count_if(F.col("v") < first).alias("n")).scalar()
+        rank = (n - 1) * p
+        below, above = (
+            F.min(F.when(F.col("_upto") + F.col("_before") > r, F.col("v"))) for r in (math.floor(rank), math.ceil(rank))
+        )
+        value = below + (above - below) * F.lit(rank - math.floor(rank))
+        made.append(counted.withColumn("_before", before).agg(value.alias("q")).scalar())
+    return made
 
 
 def ordered_cut(df: DataFrame, by: tuple[str, ...], share: float, series: Series = Series()) -> DataFrame:
