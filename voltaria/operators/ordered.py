@@ -388,7 +388,8 @@ def ordered_cut(df: DataFrame, by: tuple[str, ...], share: float, series: Series
     The split compares each row with the cut row, found by rank among the distinct values of the first
     column and then, within that value, of the next; no position is assigned to every row.
     """
-    if is_derived(df) and not _fits(df, series):
+    if is_derived(df):
+        # Counted once per column and then split: what leads to it is not repeated.
         df = stage(df, "cut")
     wanted = F.floor(df.agg(F.count(F.lit(1)).alias("n")).scalar() * F.lit(share))
     inside: Column = F.lit(False)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltaria.functions.demand import add_future_targets, add_lags, add_row_demand
+from voltaria.config import DEFAULT_LAGS
+from voltaria.functions.demand import add_lags, add_row_demand, lag_columns
 from voltaria.operators import learn as L
+from voltaria.operators.ordered import windowed
 from voltaria.queries.registry import R, query
 from voltaria.queries.views_sql import clip_util, with_views
 from voltaria.schemas import MODEL_PERFORMANCE
@@ -22,8 +24,9 @@ TREES, DEPTH = 5, 4
 
 def demand_table(spark: SparkSession, sf: str) -> DataFrame:
     """Lagged volumes and the volume of the next week."""
-    panel = add_lags(V.station_panel(spark, sf), V.STATION_SERIES, ["volume"])
-    return add_future_targets(panel, V.STATION_SERIES, ["volume"])
+    ahead = {"future_volume": lambda w: F.lead("volume").over(w)}
+    columns = {**lag_columns(["volume"], DEFAULT_LAGS), **ahead}
+    return windowed(V.station_panel(spark, sf), V.STATION_SERIES, columns, back=max(DEFAULT_LAGS), ahead=1)
 
 
 def congestion_table(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from voltaria.operators import clean as C
 from voltaria.operators import quality as Q
 from voltaria.operators import tariff as X
+from voltaria.plans.preprocess import write_processed
 from voltaria.queries.inputs import hourly_decided
 from voltaria.queries.registry import R, query, rounded
 from voltaria.queries.views_sql import with_views
-from voltaria.schemas import PRICING_DECISIONS, SESSIONS
+from voltaria.schemas import AGENT_METRICS, PRICING_DECISIONS, SESSIONS
 from voltaria.session import scratch_path
 from voltaria.sources import driver_views as V
 from voltaria.sources import metric_log as L
@@ -329,3 +330,61 @@ def price_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Line prices outside the bounds, before any clipping."""
     price = F.try_divide("l_extendedprice", "l_quantity") / F.lit(100.0)
     return Q.rule_counts(V.table(spark, sf, "lineitem").select(price.alias("price")), Q.price_rules())
+
+
+@query(
+    "processed_tables",
+    with_views(
+        """SELECT 'sessions' AS name, CAST(connectionTime AS DATE) AS day, count(*) AS n FROM clean_sessions GROUP BY 2
+        UNION ALL SELECT 'panel', CAST(ts AS DATE), count(*) FROM hourly_panel GROUP BY 2
+        UNION ALL SELECT 'features', CAST(ts AS DATE), count(*) FROM hourly_panel GROUP BY 2""",
+        "clean_sessions",
+        "hourly_panel",
+    ),
+)
+def processed_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Cleaned sessions, panel and features written by day; rows per stored day."""
+    paths = write_processed(
+        V.sessions(spark, sf), V.SESSION_SERIES, V.hourly_panel(spark, sf), V.STATION_SERIES, scratch_path(spark, "processed")
+    )
+    out = None
+    for name, path in paths.items():
+        days = spark.read.parquet(path).groupBy(F.col("date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+        named = days.select(F.lit(name).alias("name"), "day", "n")
+        out = named if out is None else out.unionByName(named)
+    return out
+
+
+@query(
+    "station_source",
+    with_views(
+        """SELECT CAST(station_id AS VARCHAR) AS station_id, region, CAST("count" AS VARCHAR) AS "count" FROM station_dim""",
+        "station_dim",
+    ),
+)
+def station_source(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "stations")
+    V.station_dim(spark, sf).select("station_id", "region", "count").write.option("header", True).csv(path)
+    return P.read_stations(spark, path)
+
+
+@query(
+    "agent_metric_log",
+    with_views(
+        """SELECT ts AS "timestamp", 'tariff' AS agent_name, 'utilization' AS metric_name, utilization AS metric_value,
+          '{"station":' || station_id || ',"action":"' || name || '"}' AS metadata FROM hourly_decided""",
+        "hourly_decided",
+    ),
+)
+def agent_metric_log(spark: SparkSession, sf: str) -> DataFrame:
+    """A metric per decision with its context as JSON text, appended and read back."""
+    path = scratch_path(spark, "agent-metrics")
+    rows = hourly_decided(spark, sf).select(
+        F.col("ts").alias("timestamp"),
+        F.lit("tariff").alias("agent_name"),
+        F.lit("utilization").alias("metric_name"),
+        F.col("utilization").alias("metric_value"),
+        F.to_json(F.struct(F.col("station_id").alias("station"), F.col("name").alias("action"))).alias("metadata"),
+    )
+    L.append_log(rows, path, AGENT_METRICS)
+    return L.read_log(spark, path, AGENT_METRICS, {"agent_name": "tariff"}, limit=None)
