@@ -124,7 +124,7 @@ def congestion_features(spark: SparkSession, sf: str) -> DataFrame:
     area = V.station_dim(spark, sf).select("station_id", "area")
     panel = V.station_panel(spark, sf).select("ts", "station_id", "occupancy", "capacity").join(broadcast_if_small(area, one_row_per_key=True), "station_id")
     made = N.add_congestion_features(panel)
-    return made.withColumn("congestion_score", settle("congestion_score", 9))
+    return made.withColumn("congestion_score", settle("congestion_score"))
 
 
 @query(

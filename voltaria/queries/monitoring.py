@@ -141,7 +141,7 @@ def retrain_decisions(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(K.metric_summary(metric_rows(spark, sf), KEYS), 9, mean=6, std=5)
+    return rounded(K.metric_summary(metric_rows(spark, sf), KEYS), mean=6, std=5)
 
 
 _FRAME = "(PARTITION BY station_id, metric ORDER BY seq ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"

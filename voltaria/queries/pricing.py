@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voltaria.operators import tariff as X
 from voltaria.queries.inputs import hourly_decided, hourly_decisions, station_rows, weekly_decided, weekly_decisions
-from voltaria.queries.registry import R, query, rounded, settle
+from voltaria.queries.registry import DIGITS, R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
 from voltaria.session import broadcast_if_small
 from voltaria.sources import driver_views as V
@@ -72,7 +72,7 @@ _EVAL = f"""{R('avg(reward)', 6)} AS mean_reward, {R('stddev_pop(reward)', 5)} A
 
 def _evaluated(decided: DataFrame, by: list[str]) -> DataFrame:
     return rounded(
-        X.evaluate_policy(decided, by), 6, std_reward=5, total_revenue=3, baseline_revenue=3, mean_utilization=9
+        X.evaluate_policy(decided, by), 6, std_reward=5, total_revenue=3, baseline_revenue=3, mean_utilization=DIGITS
     )
 
 

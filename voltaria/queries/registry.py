@@ -30,16 +30,17 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 # Sums and means in task order differ in their last bits. Rounding hides that unless a value lies on a
 # rounding cut, which averages of short decimals often do; this share of a unit moves the cuts off them.
 _OFF_CUT = 0.118034
+DIGITS = 7
 
 
-def settle(column: Column | str, digits: int = 9) -> Column:
+def settle(column: Column | str, digits: int = DIGITS) -> Column:
     """A double rounded so that two engines agree on it; -0.0 becomes 0.0."""
     value = F.col(column) if isinstance(column, str) else column
     unit = F.lit(10.0**digits)
     return F.rint(value * unit + F.lit(_OFF_CUT)) / unit + F.lit(0.0)
 
 
-def rounded(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
+def rounded(df: DataFrame, digits: int = DIGITS, **special: int) -> DataFrame:
     """:func:`settle` every double column; standard deviations keep fewer digits."""
 
     def places(name: str) -> int:
@@ -48,6 +49,6 @@ def rounded(df: DataFrame, digits: int = 9, **special: int) -> DataFrame:
     return df.withColumns({c: settle(c, places(c)) for c, kind in df.dtypes if kind == "double"})
 
 
-def R(expr: str, digits: int = 9) -> str:
+def R(expr: str, digits: int = DIGITS) -> str:
     """The same rounding in SQL."""
     return f"(round(({expr}) * 1e{digits} + {_OFF_CUT}::DOUBLE) / 1e{digits} + 0.0::DOUBLE)"

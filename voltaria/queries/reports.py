@@ -43,7 +43,7 @@ _CROWDED = _share("utilization > 0.8::DOUBLE")
 def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
     region = V.station_dim(spark, sf).select("station_id", "region")
     made = M.kpi_summary(weekly_decided(spark, sf).join(broadcast_if_small(region, one_row_per_key=True), "station_id"))
-    return rounded(made, 9, dynamic_revenue=3, fixed_revenue=3, energy=3, revenue_gain_pct=6, pricing_efficiency=6)
+    return rounded(made, dynamic_revenue=3, fixed_revenue=3, energy=3, revenue_gain_pct=6, pricing_efficiency=6)
 
 
 @query(

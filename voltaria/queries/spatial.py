@@ -10,7 +10,7 @@ from voltaria.operators import graph as G
 from voltaria.operators import metrics as M
 from voltaria.operators import spatial as S
 from voltaria.operators.ordered import windowed
-from voltaria.queries.registry import R, query, rounded, settle
+from voltaria.queries.registry import DIGITS, R, query, rounded, settle
 from voltaria.queries.views_sql import clip_util, with_views
 from voltaria.sources import driver_views as V
 
@@ -93,8 +93,8 @@ def graph_windows(spark: SparkSession, sf: str) -> DataFrame:
         F.size(x).alias("n"),
         x[0].alias("first_occupancy"),
         x[23].alias("last_volume"),
-        settle(x[24], 9).alias("hour_sin"),
-        settle(x[26], 9).alias("weekday_norm"),
+        settle(x[24]).alias("hour_sin"),
+        settle(x[26]).alias("weekday_norm"),
     )
 
 
@@ -154,12 +154,12 @@ def _naive(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("forecast_scores_per_node", _scores_sql("node_id"))
 def forecast_scores_per_node(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(M.regression_metrics(_naive(spark, sf), "y", "p", ["node_id"], guard=1e-8), 6, mae=9)
+    return rounded(M.regression_metrics(_naive(spark, sf), "y", "p", ["node_id"], guard=1e-8), 6, mae=DIGITS)
 
 
 @query("forecast_scores", _scores_sql(""))
 def forecast_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(M.regression_metrics(_naive(spark, sf), "y", "p", guard=1e-8), 6, mae=9)
+    return rounded(M.regression_metrics(_naive(spark, sf), "y", "p", guard=1e-8), 6, mae=DIGITS)
 
 
 @query(
