@@ -10,8 +10,7 @@ least estimated cost per band: signatures written plus the collisions expected o
 A set whose weights do not reach that (many empty segments) also writes signatures of further hash seeds until
 one suffices; only two such sets can miss each other in an earlier seed.
 
-Signatures held by one set only are dropped in a sorted stream; one that a task finds often is spread over
-salted keys, with a marker row in place of its rows. Then, per set, the cheapest (rarest) signatures whose
+Signatures held by one set only are dropped in a sorted stream (``stream``). Then, per set, the cheapest (rarest) signatures whose
 weights suffice are its probes, and a signature without a probe is dropped. Candidates are verified exactly
 on the whole hash sets, in rounds that never list all pairs of a bucket (``linking``).
 
@@ -31,16 +30,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from voltaria.llm import stream
 from voltaria.llm.linking import link_sets
 from voltaria.llm.text import mix, shingle_sets, signed
 from voltaria.session import stage
 
 _SEED = np.uint64(0x632BE59BD9B4E019)
 _COLLISION_COST = 2.0
-#: Sets of one task that share a signature; from here on its rows are spread over salted keys.
-_HEAVY, _SALTS = 64, 64
-#: Marks in the rows that travel with the signatures: a document's own row, its null key, an empty set, a marker.
-_ROW, _NO_KEY, _EMPTY, _MARK = 1 << 40, 1 << 41, -2, -1
+#: Marks in the documents' own rows that travel with the signatures: a null key, an empty set.
+_NO_KEY, _EMPTY = 1 << 40, -2
 
 
 @lru_cache(maxsize=None)
@@ -135,59 +133,14 @@ def _emit(percent: int, width: int):
                 seen.clear()
             none = np.zeros(0, np.int64)
             keys = pc.fill_null(batch.column(0), 0).to_numpy()
-            rows = np.array(sizes, np.int64) + _ROW + np.where(batch.column(0).is_null().to_numpy(zero_copy_only=False), _NO_KEY, 0)
-            sign = np.concatenate([none.view(np.uint64), *signs])
+            rows = np.array(sizes, np.int64) + np.where(batch.column(0).is_null().to_numpy(zero_copy_only=False), _NO_KEY, 0)
+            sign = signed(np.concatenate([none.view(np.uint64), *signs]))
             item, meta = np.concatenate([none, *items]), np.concatenate([none, *metas])
-            values, back, count = np.unique(sign, return_inverse=True, return_counts=True)
-            often = count >= _HEAVY
-            meta += np.where(often[back], 1 + (item & (_SALTS - 1)), 0) << 24
-            marks = values[often]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([signed(sign), signed(marks), keys])),
-                    pa.array(np.concatenate([item, np.full(len(marks), _MARK, np.int64), np.array(ids, np.int64)])),
-                    pa.array(np.concatenate([meta, np.zeros(len(marks), np.int64), rows])),
-                ],
-                ["sign", "item", "meta"],
-            )
+            yield stream.batch(sign, item, meta, (keys, np.array(ids, np.int64), rows))
 
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by signature, those of signatures with two items or more; salted rows all.
-
-    Only the last signature of a batch is held over, and of that its first row once it is known to be shared.
-    """
-    held: pa.RecordBatch | None = None
-    shared_before = False
-    for batch in batches:
-        if held is not None:
-            batch = pa.concat_batches([held, batch])
-        if not batch.num_rows:
-            continue
-        sign, item, meta = (batch.column(i).to_numpy() for i in range(3))
-        starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
-        sizes = np.diff(np.concatenate([starts, [len(sign)]]))
-        many = np.minimum.reduceat(item, starts) != np.maximum.reduceat(item, starts)
-        many[0] |= shared_before
-        skip = 1 if held is not None and shared_before else 0
-        shared_before = bool(many[-1])
-        keep = np.repeat(many, sizes) | (meta >> 24 != 0)
-        keep &= item != _MARK
-        keep[:skip] = False  # passed on with the batch before
-        last = int(starts[-1])
-        if shared_before:
-            held = batch.slice(last, 1)
-        else:
-            held = batch.slice(last)
-            keep[last:] = False
-        yield batch.filter(pa.array(keep))
-    if held is not None and not shared_before:
-        meta, item = held.column(2).to_numpy(), held.column(1).to_numpy()
-        yield held.filter(pa.array((meta >> 24 != 0) & (item != _MARK)))
-
-
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +150,7 @@ def _sets(width: int):
                     seen.add(item)
                     items.append(item)
                     sizes.append(len(hashes))
-                    sets.append(signed(hashes))
+                    sets.append(np.sort(signed(hashes)))
             offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
             values = pa.array(np.concatenate(sets) if sets else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), values)], ["item", "size", "hashes"])
@@ -222,14 +175,11 @@ def allocated(shared: DataFrame) -> DataFrame:
 def jaccard_groups(docs: DataFrame, key: str, text: str, percent: int = 80, width: int = 5) -> DataFrame:
     """One row per row of ``docs``: key, n_shingles, set_id (null if empty) and the set id standing for its group."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    kind = "sign long, item long, meta long"
-    rows = plain.mapInArrow(_emit(percent, width), kind).repartition("sign", F.shiftright("meta", 24)).sortWithinPartitions("sign")
-    kept = stage(rows.mapInArrow(_shared, kind), "signatures")
-    own = kept.where(F.col("meta") >= _ROW)
-    base = own.select(
+    kept = stage(stream.shared(plain.mapInArrow(_emit(percent, width), stream.KIND)), "signatures")
+    base = kept.where("forced").select(
         F.when(F.col("meta") < _NO_KEY, F.col("sign")).alias(key), (F.col("meta") % (1 << 32)).alias("n_shingles"), F.when(F.col("item") != _EMPTY, F.col("item")).alias("set_id")
     )
-    shared = kept.where(F.col("meta") < _ROW).select("sign", "item", (F.col("meta") % (1 << 24)).alias("meta")).distinct()
+    shared = kept.where("not forced").select("sign", "item", "meta").distinct()
     buckets = stage(allocated(shared), "members")
     wanted = buckets.select(F.col("item").alias("set_id")).distinct()
     holders = base.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(key).alias("key")).select("key")

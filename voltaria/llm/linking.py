@@ -9,6 +9,8 @@ items are already known to be connected.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,49 +47,77 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components of items whose sets reach ``percent`` Jaccard and that share a bucket.
 
     ``buckets``: ``bucket, item``; ``sets``: ``item, size, hashes`` (distinct hashes of each item, one row an item).
-    Returns ``node, component`` for every item that links with another.
+    Returns ``node, component`` for every item that links with another. Leaders are the items in most buckets, so
+    the buckets of one group of copies elect the same ones.
     """
     spark = buckets.sparkSession
     sets = sets.select("item", "size", "hashes")
-    open_ = stage(buckets.select("bucket", "item").distinct(), "buckets")
+    weight = buckets.groupBy("item").agg((F.count("*") * (1 << 32)).alias("weight"))
+    weight = weight.select("item", (F.col("weight") + F.pmod(F.xxhash64("item"), F.lit(1 << 32))).alias("weight"))
+    open_ = stage(buckets.join(weight, "item").select("bucket", "item", "weight"), "buckets")
     links: DataFrame | None = None
     labels: DataFrame | None = None
+    tested: DataFrame | None = None
     leaders, turn = FIRST_LEADERS, 0
     while True:
         cur = open_.withColumn("label", F.col("item"))
         if labels is not None:
             known = labels.select(F.col("node").alias("item"), "component")
-            cur = open_.join(known, "item", "left").select("bucket", "item", F.coalesce("component", "item").alias("label"))
+            cur = open_.join(known, "item", "left").select("bucket", "item", "weight", F.coalesce("component", "item").alias("label"))
         live = cur.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
         cur = stage(cur.join(live, "bucket", "left_semi"), "open")
         if cur.isEmpty():
             break
         slot = F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
-        heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(F.min("item").alias("head"), F.min_by("label", "item").alias("head_label")), "heads")
-        pairs = (
-            cur.join(heads.select("bucket", "head", "head_label"), "bucket")
-            .where("label <> head_label")
-            .select(F.least("item", "head").alias("a"), F.greatest("item", "head").alias("b"))
-            .distinct()
-        )
-        found = verified(pairs, sets, percent)
-        links = stage(found if links is None else links.unionByName(found), "links")
-        labels = stage(components(links), "labels")
-        open_ = stage(cur.select("bucket", "item").join(heads.select("bucket", F.col("head").alias("item")), ["bucket", "item"], "left_anti"), "buckets")
+        heads = cur.groupBy("bucket", slot.alias("slot")).agg(F.max_by("item", "weight").alias("head"), F.max_by("label", "weight").alias("head_label"))
+        heads = stage(heads.select("bucket", "head", "head_label"), "heads")
+        pairs = cur.join(heads, "bucket").where("label <> head_label").select(F.col("item").alias("a"), F.col("head").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tested = both if tested is None else tested.unionByName(both)
+        found = stage(verified(pairs, sets, percent), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = stage(components(links), "labels")
+        open_ = cur.select("bucket", "item", "weight").join(heads.select("bucket", F.col("head").alias("item")), ["bucket", "item"], "left_anti")
         leaders, turn = min(leaders * 2, 1 << 20), turn + 1
     return labels if labels is not None else spark.createDataFrame([], "node long, component long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int = 4096) -> DataFrame:
+    """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold.
+
+    Pairs are dealt into blocks by a; each block gets the set of each of its items once, not once a pair.
+    """
     sizes = sets.select("item", "size")
     fit = (
         pairs.join(sizes.select(F.col("item").alias("a"), F.col("size").alias("na")), "a")
         .join(sizes.select(F.col("item").alias("b"), F.col("size").alias("nb")), "b")
         .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .select("a", "b")
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .distinct()
     )
-    left = fit.join(sets.select(F.col("item").alias("a"), F.col("hashes").alias("x")), "a")
-    both = left.join(sets.select(F.col("item").alias("b"), F.col("hashes").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent).select("a", "b")
+    fit = stage(fit, "fit")
+    blocks = 1 + fit.count() // block
+    fit = fit.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)))
+    left = fit.groupBy("block", "b").agg(F.collect_list("a").alias("members")).join(sets.select(F.col("item").alias("b"), F.col("hashes").alias("y")), "b")
+    own = fit.select(F.col("block").alias("part"), F.col("a").alias("item")).distinct()
+    right = own.join(sets.select("item", F.col("hashes").alias("x")), "item")
+
+    def check(one: pa.Table, other: pa.Table) -> pa.Table:
+        own = {a: x.values.to_numpy() for a, x in zip(other.column("item").to_pylist(), other.column("x"))}
+        found = []
+        for b, members, hashes in zip(one.column("b").to_pylist(), one.column("members").to_pylist(), one.column("y")):
+            y = hashes.values.to_numpy()
+            for a in members:
+                x = own[a]
+                at = np.searchsorted(y, x)
+                at[at == len(y)] = 0
+                shared = int(np.count_nonzero(y[at] == x))
+                if shared * 100 >= (len(x) + len(y) - shared) * percent:
+                    found.append((a, b))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return left.groupBy("block").cogroup(right.groupBy("part")).applyInArrow(check, "a long, b long")

@@ -7,8 +7,17 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltaria.llm.bpe import vocabulary
+from voltaria.llm.count import token_counts
+from voltaria.llm.encode import encode
+from voltaria.llm.iblt import fingerprints
 from voltaria.llm.jaccard import jaccard_join
+from voltaria.llm.langid import identify
+from voltaria.llm.paragraphs import duplicates
+from voltaria.llm.sharding import shards
 from voltaria.llm.ship import ship
+from voltaria.llm.template import extract
+from voltaria.llm.tiling import contaminated
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,3 +41,51 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linked groups of documents at five words and 0.8."""
     return jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the labelled documents that are not held out."""
+    return identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_tree_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and their decoding, as digests."""
+    return encode(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+@_query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts(_table(spark, sf_dir, "documents"), vocabulary())
+
+
+@_query
+def op10_tiled_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, with the share covered."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op1_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs and passages of documents that other documents keep."""
+    return duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 7 of all documents."""
+    return shards(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op7_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op6_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and its edited text, and likenesses recovered from them."""
+    return fingerprints(_table(spark, sf_dir, "documents"))

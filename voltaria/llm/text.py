@@ -72,9 +72,16 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np
         row = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def alphanumeric(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to words of ASCII letters and digits and any non-ASCII characters."""
+    low = data | 32
+    return ((low >= 97) & (low <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 128)
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and for each text the index of its first word (n + 1 entries)."""
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    if inside is None:
+        inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -103,9 +110,9 @@ def window_hash(words: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word hashes in order, their starts and ends, and the first word of each text."""
-    starts, ends, first = word_spans(data, offsets)
+    starts, ends, first = word_spans(data, offsets, inside)
     return span_hash(prefix_hash(lowered(data)), starts, ends), starts, ends, first
 
 
