@@ -16,6 +16,7 @@ from voltaria.llm.langid import identify
 from voltaria.llm.paragraphs import duplicates
 from voltaria.llm.sharding import shards
 from voltaria.llm.ship import ship
+from voltaria.llm.suffixes import repeated_bytes
 from voltaria.llm.template import extract
 from voltaria.llm.tiling import contaminated
 
@@ -89,3 +90,9 @@ def op7_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and its edited text, and likenesses recovered from them."""
     return fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that 200-byte strings found elsewhere cover."""
+    return repeated_bytes(_table(spark, sf_dir, "documents"))

@@ -37,13 +37,17 @@ def batch(sign: np.ndarray, item: np.ndarray, meta: np.ndarray, forced: tuple[np
     )
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """Rows of signatures with two items or more, and the rows that always pass."""
+def shared(rows: DataFrame, distinct: bool = True) -> DataFrame:
+    """Rows of signatures with two items or more (``distinct=False``: two rows), and the rows that always pass."""
     sorted_ = rows.repartition("sign", F.shiftright("meta", SHIFT)).sortWithinPartitions("sign")
-    return sorted_.mapInArrow(_shared, KIND).withColumn("forced", F.col("meta") >= FORCED).withColumn("meta", F.col("meta") % (1 << SHIFT))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _shared(batches, distinct)
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return sorted_.mapInArrow(run, KIND).withColumn("forced", F.col("meta") >= FORCED).withColumn("meta", F.col("meta") % (1 << SHIFT))
+
+
+def _shared(batches: Iterator[pa.RecordBatch], distinct: bool) -> Iterator[pa.RecordBatch]:
     """Only the last signature of a batch is held over, and of that its first row once it is known to be shared."""
     held: pa.RecordBatch | None = None
     shared_before = False
@@ -55,7 +59,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sign, item, meta = (rows.column(i).to_numpy() for i in range(3))
         starts = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(sign)]]))
-        many = np.minimum.reduceat(item, starts) != np.maximum.reduceat(item, starts)
+        many = np.minimum.reduceat(item, starts) != np.maximum.reduceat(item, starts) if distinct else sizes > 1
         many[0] |= shared_before
         skip = 1 if held is not None and shared_before else 0
         shared_before = bool(many[-1])
