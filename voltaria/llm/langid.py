@@ -2,16 +2,18 @@
 
 Each language gets a zstandard raw-content dictionary: excerpts of labelled documents, at most
 ``DICTIONARY_BYTES`` in all, taken from the documents of least hash of their id in each of ``SAMPLE_CELLS`` cells. That
-bound on the labelled sample is the only limit; a prediction reads the whole text. The text is cut into blocks of
-``BLOCK_BYTES`` (at a character), every block is compressed with every dictionary, and the language of the
-smallest total wins (ties: the first in alphabetical order). Equal blocks keep the margin independent of length.
+bound on the labelled sample is the only limit; a prediction reads the whole text. Letters are lower-cased and what lies
+between them becomes one space. The text is cut into blocks of ``BLOCK_BYTES`` (at a character), every block is compressed
+with every dictionary, and the language of the smallest total wins (ties: the first in alphabetical order).
+Equal blocks keep the margin independent of length; a block of fewer than ``SHORT_BYTES`` is repeated, as zstandard would
+store it raw.
 
 ``score`` is ``1 / (1 + (best / other) ** SHARPNESS)`` for the smallest and second smallest total: 0.5 for a tie, near 1 for
 a clear win. ``rejected`` is set where the margin ``1 - best / other`` is below ``margin``, and for ``und``.
 
 Defined cases: null text and text without a letter give ``und``, score 0, rejected. One learned language wins with
-score 1. No learned language gives ``und``. Null labels and labels of empty texts teach nothing. Repeated rows are
-predicted alike; only text and label columns named by the caller are read.
+score 1. No learned language gives ``und``. Null labels and labels of texts without letters teach nothing. Repeated rows are
+predicted alike; only the text and label columns named by the caller are read; other columns pass through ``predict``.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql.types import StructType
 SAMPLE_CELLS = 256
 DICTIONARY_BYTES = 96 << 10
 BLOCK_BYTES = 2048
-LEVEL = 3
+LEVEL, SEARCH_LOG, LEAST_MATCH = 6, 3, 4
+SHORT_BYTES = 256
 SHARPNESS = 20.0
 MARGIN = 0.01
 
@@ -40,9 +43,17 @@ def learn(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: s
     excerpt = F.substring("text", 1, 2 * size // cells).alias("excerpt")
     sample = rows.join(picked, ["label", "rank"], "left_semi").groupBy("label", "rank").agg(F.min(excerpt).alias("excerpt"))
     out: dict[str, list[bytes]] = {}
+    part = size // cells
     for row in sorted(sample.collect(), key=lambda r: (r["label"], r["rank"])):
-        out.setdefault(row["label"], []).append(row["excerpt"].encode("utf-8", "replace")[: 2 * size // cells])
-    return {name: b"\n".join(parts)[:size] for name, parts in sorted(out.items())}
+        out.setdefault(row["label"], []).append(letters(row["excerpt"]).encode("utf-8", "replace")[: 2 * part])
+    return {name: b" ".join(parts)[:size] for name, parts in sorted(out.items())}
+
+
+def letters(text: str) -> str:
+    """The text's letters in lower case, with one space for what lies between."""
+    import regex
+
+    return regex.sub(r"[^\p{L}]+", " ", text.lower())
 
 
 def blocks(data: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:
@@ -61,6 +72,8 @@ def totals(data: bytes, compressors: list) -> list[int]:
     """Compressed size of a text under each dictionary."""
     sums = [0] * len(compressors)
     for block in blocks(data):
+        if len(block) < SHORT_BYTES:  # said again, so that it is stored compressed and not raw
+            block *= 1 + SHORT_BYTES // max(1, len(block))
         for i, compressor in enumerate(compressors):
             sums[i] += len(compressor.compress(block))
     return sums
@@ -91,8 +104,10 @@ def predict(docs: DataFrame, model: dict[str, bytes], text: str = "text", margin
         compressors = []
         for name in names:
             content = zstandard.ZstdCompressionDict(model[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            content.precompute_compress(level=LEVEL)
-            parameters = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
+            parameters = zstandard.ZstdCompressionParameters.from_level(
+                LEVEL, strategy=zstandard.STRATEGY_GREEDY, search_log=SEARCH_LOG, min_match=LEAST_MATCH, write_content_size=0, write_checksum=0, write_dict_id=0
+            )
+            content.precompute_compress(compression_params=parameters)
             compressors.append(zstandard.ZstdCompressor(dict_data=content, compression_params=parameters))
         for batch in batches:
             found = []
@@ -101,7 +116,7 @@ def predict(docs: DataFrame, model: dict[str, bytes], text: str = "text", margin
                 if not whole or not letter.search(whole):
                     found.append(("und", 0.0, True))
                 else:
-                    found.append(judge(totals(whole.encode("utf-8", "replace"), compressors), names, margin))
+                    found.append(judge(totals(letters(whole).encode("utf-8", "replace"), compressors), names, margin))
             columns = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score", "rejected"])
 
