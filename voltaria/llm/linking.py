@@ -4,14 +4,15 @@
 elects a few leaders per bucket, verifies every other member against them, merges what links, and then drops
 the leaders: all their pairs in the bucket are settled. Buckets whose members already share a component are
 done. So a bucket of n similar items costs about n checks, not n^2, and no pair goes unchecked unless its two
-items are already known to be connected.
+items are already known to be connected, or cannot reach the threshold: two sets differ in all hashes that either
+holds alone among all candidates, and in the difference of the numbers of their other hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaria.session import stage
@@ -52,9 +53,14 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     spark = buckets.sparkSession
     sets = sets.select("item", "size", "hashes")
+    facts = stage(_facts(sets), "facts")
+    # A set with more hashes of its own than any partner could lack has no partner.
+    most = (F.col("size") + F.floor(F.col("size") * 100 / percent)) * (100 - percent)
+    buckets = stage(buckets.join(facts.where(F.col("lone") * (100 + percent) <= most), "item"), "buckets")
     weight = buckets.groupBy("item").agg((F.count("*") * (1 << 32)).alias("weight"))
     weight = weight.select("item", (F.col("weight") + F.pmod(F.xxhash64("item"), F.lit(1 << 32))).alias("weight"))
-    open_ = stage(buckets.join(weight, "item").select("bucket", "item", "weight"), "buckets")
+    fields = ["bucket", "item", "weight", "size", "lone"]
+    open_ = stage(buckets.join(weight, "item").select(*fields), "buckets")
     links: DataFrame | None = None
     labels: DataFrame | None = None
     tested: DataFrame | None = None
@@ -63,15 +69,16 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         cur = open_.withColumn("label", F.col("item"))
         if labels is not None:
             known = labels.select(F.col("node").alias("item"), "component")
-            cur = open_.join(known, "item", "left").select("bucket", "item", "weight", F.coalesce("component", "item").alias("label"))
+            cur = open_.join(known, "item", "left").select(*fields, F.coalesce("component", "item").alias("label"))
         live = cur.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
         cur = stage(cur.join(live, "bucket", "left_semi"), "open")
         if cur.isEmpty():
             break
         slot = F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
-        heads = cur.groupBy("bucket", slot.alias("slot")).agg(F.max_by("item", "weight").alias("head"), F.max_by("label", "weight").alias("head_label"))
-        heads = stage(heads.select("bucket", "head", "head_label"), "heads")
-        pairs = cur.join(heads, "bucket").where("label <> head_label").select(F.col("item").alias("a"), F.col("head").alias("b")).distinct()
+        top = [F.max_by(c, "weight").alias(f"head_{c}") for c in ("item", "label", "size", "lone")]
+        heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(*top).drop("slot"), "heads")
+        pairs = cur.join(heads, "bucket").where("label <> head_label").where(_possible(percent))
+        pairs = pairs.select(F.col("item").alias("a"), F.col("head_item").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
@@ -81,25 +88,31 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             labels = stage(components(links), "labels")
-        open_ = cur.select("bucket", "item", "weight").join(heads.select("bucket", F.col("head").alias("item")), ["bucket", "item"], "left_anti")
+        open_ = cur.select(*fields).join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
         leaders, turn = min(leaders * 2, 1 << 20), turn + 1
     return labels if labels is not None else spark.createDataFrame([], "node long, component long")
 
 
+def _facts(sets: DataFrame) -> DataFrame:
+    """``item, size, lone``: how many of a set's hashes no other of these sets holds."""
+    held = sets.select("item", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n"), F.min("item").alias("item"))
+    lone = held.where("n = 1").groupBy("item").agg(F.count("*").alias("lone"))
+    return sets.select("item", "size").join(lone, "item", "left").select("item", "size", F.coalesce("lone", F.lit(0)).alias("lone"))
+
+
+def _possible(percent: int) -> Column:
+    """Whether two sets can reach the threshold, from what each holds alone and the sizes of what others hold too."""
+    apart = F.col("lone") + F.col("head_lone") + F.abs((F.col("size") - F.col("lone")) - (F.col("head_size") - F.col("head_lone")))
+    fits = F.least("size", "head_size") * 100 >= F.greatest("size", "head_size") * percent
+    return fits & (apart * (100 + percent) <= (F.col("size") + F.col("head_size")) * (100 - percent))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int = 4096) -> DataFrame:
     """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold.
 
     Pairs are dealt into blocks by a; each block gets the set of each of its items once, not once a pair.
     """
-    sizes = sets.select("item", "size")
-    fit = (
-        pairs.join(sizes.select(F.col("item").alias("a"), F.col("size").alias("na")), "a")
-        .join(sizes.select(F.col("item").alias("b"), F.col("size").alias("nb")), "b")
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    fit = stage(fit, "fit")
+    fit = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "fit")
     blocks = 1 + fit.count() // block
     fit = fit.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)))
     left = fit.groupBy("block", "b").agg(F.collect_list("a").alias("members")).join(sets.select(F.col("item").alias("b"), F.col("hashes").alias("y")), "b")
