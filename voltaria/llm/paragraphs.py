@@ -116,7 +116,8 @@ def _emit(least: int, bands: int, rows: int):
                 if len(paragraphs.a):
                     pid = (paragraphs.hash >> np.uint64(1)).astype(np.int64)
                     own.append((ids[row + paragraphs.text], pid, paragraphs.index))
-                    new, at = np.unique(pid, return_index=True)
+                    at = np.sort(np.unique(pid, return_index=True)[1])  # in order of place, as reduceat wants them
+                    new = pid[at]
                     chosen = Units(*(x[at] for x in paragraphs))
                     sign.append(signed(_minhash(words, chosen, bands, rows).ravel()))
                     item.append(np.repeat(new, bands))
