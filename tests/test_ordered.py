@@ -110,3 +110,20 @@ def test_global_series_is_split(table, frame):
     want = frame.sort_values(["t", "i"])
     want["d"] = want["i"].diff()
     pd.testing.assert_frame_equal(result(out, ["d"]), expect(want, ["d"]))
+
+
+@pytest.mark.parametrize("kind", ["text", "equal", "nulls", "many keys"])
+def test_cuts_of_any_order(spark, kind):
+    """Text order columns, ties, nulls and more hot keys than a driver would hold: plain rows, bounded slices."""
+    rows = [
+        (i, f"k{i % (1200 if kind == 'many keys' else 2)}", f"{i * 7919 % 3600:05d}" if kind == "text" else "same" if kind == "equal" else None if i % 3 else "x")
+        for i in range(3600)
+    ]
+    df = spark.createDataFrame(rows, "i long, k string, t string").repartition(3)
+    bound = 2 if kind == "many keys" else 200
+    plain, cut = (O.Series(keys=("k",), by=("t", "i"), **x) for x in ({}, {"task_rows": bound, "task_bytes": 0}))
+    made = [O.windowed(O.position(df, s, "p"), s, {"l": lambda w: F.lag("i").over(w)}, back=1) for s in (plain, cut)]
+    assert made[0].exceptAll(made[1]).count() == 0 and made[1].count() == 3600
+    _, hot = O.split_hot(df, cut)
+    assert hot.count() == 3600
+    assert hot.groupBy("k", "_slice").count().agg(F.max("count")).first()[0] <= max(bound, 4)

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class TariffConfig:
-    """Prices per kWh, thresholds on utilization, and the weights of the reward."""
+    """Prices per kWh, thresholds on utilization, and the weights of the reward (fixed values)."""
 
     baseline_price: float = 15.0
     min_price: float = 5.0
@@ -68,6 +68,7 @@ CONGESTION_WEIGHTS: dict[str, float] = {
     "occupancy_density": 0.2,
 }
 
+# Lags and windows of the default and of the configured features.
 DEFAULT_LAGS = (1, 3, 6, 12)
 DEFAULT_WINDOWS = (12, 36, 288)
 CONFIG_LAGS = (1, 2, 3, 6, 12, 24, 48)

@@ -25,18 +25,22 @@ def congestion_label(utilization: Column, threshold: float = 0.8) -> Column:
     return F.coalesce((utilization > threshold).cast("int"), F.lit(0))
 
 
-def congestion_score(df: DataFrame, parts: Mapping[str, str], weights: Mapping[str, float] = CONGESTION_WEIGHTS) -> Column:
+def score_bounds(df: DataFrame, parts: Mapping[str, Column]) -> DataFrame:
+    """One row with a struct of the least and largest value of each part."""
+    ends = [f(c).alias(f"{name}_{kind}") for name, c in parts.items() for kind, f in (("min", F.min), ("max", F.max))]
+    return df.agg(F.struct(*ends).alias("b"))
+
+
+def congestion_score(
+    df: DataFrame, parts: Mapping[str, str], weights: Mapping[str, float] = CONGESTION_WEIGHTS, held: Column | None = None
+) -> Column:
     """Weighted sum of the min-max scaled parts in [0, 1].
 
-    ``parts`` maps each weight's name to its column. The bounds are one scalar subquery over ``df``:
-    a single row, whatever the size of the table.
+    ``parts`` maps each weight's name to its column. The bounds are a column ``held`` by the rows, or else one
+    scalar subquery over ``df``: a single row, whatever the size of the table.
     """
     zeroed = {name: F.coalesce(F.col(c), F.lit(0.0)) for name, c in parts.items()}
-    bounds = df.agg(
-        F.struct(*[f(c).alias(f"{name}_{kind}") for name, c in zeroed.items() for kind, f in (("min", F.min), ("max", F.max))]).alias(
-            "b"
-        )
-    ).scalar()
+    bounds = score_bounds(df, zeroed).scalar() if held is None else held
     total = F.lit(0.0)
     for name, value in zeroed.items():
         low, high = bounds[f"{name}_min"], bounds[f"{name}_max"]
@@ -61,11 +65,11 @@ def add_congestion_features(df: DataFrame, weights: Mapping[str, float] = CONGES
             "occupancy_density": density,
         }
     )
-    score = congestion_score(
-        base,
-        {"utilization": "utilization_rate", "queue_proxy": "queue_length_proxy", "occupancy_density": "occupancy_density"},
-        weights,
-    )
-    return base.withColumns(
+    parts = {"utilization": "utilization_rate", "queue_proxy": "queue_length_proxy", "occupancy_density": "occupancy_density"}
+    # One column for the subquery: each use of a scalar subquery would be planned on its own.
+    bounds = score_bounds(base, {name: F.coalesce(F.col(c), F.lit(0.0)) for name, c in parts.items()})
+    held = base.withColumn("_bounds", bounds.scalar())
+    score = congestion_score(held, parts, weights, F.col("_bounds"))
+    return held.withColumns(
         {"congestion_score": score, "congestion_label": congestion_label(F.col("utilization_rate"), threshold)}
-    )
+    ).drop("_bounds")

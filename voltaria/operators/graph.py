@@ -99,7 +99,7 @@ def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -
     return panel.select("ts", "node_id", *rest).join(current, ["ts", "node_id"]) if rest else current
 
 
-def fit_graph_forecast(panel: DataFrame, edges: DataFrame, hops: int = 2, window: int = 4, horizon: int = 1):
+def fit_graph_forecast(panel: DataFrame, edges: DataFrame, hops: int = 3, window: int = 12, horizon: int = 1):
     """Linear head on k-hop smoothed occupancy windows; returns the model and the predictions."""
     smooth = propagated(panel, edges, "occupancy", hops)
     series = Series(keys=("node_id",), by=("ts",))

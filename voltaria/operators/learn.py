@@ -72,7 +72,8 @@ def with_class_weights(df: DataFrame, method: str = "balanced", label: str = "la
     """Add ``weight``: ``balanced`` gives n / (2 n_class); ``positive`` weighs positives by the class ratio."""
     if method not in ("balanced", "positive"):
         raise ValueError(f"unknown class-weight method {method!r}")
-    counts = class_balance(df, label).select(F.struct("positives", "negatives", "ratio").alias("c")).scalar()
+    df = df.withColumn("_counts", class_balance(df, label).select(F.struct("positives", "negatives", "ratio").alias("c")).scalar())
+    counts = F.col("_counts")
     positive = F.col(label) == 1
     if method == "positive":
         weight = F.when(positive, counts["ratio"]).otherwise(F.lit(1.0))
@@ -80,7 +81,7 @@ def with_class_weights(df: DataFrame, method: str = "balanced", label: str = "la
         total = (counts["positives"] + counts["negatives"]).cast("double")
         own = F.when(positive, counts["positives"]).otherwise(counts["negatives"])
         weight = F.try_divide(total, F.lit(2.0) * own)
-    return df.withColumn("weight", weight)
+    return df.withColumn("weight", weight).drop("_counts")
 
 
 def regressors(trees: int = 20, depth: int = 5) -> Mapping[str, object]:

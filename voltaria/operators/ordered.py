@@ -5,9 +5,10 @@ task, which fails when a key holds a large share of the table (or when there is
 operator here therefore splits the input:
 
 * keys whose rows fit one task take the plain window;
-* a key beyond that is cut along its order column into slices of bounded size. The cuts are values,
-  not partition numbers, so a recomputed task lands every row in the same slice. What one slice owes
-  the next (row counts, last value, running sum) is one row per slice.
+* keys beyond that are range-partitioned by key and all order columns, as many slices as the rows need,
+  and written with the number of their slice, so that it stays what it is when a task is run again.
+  Ties of the first order column and its nulls are cut like other values, whatever the columns' types.
+  What one slice owes the next (row counts, last value, running sum) is one row per key and slice.
 
 Both ways give the same rows. Whether a key can exceed a task is read from the size statistics of the
 plan where those suffice. Only a larger input is counted, with map-side partial counts; one that is
@@ -21,17 +22,11 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from voltaria.session import input_bytes, is_derived, plan_bytes, stage
 
-MAX_HOT_KEYS = 1000
-MAX_SLICES = 4096
-MAX_BROADCAST_ROWS = 200_000
-
 _SLICE, _POS, _CHUNK, _HOME = "_slice", "_pos", "_chunk", "_home"
 
 
@@ -39,8 +34,8 @@ _SLICE, _POS, _CHUNK, _HOME = "_slice", "_pos", "_chunk", "_home"
 class Series:
     """How a frame is ordered: within ``keys``, by ``by``.
 
-    The first ``by`` column is a timestamp, date or number; the ``by`` columns together are unique
-    within a key, or row-order operators would have no defined result.
+    The ``by`` columns are of any type that has an order and together unique within a key, or row-order
+    operators would have no defined result.
     """
 
     keys: tuple[str, ...] = ()
@@ -65,17 +60,8 @@ def _fits(df: DataFrame, series: Series) -> bool:
     return plan_bytes(df) <= series.task_bytes or input_bytes(df) <= series.task_bytes // 4
 
 
-@dataclass(frozen=True)
-class Hot:
-    """Rows of keys that exceed a task, with the number of such rows and keys."""
-
-    df: DataFrame
-    rows: int
-    keys: int
-
-
-def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, Hot | None]:
-    """The rows whose key fits one task, and the rows whose key does not."""
+def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, DataFrame | None]:
+    """The rows whose key fits one task, and the rows whose key does not, with the slice each falls in."""
     if series.bounded or _fits(df, series):
         return df, None
     if is_derived(df):
@@ -84,75 +70,35 @@ def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, Hot | No
             return df, None
     if not series.keys:
         rows = df.count()
-        return (df, None) if rows <= series.task_rows else (None, Hot(df, rows, 1))
-    # At most MAX_HOT_KEYS rows reach the driver; a key below the largest thousand holds < 0.1 % of all rows.
-    top = (
-        df.groupBy(*series.keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > series.task_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not top:
-        return df, None
+        return (df, None) if rows <= series.task_rows else (None, _sliced(df, rows, series))
     names = [f"_hot_{k}" for k in series.keys]
-    kinds = [df.schema[k].dataType for k in series.keys]
-    hot = F.broadcast(
-        df.sparkSession.createDataFrame(
-            [tuple(row[k] for k in series.keys) for row in top],
-            T.StructType([T.StructField(n, kind, True) for n, kind in zip(names, kinds)]),
-        )
-    )
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(series.keys, names)]).agg(F.count(F.lit(1)).alias("_rows"))
+    # A written table: its size is known when Spark picks the joins below.
+    hot = stage(counts.where(F.col("_rows") > series.task_rows), "hot-keys")
+    rows = hot.agg(F.sum("_rows").alias("n")).first()["n"]
+    if not rows:
+        return df, None
     on = same_keys(df, hot, zip(series.keys, names))
-    picked = Hot(df.join(hot, on, "left_semi"), sum(row["_rows"] for row in top), len(top))
-    return df.join(hot, on, "left_anti"), picked
-
-
-def _order_number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        number = F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    elif isinstance(kind, T.DateType):
-        number = F.unix_date(name).cast("double")
-    elif isinstance(kind, T.NumericType):
-        number = F.col(name).cast("double")
-    else:
-        raise TypeError(f"cannot cut series by '{name}' of type {kind.simpleString()}")
-    # Nulls sort first, so they belong to the first slice.
-    return F.coalesce(number, F.lit(float("-inf")))
+    return df.join(hot, on, "left_anti"), _sliced(df.join(hot, on, "left_semi"), rows, series)
 
 
-def _slice(hot: Hot, series: Series) -> tuple[DataFrame, int]:
-    """Give each row the slice its order value falls in, and bound the number of keys times slices.
-
-    The driver holds at most MAX_SLICES cut values.
-    """
-    placed = hot.df.withColumn("_at", _order_number(hot.df, series.by[0]))
-    slices = min(MAX_SLICES, max(2, math.ceil(2 * hot.rows / series.task_rows)))
-    probabilities = [i / slices for i in range(1, slices)]
-    found = placed.stat.approxQuantile("_at", probabilities, 1 / (4 * slices))
-    cuts = sorted({c for c in found if math.isfinite(c)})
-    ends = hot.keys * (len(cuts) + 2)
-    if not cuts:
-        return placed.withColumn(_SLICE, F.lit(0)).drop("_at"), ends
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="_at", outputCol=_SLICE, handleInvalid="keep"
-    )
-    return bucketizer.transform(placed).withColumn(_SLICE, F.col(_SLICE).cast("int")).drop("_at"), ends
+def _sliced(df: DataFrame, rows: int, series: Series) -> DataFrame:
+    """Rows in slices of about half a task, cut along keys and order columns and written with their number."""
+    slices = max(2, math.ceil(2 * rows / series.task_rows))
+    ranged = df.repartitionByRange(slices, *series.keys, *series.by)
+    return stage(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
 
 
 def _with_carry(
     sliced: DataFrame,
     series: Series,
-    ends_bound: int,
     edges: Mapping[str, Column],
     carries: Mapping[str, Callable[[WindowSpec], Column]],
     backward: bool = False,
 ) -> DataFrame:
     """Join to each row what the earlier slices of its key hand over: one row per key and slice.
 
-    Broadcast when their number is known to be small, so that the rows themselves are not shuffled for it.
+    These rows are written first: Spark broadcasts the table if its size is known to be small.
     """
     group = [*series.keys, _SLICE]
     order = F.col(_SLICE).desc() if backward else F.col(_SLICE).asc()
@@ -162,18 +108,16 @@ def _with_carry(
         *[F.col(c).alias(f"_of_{c}") for c in group],
         *[make(earlier).alias(name) for name, make in carries.items()],
     )
-    if ends_bound <= MAX_BROADCAST_ROWS:
-        held = F.broadcast(held)
+    held = stage(held, "carries")
     joined = sliced.join(held, same_keys(sliced, held, [(c, f"_of_{c}") for c in group]), "left")
     return joined.drop(*[f"_of_{c}" for c in group])
 
 
-def _place(sliced: DataFrame, series: Series, ends: int, name: str) -> DataFrame:
+def _place(sliced: DataFrame, series: Series, name: str) -> DataFrame:
     """Exact 0-based position within the key: rows of earlier slices plus position in the slice."""
     base = _with_carry(
         sliced,
         series,
-        ends,
         {"_n": F.count(F.lit(1))},
         {"_base": lambda w: F.coalesce(F.sum("_n").over(w), F.lit(0))},
     )
@@ -209,8 +153,7 @@ def windowed(
     if hot is not None:
         size = max(series.task_rows, back, ahead, 1)
         offset = F.col(_POS) % size
-        sliced, ends = _slice(hot, series)
-        placed = _place(sliced, series, ends, _POS).drop(_SLICE)
+        placed = _place(hot, series, _POS).drop(_SLICE)
         homes = F.array_compact(
             F.array(
                 F.col(_HOME),
@@ -232,26 +175,24 @@ def position(df: DataFrame, series: Series, name: str = "position") -> DataFrame
     if cold is not None:
         parts.append(cold.withColumn(name, (F.row_number().over(series.window()) - 1).cast("long")))
     if hot is not None:
-        sliced, ends = _slice(hot, series)
-        parts.append(_place(sliced, series, ends, name).drop(_SLICE))
+        parts.append(_place(hot, series, name).drop(_SLICE))
     return _union(parts)
 
 
 def _fill(
-    part: DataFrame, series: Series, columns: Mapping[str, Column], backward: bool, ends: int | None = None
+    part: DataFrame, series: Series, columns: Mapping[str, Column], backward: bool, sliced: bool = False
 ) -> DataFrame:
-    """Fill within keys, or within slices plus what the slices before hand over when ``ends`` is given."""
-    extra = () if ends is None else (_SLICE,)
+    """Fill within keys, or within slices plus what the slices before hand over."""
+    extra = (_SLICE,) if sliced else ()
     # A reversed running frame, not a following one: Spark evaluates those in quadratic time.
     running = series.window(*extra, backward=backward).rowsBetween(Window.unboundedPreceding, 0)
-    if ends is None:
+    if not sliced:
         return part.withColumns({n: F.last(c, ignorenulls=True).over(running) for n, c in columns.items()})
     pick = F.min_by if backward else F.max_by
     at = F.struct(*series.by)
     held = _with_carry(
         part,
         series,
-        ends,
         {f"_end_{n}": pick(c, F.when(c.isNotNull(), at)) for n, c in columns.items()},
         {f"_held_{n}": _last_of(f"_end_{n}") for n in columns},
         backward,
@@ -281,19 +222,18 @@ def filled(
     cold, hot = split_hot(df, series)
     parts = [None if cold is None else _fill(cold, series, sources, backward)]
     if hot is not None:
-        sliced, ends = _slice(hot, series)
-        parts.append(_fill(sliced, series, sources, backward, ends).drop(_SLICE))
+        parts.append(_fill(hot, series, sources, backward, True).drop(_SLICE))
     return _union(parts)
 
 
-def _interpolate(part: DataFrame, series: Series, columns: list[str], ends: int | None = None) -> DataFrame:
-    if ends is not None:
-        placed = _place(part, series, ends, _POS)
+def _interpolate(part: DataFrame, series: Series, columns: list[str], sliced: bool = False) -> DataFrame:
+    if sliced:
+        placed = _place(part, series, _POS)
     else:
         placed = part.withColumn(_POS, F.row_number().over(series.window()).cast("long"))
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(_POS).alias("at"), F.col(c).alias("value"))) for c in columns}
-    both = _fill(placed, series, {f"_prev_{c}": known[c] for c in columns}, False, ends)
-    both = _fill(both, series, {f"_next_{c}": known[c] for c in columns}, True, ends)
+    both = _fill(placed, series, {f"_prev_{c}": known[c] for c in columns}, False, sliced)
+    both = _fill(both, series, {f"_next_{c}": known[c] for c in columns}, True, sliced)
 
     def between(c: str) -> Column:
         prev, nxt = F.col(f"_prev_{c}"), F.col(f"_next_{c}")
@@ -311,8 +251,7 @@ def interpolated(df: DataFrame, series: Series, columns: Iterable[str]) -> DataF
     cold, hot = split_hot(df, series)
     parts = [None if cold is None else _interpolate(cold, series, names)]
     if hot is not None:
-        sliced, ends = _slice(hot, series)
-        parts.append(_interpolate(sliced, series, names, ends).drop(_SLICE))
+        parts.append(_interpolate(hot, series, names, True).drop(_SLICE))
     return _union(parts)
 
 
@@ -326,11 +265,9 @@ def running_sum(df: DataFrame, series: Series, columns: Mapping[str, Column]) ->
         parts.append(cold.withColumns({n: F.sum(c).over(running) for n, c in sources.items()}))
     if hot is not None:
         running = series.window(_SLICE).rowsBetween(Window.unboundedPreceding, 0)
-        sliced, ends = _slice(hot, series)
         held = _with_carry(
-            sliced,
+            hot,
             series,
-            ends,
             {f"_end_{n}": F.sum(c) for n, c in sources.items()},
             {f"_held_{n}": _sum_of(f"_end_{n}") for n in sources},
         )

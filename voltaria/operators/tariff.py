@@ -206,11 +206,28 @@ def dynamic_scenario(decided: DataFrame, by: Iterable[str] = (), config: TariffC
     )
 
 
+_FIGURES = ("total_revenue", "mean_utilization", "congestion_rate", "off_peak_rate")
+
+
+def compare_decided(decided: DataFrame, price: float | None = None, config: TariffConfig = TariffConfig()) -> DataFrame:
+    """:func:`compare_scenarios` of one table of decided rows with ``volume``: both scenarios in one aggregation."""
+    at = config.baseline_price if price is None else price
+
+    def packed(revenue: Column, name: str) -> Column:
+        # Column names of the parts: revenue, mean utilization, congestion, off-peak, steps.
+        return F.struct(*_scenario_parts(revenue, F.col("utilization"), config)).alias(name)
+
+    wide = decided.agg(packed(F.lit(at) * F.col("volume"), "f"), packed(F.col("revenue_new"), "d"))
+    return _compared(wide)
+
+
 def compare_scenarios(fixed: DataFrame, dynamic: DataFrame) -> DataFrame:
     """``(metric, fixed, dynamic, change)`` from two one-row scenarios; signs as fixed minus dynamic for rates."""
-    figures = ("total_revenue", "mean_utilization", "congestion_rate", "off_peak_rate")
-    f = fixed.agg(F.struct(*[F.max(c).alias(c) for c in figures]).alias("f")).scalar()
-    wide = dynamic.select(f.alias("f"), F.struct(*figures).alias("d"))
+    f = fixed.agg(F.struct(*[F.max(c).alias(c) for c in _FIGURES]).alias("f")).scalar()
+    return _compared(dynamic.select(f.alias("f"), F.struct(*_FIGURES).alias("d")))
+
+
+def _compared(wide: DataFrame) -> DataFrame:
 
     def pct(c: str, falling: bool) -> Column:
         gap = F.col(f"f.{c}") - F.col(f"d.{c}") if falling else F.col(f"d.{c}") - F.col(f"f.{c}")

@@ -73,7 +73,12 @@ def latest_model_metrics(log: DataFrame, order: Iterable[str]) -> DataFrame:
 
 def forecast_with_interval(predictions: DataFrame, actuals: DataFrame, on: list[str], low: float = 0.05, high: float = 0.95) -> DataFrame:
     """Actual, prediction and an interval from the residual quantiles of the whole table."""
-    joined = predictions.join(actuals, on).withColumn("residual", F.col("actual") - F.col("prediction"))
+    return with_interval(predictions.join(actuals, on), on, low, high)
+
+
+def with_interval(rows: DataFrame, on: list[str], low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """:func:`forecast_with_interval` of rows that hold both ``actual`` and ``prediction``."""
+    joined = rows.withColumn("residual", F.col("actual") - F.col("prediction"))
     q = quantiles(joined, ["residual"], [low, high])["residual"]
     return joined.select(
         *on, "actual", "prediction", (F.col("prediction") + q[0]).alias("lower"), (F.col("prediction") + q[1]).alias("upper")
@@ -95,17 +100,22 @@ def station_hour_congestion(panel: DataFrame, station: str = "station_id", ts: s
 
 
 def congestion_alerts(
-    predictions: DataFrame, now: Column, hours: int = 4, threshold: float = 0.8, limit: int = 20, station: str = "station_id"
+    predictions: DataFrame, now: Column, hours: int = 4, threshold: float = 0.8, limit: int | None = None, station: str = "station_id", current: str | None = None
 ) -> DataFrame:
-    """The most likely congestions of the next hours with the advised action; a top-n."""
+    """The likely congestions of the next hours with the advised action, the likeliest first; all, or the first ``limit``.
+
+    The action is graded by probability; ``current`` names a column with the current utilization.
+    """
     until = now + F.expr(f"INTERVAL {hours} HOURS")
-    action = F.when(F.col("probability") > 0.9, "surge price").otherwise("watch")
-    return (
+    grade = F.when(F.col("probability") > 0.93, "surge +30%").when(F.col("probability") > 0.9, "surge +20%")
+    action = grade.when(F.col("probability") > 0.84, "surge +10%").otherwise("monitor")
+    now_at = [current] if current else []
+    alerts = (
         predictions.where((F.col("ts") > now) & (F.col("ts") <= until) & (F.col("probability") > threshold))
-        .select("ts", station, "probability", action.alias("action"))
+        .select("ts", station, "probability", *now_at, action.alias("action"))
         .orderBy(F.desc("probability"), "ts", station)
-        .limit(limit)
     )
+    return alerts if limit is None else alerts.limit(limit)
 
 
 def price_over_time(decided: DataFrame, ts: str = "ts", config: TariffConfig = TariffConfig()) -> DataFrame:
@@ -195,13 +205,20 @@ def loglog_elasticity(panel: DataFrame, by: str) -> DataFrame:
 
 
 def map_table(panel: DataFrame, dimension: DataFrame, view: str = "utilization", station: str = "station_id") -> DataFrame:
-    """One row per station with the value and bubble size of the chosen view."""
-    views = {"utilization": "utilization_rate", "volume": "volume", "price": "price", "congestion": "congestion_label"}
+    """One row per station with its dimension columns, the value and the bubble size of the chosen view (needs ``count``)."""
+    chargers = F.col("count").cast("double")
+    # What each view shows and how its bubbles are sized.
+    views = {
+        "utilization": (F.avg("utilization_rate"), chargers * 3.0),
+        "revenue": (F.sum("revenue"), F.col("value") / 500.0),
+        "congestion": (F.avg((F.col("utilization_rate") > 0.8).cast("double")), F.col("value") * 50.0),
+        "capacity": (F.first(F.lit(0.0)), chargers * 2.0),
+    }
     if view not in views:
         raise ValueError(f"unknown view {view!r}; choose from {tuple(views)}")
-    sized = {"utilization": 20.0, "volume": 0.01, "price": 1.0, "congestion": 30.0}[view]
-    value = panel.groupBy(station).agg(F.avg(views[view]).alias("value"))
-    return value.join(broadcast_if_small(dimension, one_row_per_key=True), station).withColumn("size", F.lit(5.0) + F.col("value") * F.lit(sized))
+    value, size = views[view]
+    rows = panel.groupBy(station).agg(value.alias("value")).join(broadcast_if_small(dimension, one_row_per_key=True), station)
+    return (rows.withColumn("value", chargers) if view == "capacity" else rows).withColumn("size", size)
 
 
 def top_districts(panel: DataFrame, value: str, node: str = "node_id", n: int = 10) -> DataFrame:

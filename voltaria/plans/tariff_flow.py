@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltaria.config import TariffConfig
@@ -13,18 +13,25 @@ from voltaria.operators.ordered import Series, windowed
 from voltaria.session import broadcast_if_small
 
 
-def decision_rows(panel: DataFrame, dimension: DataFrame, series: Series, station: str = "station_id") -> DataFrame:
+def decision_rows(panel: DataFrame, dimension: DataFrame | Mapping[str, Column], series: Series, station: str = "station_id") -> DataFrame:
     """Policy input: panel rows with the station's kind and a last-value demand forecast.
 
+    The kind (``fast_count``, ``count``, ``cbd_flag``) is a table to join or expressions over the panel.
+
     ``fast_ratio`` is the share of fast chargers and ``cbd_flag`` 1 for a central station.
     """
     forecast = windowed(panel, series, {"predicted_demand": lambda w: F.coalesce(F.lag("volume").over(w), F.col("volume"))}, back=1)
-    kind = dimension.select(
-        station,
-        F.try_divide(F.col("fast_count").cast("double"), F.col("count").cast("double")).alias("fast_ratio"),
-        F.col("cbd_flag").cast("double").alias("cbd_flag"),
-    )
-    return forecast.join(broadcast_if_small(kind, one_row_per_key=True), station).select(
+
+    def kind(fast: Column, count: Column, central: Column) -> dict[str, Column]:
+        return {"fast_ratio": F.try_divide(fast.cast("double"), count.cast("double")), "cbd_flag": central.cast("double")}
+
+    if isinstance(dimension, Mapping):
+        rows = forecast.withColumns(kind(dimension["fast_count"], dimension["count"], dimension["cbd_flag"]))
+    else:
+        made = kind(F.col("fast_count"), F.col("count"), F.col("cbd_flag"))
+        table = dimension.select(station, *[c.alias(n) for n, c in made.items()])
+        rows = forecast.join(broadcast_if_small(table, one_row_per_key=True), station)
+    return rows.select(
         "ts",
         station,
         "occupancy",

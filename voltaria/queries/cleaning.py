@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,9 +63,9 @@ def session_copies_dropped(spark: SparkSession, sf: str) -> DataFrame:
 _KWH = "SELECT sessionID, {} AS kWhDelivered FROM sessions"
 
 
-def _missing(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
+def _missing(spark: SparkSession, sf: str, strategy: str, series: Series | None = None) -> DataFrame:
     df = V.sessions(spark, sf)
-    return C.handle_missing(df, strategy, ["kWhDelivered"], _SESSIONS).select("sessionID", "kWhDelivered")
+    return C.handle_missing(df, strategy, ["kWhDelivered"], series or _SESSIONS).select("sessionID", "kWhDelivered")
 
 
 @query(
@@ -196,6 +198,41 @@ def row_positions(spark: SparkSession, sf: str) -> DataFrame:
     return position(V.table(spark, sf, "events").select("event_id", "ts"), Series(by=("ts", "event_id"))).drop("ts")
 
 
+# The same queries with every key cut into slices: what a large table takes is held against the same SQL.
+_CUT = {"task_rows": 400, "task_bytes": 0}
+
+
+@query("row_positions_split", "SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS position FROM events")
+def row_positions_split(spark: SparkSession, sf: str) -> DataFrame:
+    series = Series(by=("ts", "event_id"), **_CUT)
+    return position(V.table(spark, sf, "events").select("event_id", "ts"), series).drop("ts")
+
+
+@query(
+    "missing_interpolate_split",
+    with_views("SELECT * FROM " + interpolate("sessions", "stationID", "sessionID", "kWhDelivered", "sessionID"), "sessions"),
+)
+def missing_interpolate_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _missing(spark, sf, "interpolate", replace(_SESSIONS, **_CUT))
+
+
+@query(
+    "missing_bfill_split",
+    with_views(
+        _KWH.format("first_value(kWhDelivered IGNORE NULLS) OVER w")
+        + " WINDOW w AS (PARTITION BY stationID ORDER BY sessionID ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)",
+        "sessions",
+    ),
+)
+def missing_bfill_split(spark: SparkSession, sf: str) -> DataFrame:
+    return _missing(spark, sf, "bfill", replace(_SESSIONS, **_CUT))
+
+
+@query("sessions_clean_split", with_views("SELECT * FROM clean_sessions", "clean_sessions"))
+def sessions_clean_split(spark: SparkSession, sf: str) -> DataFrame:
+    return C.clean_sessions(V.sessions(spark, sf), replace(_SESSIONS, **_CUT))
+
+
 @query(
     "chronological_split",
     with_views(

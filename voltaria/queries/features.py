@@ -82,7 +82,7 @@ def _demand_sql() -> str:
     columns = ["utilization_rate", "volume", "price", "revenue"]
     made = [f"lag({c}, {k}) OVER w AS {c}_lag_{k}" for c in columns for k in (1, 3, 6, 12)]
     for c in columns:
-        for n in (12, 36):
+        for n in (12, 36, 288):
             frame = f"(PARTITION BY station_id ORDER BY ts ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
             made.append(f"{R(f'avg({c}) OVER {frame}', 6)} AS {c}_rolling_mean_{n}")
             made.append(f"{R(f'stddev_samp({c}) OVER {frame}', 5)} AS {c}_rolling_std_{n}")
@@ -97,7 +97,7 @@ def _demand_sql() -> str:
 
 @query("demand_features", _demand_sql())
 def demand_features(spark: SparkSession, sf: str) -> DataFrame:
-    made = D.add_demand_features(V.station_panel(spark, sf), V.STATION_SERIES, windows=(12, 36))
+    made = D.add_demand_features(V.station_panel(spark, sf), V.STATION_SERIES)
     rolling = {c: 5 if "_std_" in c else 6 for c in made.columns if "_rolling_" in c}
     return made.withColumns({c: settle(c, d) for c, d in rolling.items()})
 

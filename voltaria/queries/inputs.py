@@ -27,13 +27,9 @@ def weekly_decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hourly_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    panel = V.hourly_panel(spark, sf)
     station = F.col("station_id")
-    kinds = V.table(spark, sf, "events").select(F.col("user_id").alias("station_id")).distinct()
-    dimension = kinds.select(
-        "station_id", (station % 3).alias("fast_count"), F.lit(3).alias("count"), (station % 5 == 0).alias("cbd_flag")
-    )
-    return decision_rows(panel, dimension, V.STATION_SERIES)
+    attributes = {"fast_count": station % 3, "count": F.lit(3), "cbd_flag": station % 5 == 0}
+    return decision_rows(V.hourly_panel(spark, sf), attributes, V.STATION_SERIES)
 
 
 def weekly_decided(spark: SparkSession, sf: str) -> DataFrame:

@@ -19,7 +19,6 @@ from voltaria.sources import metric_log as ML
 ORDER = ("ts", "station_id")
 DEMAND_FEATURES = ["occupancy", "price", "capacity", "volume", "volume_lag_1", "volume_lag_3", "volume_lag_6", "volume_lag_12"]
 CONGESTION_FEATURES = ["volume_lag_1", "price_lag_1", "occupancy_lag_1", "occupancy_lag_3", "capacity"]
-TREES, DEPTH = 5, 4
 
 
 def demand_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +136,7 @@ def _parts(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
 def demand_models(spark: SparkSession, sf: str) -> DataFrame:
     """Test metrics of both regressors, appended to the performance log and read back."""
     train, test = _parts(_demand(spark, sf))
-    models = L.fit_all(train, DEMAND_FEATURES, L.regressors(TREES, DEPTH))
+    models = L.fit_all(train, DEMAND_FEATURES, L.regressors())
     path = scratch_path(spark, "performance")
     ML.append_log(L.performance_records(L.compare_regressors(models, test)), path, MODEL_PERFORMANCE)
     return ML.read_log(spark, path, MODEL_PERFORMANCE, limit=None).drop("timestamp")
@@ -146,21 +145,21 @@ def demand_models(spark: SparkSession, sf: str) -> DataFrame:
 @query("best_demand_model")
 def best_demand_model(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(_demand(spark, sf))
-    models = L.fit_all(train, DEMAND_FEATURES, L.regressors(TREES, DEPTH))
+    models = L.fit_all(train, DEMAND_FEATURES, L.regressors())
     return L.best_model(L.compare_regressors(models, test), "r2", L.REGRESSORS)
 
 
 @query("best_congestion_model")
 def best_congestion_model(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(_congestion(spark, sf))
-    models = L.fit_all(L.with_class_weights(train), CONGESTION_FEATURES, L.classifiers(TREES, DEPTH))
+    models = L.fit_all(L.with_class_weights(train), CONGESTION_FEATURES, L.classifiers())
     return L.best_model(L.compare_classifiers(models, test), "f1", L.CLASSIFIERS)
 
 
 @query("demand_feature_importance")
 def demand_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _parts(_demand(spark, sf))
-    model = L.fit_all(train, DEMAND_FEATURES, {"forest": L.regressors(TREES, DEPTH)["forest"]})["forest"]
+    model = L.fit_all(train, DEMAND_FEATURES, {"forest": L.regressors()["forest"]})["forest"]
     return L.feature_importance(spark, model, DEMAND_FEATURES)
 
 
@@ -169,7 +168,7 @@ def congestion_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Probability and class of the test rows from a model that was saved and loaded."""
     train, test = _parts(_congestion(spark, sf))
     weighted = L.with_class_weights(train)
-    model = L.fit_all(weighted, CONGESTION_FEATURES, {"forest": L.classifiers(TREES, DEPTH)["forest"]})["forest"]
+    model = L.fit_all(weighted, CONGESTION_FEATURES, {"forest": L.classifiers()["forest"]})["forest"]
     path = scratch_path(spark, "model")
     L.save_model(model, path)
     return L.predict(L.load_model(path), test).select("ts", "station_id", "label", "prediction", "probability")
@@ -189,9 +188,9 @@ def time_series_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("cross_validation")
 def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
-    """Metrics of the forest regressor on two expanding folds."""
+    """Metrics of both regressors on five expanding folds."""
     prepared = L.clean_features(demand_table(spark, sf), DEMAND_FEATURES).withColumn(
         "label", F.coalesce("future_volume", F.lit(0.0))
     )
-    folds = stage(L.expanding_folds(prepared, folds=2), "folds")
-    return L.cross_validate(folds, DEMAND_FEATURES, {"forest": L.regressors(TREES, DEPTH)["forest"]}, 2)
+    folds = stage(L.expanding_folds(prepared, folds=5), "folds")
+    return L.cross_validate(folds, DEMAND_FEATURES, L.regressors(), 5)

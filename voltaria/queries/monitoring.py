@@ -9,7 +9,7 @@ from voltaria.config import MonitorConfig
 from voltaria.operators import monitor as K
 from voltaria.operators.ordered import Series
 from voltaria.queries.inputs import episodes, metric_rows, weekly_decided
-from voltaria.queries.registry import R, query, rounded
+from voltaria.queries.registry import R, query, rounded, settle
 from voltaria.queries.views_sql import with_views
 
 KEYS = ["station_id", "metric"]
@@ -105,8 +105,7 @@ def _gaps(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def feedback_gaps(spark: SparkSession, sf: str) -> DataFrame:
-    gaps = _gaps(spark, sf)
-    return rounded(gaps.drop("target", "weight"), 6).join(gaps.select("metric", "target", "weight"), "metric")
+    return _gaps(spark, sf).withColumns({c: settle(c, 6) for c in ("current", "gap")})
 
 
 @query("feedback_score", with_views(f"SELECT {R('greatest(100 - sum(abs(gap) * weight), 0)', 6)} AS overall_score FROM {_GAPS}", "metrics"))

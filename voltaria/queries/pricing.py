@@ -150,9 +150,7 @@ def dynamic_scenario(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def scenario_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    fixed = X.fixed_scenario(V.station_panel(spark, sf))
-    dynamic = X.dynamic_scenario(weekly_decided(spark, sf))
-    return rounded(X.compare_scenarios(fixed, dynamic), 3)
+    return rounded(X.compare_decided(weekly_decided(spark, sf)), 3)
 
 
 @query(

@@ -118,9 +118,8 @@ def latest_metrics(spark: SparkSession, sf: str) -> DataFrame:
 def forecast_interval(spark: SparkSession, sf: str) -> DataFrame:
     panel = V.station_panel(spark, sf).select("ts", "station_id", "volume")
     shifted = windowed(panel, V.STATION_SERIES, {"prediction": lambda w: F.lag("volume").over(w)}, back=1)
-    predictions = shifted.where(F.col("prediction").isNotNull()).select("ts", "station_id", "prediction")
-    actuals = panel.select("ts", "station_id", F.col("volume").alias("actual"))
-    made = M.forecast_with_interval(predictions, actuals, ["ts", "station_id"])
+    rows = shifted.where(F.col("prediction").isNotNull()).withColumnRenamed("volume", "actual")
+    made = M.with_interval(rows, ["ts", "station_id"])
     return made.withColumns({c: settle(c, 6) for c in ("lower", "upper")})
 
 
@@ -155,10 +154,11 @@ _NOW = "2024-01-20 12:00:00"
 @query(
     "congestion_alerts",
     with_views(
-        f"""SELECT ts, station_id, probability, CASE WHEN probability > 0.9 THEN 'surge price' ELSE 'watch' END AS action
+        f"""SELECT ts, station_id, probability, probability AS current_utilization, CASE WHEN probability > 0.93 THEN 'surge +30%'
+          WHEN probability > 0.9 THEN 'surge +20%' WHEN probability > 0.84 THEN 'surge +10%' ELSE 'monitor' END AS action
         FROM (SELECT ts, station_id, lag({clip_util()}) OVER (PARTITION BY station_id ORDER BY ts) AS probability FROM hourly_panel)
         WHERE ts > TIMESTAMP '{_NOW}' AND ts <= TIMESTAMP '{_NOW}' + INTERVAL 4 HOURS AND probability > 0.8
-        ORDER BY probability DESC, ts, station_id LIMIT 20""",
+        ORDER BY probability DESC, ts, station_id""",
         "hourly_panel",
     ),
 )
@@ -166,7 +166,8 @@ def congestion_alerts(spark: SparkSession, sf: str) -> DataFrame:
     """The last known utilization as the probability."""
     rows = hourly_rows(spark, sf).select("ts", "station_id", "utilization_rate")
     scored = windowed(rows, V.STATION_SERIES, {"probability": lambda w: F.lag("utilization_rate").over(w)}, back=1)
-    return M.congestion_alerts(scored, F.lit(_NOW).cast("timestamp_ntz"))
+    scored = scored.withColumn("current_utilization", F.col("probability"))
+    return M.congestion_alerts(scored, F.lit(_NOW).cast("timestamp_ntz"), current="current_utilization")
 
 
 @query(
@@ -302,18 +303,48 @@ def loglog_elasticity(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(M.loglog_elasticity(V.station_panel(spark, sf), "station_id"), 6)
 
 
-@query(
-    "map_table",
-    with_views(
-        f"""SELECT station_id, node_id, region, {R('value')} AS value, {R('5 + value * 20', 6)} AS size
-        FROM (SELECT station_id, avg({clip_util()}) AS value FROM station_panel GROUP BY 1) JOIN station_dim USING (station_id)""",
+_MAP = {
+    "utilization": (f"avg({clip_util()})", "chargers * 3"),
+    "revenue": ("sum(coalesce(volume * price, 0))", "value / 500"),
+    "congestion": (f"avg(CASE WHEN {clip_util()} > 0.8::DOUBLE THEN 1.0::DOUBLE ELSE 0 END)", "value * 50"),
+    "capacity": ("count(*)", "chargers * 2"),
+}
+
+
+def _map_sql(view: str) -> str:
+    value, size = _MAP[view]
+    shown = "chargers" if view == "capacity" else "value"
+    return with_views(
+        f"""SELECT station_id, node_id, region, "count", {R(shown, 4)} AS value, {R(size, 4)} AS size
+        FROM (SELECT *, CAST("count" AS DOUBLE) AS chargers FROM (SELECT station_id, {value} AS value FROM station_panel GROUP BY 1) JOIN station_dim USING (station_id))""",
         "station_panel",
         "station_dim",
-    ),
-)
+    )
+
+
+def _map_table(spark: SparkSession, sf: str, view: str) -> DataFrame:
+    dim = V.station_dim(spark, sf).select("station_id", "node_id", "region", "count")
+    return rounded(M.map_table(station_rows(spark, sf), dim, view), 4)
+
+
+@query("map_table", _map_sql("utilization"))
 def map_table(spark: SparkSession, sf: str) -> DataFrame:
-    dim = V.station_dim(spark, sf).select("station_id", "node_id", "region")
-    return rounded(M.map_table(station_rows(spark, sf), dim), size=6)
+    return _map_table(spark, sf, "utilization")
+
+
+@query("map_table_revenue", _map_sql("revenue"))
+def map_table_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    return _map_table(spark, sf, "revenue")
+
+
+@query("map_table_congestion", _map_sql("congestion"))
+def map_table_congestion(spark: SparkSession, sf: str) -> DataFrame:
+    return _map_table(spark, sf, "congestion")
+
+
+@query("map_table_capacity", _map_sql("capacity"))
+def map_table_capacity(spark: SparkSession, sf: str) -> DataFrame:
+    return _map_table(spark, sf, "capacity")
 
 
 _TOP = """SELECT node_id, value FROM (SELECT node_id, round(avg({0}), 6) AS value

@@ -1,4 +1,4 @@
-"""Explicit schemas of the domain tables; nothing is inferred on read."""
+"""Explicit schemas of the domain tables; nothing is inferred on read. Column names are fixed values of the files."""
 
 from __future__ import annotations
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
+_session_dirs: set[str] = set()
 
 
 def build_session(app: str = "voltaria", master: str | None = None, **conf: str) -> SparkSession:
@@ -28,20 +32,37 @@ def build_session(app: str = "voltaria", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is named (tests)."""
+    """The shared folder named by the cluster. Only a local master, as in tests, gets one of its own."""
     named = spark.conf.get(_CHECKPOINT_KEY, None)
     if not named:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = held.get() if held.isDefined() else None
     if not named:
-        named = tempfile.mkdtemp(prefix="voltaria-")
-        spark.sparkContext.setCheckpointDir(named)
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError(f"name a folder that all executors share in {_CHECKPOINT_KEY}")
+        named = _local_dirs.get(context.applicationId)
+        if named is None:
+            named = _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="voltaria-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
     return named
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This session's folder under the shared one; it goes when the session's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/voltaria-{spark.sparkContext.applicationId}"
+    if path not in _session_dirs:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _session_dirs.add(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/voltaria-{label}-{uuid.uuid4().hex}"
+    """A fresh path in the session's folder."""
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
