@@ -29,3 +29,12 @@ def test_stages_keep_columns_and_odd_rows(spark):
     empty = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_queries_equal_their_sql(spark):
+    import oracle
+    from voltaria.llm import queries
+
+    con = oracle.connect("/root/testdata/sf0.001")
+    for name, sql in queries.ORACLES.items():
+        assert oracle.compare(queries.QUERIES[name](spark, "/root/testdata/sf0.001"), con, sql) == [], name

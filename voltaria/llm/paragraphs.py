@@ -5,10 +5,11 @@ and of values per band is tuned so that a pair at the threshold meets with a cha
 bands. Paragraphs that meet are verified on their exact shingle sets, linked into components (``linking``), and all but the
 first paragraph of a component are removed.
 
-A passage inside longer paragraphs is found on sentences (cut after ``.``, ``!``, ``?`` and at line ends): a sentence of
-``GLUE`` words or more that an earlier document holds too is repeated, and consecutive repeated sentences of ``least`` words
-together are a passage to remove. The earlier document is the one of the smaller row id, so of all holders of a passage
-exactly the first keeps it. Shorter sentences take part in the run around them.
+A passage inside longer paragraphs is found on sentences (cut after ``.``, ``!``, ``?`` and at line ends) of ``GLUE`` words or
+more: two neighbouring sentences that an earlier document holds as neighbours are repeated, and so is a single
+sentence of ``least`` words. A run of repeated pairs of ``least`` words together is a passage to remove. The earlier document
+is the one of the smaller row id, so of all holders of a passage exactly the first keeps it. Shorter sentences
+take part in the run around them; where they follow each other, ``GLUE`` of them count as one.
 
 Row ids are hashes of key and text. Defined cases: null and empty texts and texts of short lines have nothing to remove;
 repeated rows of one key and text share a row id and are treated alike, the text is kept; null keys are allowed; a
@@ -32,8 +33,8 @@ from voltaria.session import stage
 
 LEAST_WORDS, GLUE, WIDTH, PERCENT, RECALL = 25, 4, 5, 80, 0.999
 _BASE, _INVERSE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(pow(0xC2B2AE3D27D4EB4F, -1, 1 << 64))
-#: Marks in meta: a paragraph's own row, a sentence.
-_PARAGRAPH, _SENTENCE, _BAND = 0, 1, 2
+#: Marks in meta: a long sentence, a band, a pair of sentences.
+_SENTENCE, _BAND, _PAIR = 1, 2, 3
 
 
 def tuned(percent: int = PERCENT, recall: float = RECALL, noise: float = 0.4) -> tuple[int, int]:
@@ -87,7 +88,20 @@ def parsed(data: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarra
     stop = data[ends - 1]
     after = np.zeros(len(words), dtype=bool)
     after[1:] = ((stop == 46) | (stop == 33) | (stop == 63))[:-1]
-    return words, starts, ends, _units(words, new_line, first, least), _units(words, new_line | after, first, GLUE)
+    return words, starts, ends, _units(words, new_line, first, least), _units(words, _gathered(new_line, new_line | after), first, GLUE)
+
+
+def _gathered(new_line: np.ndarray, breaks: np.ndarray) -> np.ndarray:
+    """Sentence starts; of short sentences that follow each other within a line, ``GLUE`` make one."""
+    starts = np.flatnonzero(breaks)
+    short = np.diff(np.append(starts, len(breaks))) < GLUE
+    follows = np.zeros(len(starts), dtype=bool)
+    follows[1:] = short[1:] & short[:-1] & ~new_line[starts[1:]]
+    at = np.arange(len(starts))
+    number = at - np.maximum.accumulate(np.where(follows, 0, at))
+    breaks = breaks.copy()
+    breaks[starts[follows & (number % GLUE != 0)]] = False
+    return breaks
 
 
 def _minhash(words: np.ndarray, units: Units, bands: int, rows: int) -> np.ndarray:
@@ -123,10 +137,15 @@ def _emit(least: int, bands: int, rows: int):
                     item.append(np.repeat(new, bands))
                     meta.append(np.full(len(new) * bands, _BAND, np.int64))
                 if len(sentences.a):
-                    sign.append(signed(sentences.hash))
-                    item.append(ids[row + sentences.text])
                     size = np.minimum(sentences.b - sentences.a, 255)
-                    meta.append(_SENTENCE + (size << 2) + (sentences.index << 10))
+                    long = np.flatnonzero(sentences.b - sentences.a >= least)
+                    sign.append(signed(sentences.hash[long]))
+                    item.append(ids[row + sentences.text[long]])
+                    meta.append(_SENTENCE + (size[long] << 2) + (sentences.index[long] << 18))
+                    pair = np.flatnonzero(sentences.text[1:] == sentences.text[:-1])
+                    sign.append(signed(mix(sentences.hash[pair] * _BASE + sentences.hash[pair + 1])))
+                    item.append(ids[row + sentences.text[pair]])
+                    meta.append(_PAIR + (size[pair] << 2) + (size[pair + 1] << 10) + (sentences.index[pair] << 18))
             yield stream.batch(*(np.concatenate(x) for x in (sign, item, meta)), tuple(np.concatenate(x) for x in zip(*own)))
 
     return run
@@ -181,13 +200,19 @@ def _paragraphs(plain: DataFrame, kept: DataFrame, least: int, percent: int) ->
 
 
 def _passages(kept: DataFrame, least: int) -> DataFrame:
-    rows = kept.where((F.col("meta") % 4 == _SENTENCE) & ~F.col("forced")).select(
-        "sign", F.col("item").alias("row"), (F.shiftright("meta", 2) % 256).alias("words"), F.shiftright("meta", 10).alias("index")
+    part = lambda shift: F.shiftright("meta", shift) % 256
+    rows = kept.where((F.col("meta") % 4).isin(_SENTENCE, _PAIR) & ~F.col("forced")).select(
+        "sign", F.col("item").alias("row"), (F.col("meta") % 4 == _PAIR).alias("pair"), part(2).alias("words"), part(10).alias("more"), F.shiftright("meta", 18).alias("index")
     )
     owners = rows.groupBy("sign").agg(F.min("row").alias("keeper"))
-    later = rows.join(owners, "sign").where("row <> keeper").select("row", "index", "words", "keeper").dropDuplicates(["row", "index"])
-    island = F.col("index") - F.row_number().over(Window.partitionBy("row").orderBy("index"))
-    runs = later.withColumn("island", island).groupBy("row", "island").agg(F.min("index").alias("first"), F.max("index").alias("last"), F.sum("words").alias("words"), F.min("keeper").alias("keeper"))
+    later = rows.join(owners, "sign").where("row <> keeper").dropDuplicates(["row", "pair", "index"])
+    island = F.when(F.col("pair"), F.col("index") - F.row_number().over(Window.partitionBy("row", "pair").orderBy("index"))).otherwise(F.col("index"))
+    runs = later.withColumn("island", island).groupBy("row", "pair", "island").agg(
+        F.min("index").alias("first"),
+        (F.max("index") + F.when(F.col("pair"), 1).otherwise(0)).alias("last"),
+        (F.sum("words") + F.max_by("more", "index")).alias("words"),
+        F.min("keeper").alias("keeper"),
+    )
     return runs.where(F.col("words") >= least).select("row", F.lit("passage").alias("kind"), "first", "last", "words", "keeper")
 
 

@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from voltaria.llm import oracles
 from voltaria.llm.bpe import vocabulary
 from voltaria.llm.count import token_counts
 from voltaria.llm.encode import encode
@@ -21,7 +22,7 @@ from voltaria.llm.template import extract
 from voltaria.llm.tiling import contaminated
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_rendezvous_shards": oracles.SHARDS, "op8_jaccard_join": oracles.JACCARD}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
