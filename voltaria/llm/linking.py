@@ -10,6 +10,8 @@ holds alone among all candidates, and in the difference of the numbers of their
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -49,27 +51,27 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     ``buckets``: ``bucket, item``; ``sets``: ``item, size, hashes`` (distinct hashes of each item, one row an item).
     Returns ``node, component`` for every item that links with another. Leaders are the items in most buckets, so
-    the buckets of one group of copies elect the same ones.
+    the buckets of one group of copies elect the same ones. Between rounds labels follow the links found by a few
+    steps only, which may leave a bucket open for longer; the components are those of all links at the end.
     """
     spark = buckets.sparkSession
     sets = sets.select("item", "size", "hashes")
-    facts = stage(_facts(sets), "facts")
+    facts = _facts(sets)
     # A set with more hashes of its own than any partner could lack has no partner.
     most = (F.col("size") + F.floor(F.col("size") * 100 / percent)) * (100 - percent)
-    buckets = stage(buckets.join(facts.where(F.col("lone") * (100 + percent) <= most), "item"), "buckets")
     weight = buckets.groupBy("item").agg((F.count("*") * (1 << 32)).alias("weight"))
     weight = weight.select("item", (F.col("weight") + F.pmod(F.xxhash64("item"), F.lit(1 << 32))).alias("weight"))
     fields = ["bucket", "item", "weight", "size", "lone"]
-    open_ = stage(buckets.join(weight, "item").select(*fields), "buckets")
-    links: DataFrame | None = None
+    facts = stage(facts.where(F.col("lone") * (100 + percent) <= most).join(weight, "item"), "facts")
+    open_ = buckets.join(facts, "item").select(*fields)
+    links: list[DataFrame] = []
     labels: DataFrame | None = None
     tested: DataFrame | None = None
     leaders, turn = FIRST_LEADERS, 0
     while True:
         cur = open_.withColumn("label", F.col("item"))
         if labels is not None:
-            known = labels.select(F.col("node").alias("item"), "component")
-            cur = open_.join(known, "item", "left").select(*fields, F.coalesce("component", "item").alias("label"))
+            cur = open_.join(labels.withColumnRenamed("node", "item"), "item", "left").select(*fields, F.coalesce("component", "item").alias("label"))
         live = cur.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
         cur = stage(cur.join(live, "bucket", "left_semi"), "open")
         if cur.isEmpty():
@@ -82,15 +84,34 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
+        found = stage(verified(pairs, pairs.count(), sets, percent), "links")
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         tested = both if tested is None else tested.unionByName(both)
-        found = stage(verified(pairs, sets, percent), "links")
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = stage(components(links), "labels")
+        links.append(found)
+        labels = stage(_followed(found, labels), "labels")
         open_ = cur.select(*fields).join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
-        leaders, turn = min(leaders * 2, 1 << 20), turn + 1
-    return labels if labels is not None else spark.createDataFrame([], "node long, component long")
+        leaders, turn = min(leaders * 4, 1 << 20), turn + 1
+    if not links:
+        return spark.createDataFrame([], "node long, component long")
+    return stage(components(reduce(DataFrame.unionByName, links)), "labels")
+
+
+def _followed(found: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Labels after new links: an item, and the label it had, take the least label across its links."""
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    if labels is None:
+        named = both.select("a", F.col("a").alias("la"), F.col("b").alias("lb"))
+        old = both.select(F.col("a").alias("node"), F.col("a").alias("component"))
+    else:
+        of = lambda c, n: labels.select(F.col("node").alias(c), F.col("component").alias(n))
+        named = both.join(of("a", "la"), "a", "left").join(of("b", "lb"), "b", "left").select("a", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+        old = labels.unionByName(both.select(F.col("a").alias("node"), F.col("a").alias("component")))
+    moved = named.select(F.explode(F.array("a", "la")).alias("node"), F.least("la", "lb").alias("component"))
+    least = old.unionByName(moved).groupBy("node").agg(F.min("component").alias("component"))
+    up = least.select(F.col("node").alias("component"), F.col("component").alias("next"))
+    for _ in range(2):
+        least = least.join(up, "component", "left").select("node", F.coalesce("next", "component").alias("component"))
+    return least
 
 
 def _facts(sets: DataFrame) -> DataFrame:
@@ -107,14 +128,12 @@ def _possible(percent: int) -> Column:
     return fits & (apart * (100 + percent) <= (F.col("size") + F.col("head_size")) * (100 - percent))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int = 4096) -> DataFrame:
+def verified(pairs: DataFrame, count: int, sets: DataFrame, percent: int, block: int = 4096) -> DataFrame:
     """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold.
 
     Pairs are dealt into blocks by a; each block gets the set of each of its items once, not once a pair.
     """
-    fit = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "fit")
-    blocks = 1 + fit.count() // block
-    fit = fit.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)))
+    fit = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(1 + count // block)))
     left = fit.groupBy("block", "b").agg(F.collect_list("a").alias("members")).join(sets.select(F.col("item").alias("b"), F.col("hashes").alias("y")), "b")
     own = fit.select(F.col("block").alias("part"), F.col("a").alias("item")).distinct()
     right = own.join(sets.select("item", F.col("hashes").alias("x")), "item")
