@@ -30,6 +30,8 @@ HEADLINE = (
     "metric_drift",
     "kpi_summary",
     "revenue_waterfall",
+    "row_positions_split",
+    "missing_interpolate_split",
 )
 
 
