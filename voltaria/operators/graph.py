@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaria.functions.temporal import hour_angle, weekday_share
-from voltaria.operators.ordered import Series, windowed
+from voltaria.operators.ordered import Series, ordered_cut, windowed
 from voltaria.session import broadcast_if_small, stage
 
 
@@ -100,7 +100,10 @@ def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -
 
 
 def fit_graph_forecast(panel: DataFrame, edges: DataFrame, hops: int = 3, window: int = 12, horizon: int = 1):
-    """Linear head on k-hop smoothed occupancy windows; returns the model and the predictions."""
+    """Linear head on k-hop smoothed occupancy windows, fitted on the first 80 % of the samples in time.
+
+    Returns the model and the predictions of the others.
+    """
     smooth = propagated(panel, edges, "occupancy", hops)
     series = Series(keys=("node_id",), by=("ts",))
     signals = ["occupancy", *[f"occupancy_hop_{k}" for k in range(1, hops + 1)]]
@@ -113,9 +116,11 @@ def fit_graph_forecast(panel: DataFrame, edges: DataFrame, hops: int = 3, window
         ahead=horizon,
     ).dropna(subset=[*lagged, "target"])
     # Read by the fit and by the predictions.
-    ready = VectorAssembler(inputCols=list(lagged), outputCol="x").transform(stage(made, "samples"))
-    model = LinearRegression(featuresCol="x", labelCol="target", predictionCol="prediction", regParam=0.01).fit(ready)
-    return model, model.transform(ready).select("ts", "node_id", "target", "prediction")
+    samples = stage(ordered_cut(made, ("ts", "node_id"), 0.8), "samples")
+    ready = VectorAssembler(inputCols=list(lagged), outputCol="x").transform(samples)
+    head = LinearRegression(featuresCol="x", labelCol="target", predictionCol="prediction", regParam=0.01)
+    model = head.fit(ready.where("in_head"))
+    return model, model.transform(ready.where("not in_head")).select("ts", "node_id", "occupancy", "target", "prediction")
 
 
 def as_vectors(samples: DataFrame) -> DataFrame:

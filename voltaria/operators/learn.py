@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import PipelineModel
@@ -10,7 +11,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -102,10 +103,34 @@ def classifiers(trees: int = 20, depth: int = 5, weighted: bool = True) -> Mappi
     }
 
 
-def fit_all(train: DataFrame, features: Iterable[str], estimators: Mapping[str, object]) -> dict[str, PipelineModel]:
-    """One fitted pipeline per candidate."""
+def fit_all(
+    train: DataFrame, features: Iterable[str], estimators: Mapping[str, object], validation: str | None = None
+) -> dict[str, PipelineModel]:
+    """One fitted pipeline per candidate.
+
+    ``validation`` names a boolean column of rows to learn nothing from: boosted trees stop by their error on them,
+    forests are fitted without them.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return {name: Pipeline(stages=[assembler, est]).fit(train) for name, est in estimators.items()}
+    models = {}
+    for name, estimator in estimators.items():
+        rows = train
+        if validation and estimator.hasParam("validationIndicatorCol"):
+            estimator = estimator.copy({estimator.getParam("validationIndicatorCol"): validation})
+        elif validation:
+            rows = train.where(~F.col(validation))
+        models[name] = Pipeline(stages=[assembler, estimator]).fit(rows)
+    return models
+
+
+def hyperparams(models: Mapping[str, PipelineModel]) -> dict[str, str]:
+    """The settings of each fitted candidate as JSON."""
+    kept = ("maxDepth", "maxIter", "numTrees", "stepSize", "subsamplingRate", "featureSubsetStrategy", "seed")
+    out = {}
+    for name, model in models.items():
+        held = {p.name: v for p, v in model.stages[-1].extractParamMap().items() if p.name in kept}
+        out[name] = json.dumps(held, sort_keys=True)
+    return out
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -122,13 +147,20 @@ def compare_regressors(models: Mapping[str, PipelineModel], test: DataFrame) ->
 
 
 def compare_classifiers(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
-    return M.classification_metrics(_all_predictions(models, test), "label", "prediction", ["model"])
+    """Counts, accuracy, precision, recall, F1 and the area under the ROC curve per candidate."""
+    scored = _all_predictions(models, test)
+    areas = None
+    for name in models:
+        area = M.roc_auc(scored.where(F.col("model") == name), "label", "probability").withColumn("model", F.lit(name))
+        areas = area if areas is None else areas.unionByName(area)
+    return M.classification_metrics(scored, "label", "prediction", ["model"]).join(areas, "model")
 
 
 def _all_predictions(models: Mapping[str, PipelineModel], test: DataFrame) -> DataFrame:
     out = None
     for name, model in models.items():
-        part = predict(model, test).select("label", "prediction").withColumn("model", F.lit(name))
+        part = predict(model, test)
+        part = part.select("label", "prediction", *({"probability"} & set(part.columns))).withColumn("model", F.lit(name))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -155,12 +187,19 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def performance_records(scores: DataFrame, split: str = "test") -> DataFrame:
-    """Rows for the model-performance log: one per model and metric."""
+def performance_records(scores: DataFrame, split: str = "test", settings: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows for the model-performance log: one per model and metric, with the model's settings."""
     names = [c for c, kind in scores.dtypes if c != "model" and kind == "double"]
     return scores.select(F.col("model").alias("model_name"), *names).unpivot(
         "model_name", names, "metric_name", "metric_value"
-    ).withColumn("dataset_split", F.lit(split))
+    ).withColumns({"dataset_split": F.lit(split), "hyperparams": _setting(settings or {})})
+
+
+def _setting(settings: Mapping[str, str]) -> Column:
+    out = F.lit(None).cast("string")
+    for name, value in settings.items():
+        out = F.when(F.col("model_name") == name, F.lit(value)).otherwise(out)
+    return out
 
 
 def expanding_folds(df: DataFrame, ts: str = "ts", folds: int = 5) -> DataFrame:

@@ -129,37 +129,50 @@ def class_weights_positive(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _parts(prepared: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return prepared.where(F.col("split") == "train"), prepared.where(F.col("split") == "test")
+    """Training rows with their validation mark, and test rows."""
+    train = stage(L.validation_split(prepared.where(F.col("split") == "train"), ORDER), "train")
+    return train, prepared.where(F.col("split") == "test")
+
+
+def _fitted(train: DataFrame, features: list[str], candidates: dict) -> dict:
+    return L.fit_all(train, features, candidates, "is_validation")
+
+
+def _selected(models: dict, train: DataFrame, compare, metric: str, order: tuple[str, ...]):
+    """The candidate that does best on the validation rows."""
+    held = train.where("is_validation")
+    return models[L.best_model(compare(models, held), metric, order).first()["model"]]
 
 
 @query("demand_models")
 def demand_models(spark: SparkSession, sf: str) -> DataFrame:
     """Test metrics of both regressors, appended to the performance log and read back."""
     train, test = _parts(_demand(spark, sf))
-    models = L.fit_all(train, DEMAND_FEATURES, L.regressors())
+    models = _fitted(train, DEMAND_FEATURES, L.regressors())
     path = scratch_path(spark, "performance")
-    ML.append_log(L.performance_records(L.compare_regressors(models, test)), path, MODEL_PERFORMANCE)
+    ML.append_log(L.performance_records(L.compare_regressors(models, test), settings=L.hyperparams(models)), path, MODEL_PERFORMANCE)
     return ML.read_log(spark, path, MODEL_PERFORMANCE, limit=None).drop("timestamp")
 
 
 @query("best_demand_model")
 def best_demand_model(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(_demand(spark, sf))
-    models = L.fit_all(train, DEMAND_FEATURES, L.regressors())
+    models = _fitted(train, DEMAND_FEATURES, L.regressors())
     return L.best_model(L.compare_regressors(models, test), "r2", L.REGRESSORS)
 
 
 @query("best_congestion_model")
 def best_congestion_model(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _parts(_congestion(spark, sf))
-    models = L.fit_all(L.with_class_weights(train), CONGESTION_FEATURES, L.classifiers())
+    models = _fitted(L.with_class_weights(train), CONGESTION_FEATURES, L.classifiers())
     return L.best_model(L.compare_classifiers(models, test), "f1", L.CLASSIFIERS)
 
 
 @query("demand_feature_importance")
 def demand_feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _parts(_demand(spark, sf))
-    model = L.fit_all(train, DEMAND_FEATURES, {"forest": L.regressors()["forest"]})["forest"]
+    models = _fitted(train, DEMAND_FEATURES, L.regressors())
+    model = _selected(models, train, L.compare_regressors, "r2", L.REGRESSORS)
     return L.feature_importance(spark, model, DEMAND_FEATURES)
 
 
@@ -168,7 +181,8 @@ def congestion_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Probability and class of the test rows from a model that was saved and loaded."""
     train, test = _parts(_congestion(spark, sf))
     weighted = L.with_class_weights(train)
-    model = L.fit_all(weighted, CONGESTION_FEATURES, {"forest": L.classifiers()["forest"]})["forest"]
+    models = _fitted(weighted, CONGESTION_FEATURES, L.classifiers())
+    model = _selected(models, train, L.compare_classifiers, "f1", L.CLASSIFIERS)
     path = scratch_path(spark, "model")
     L.save_model(model, path)
     return L.predict(L.load_model(path), test).select("ts", "station_id", "label", "prediction", "probability")
