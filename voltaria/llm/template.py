@@ -204,7 +204,11 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     template = counts.join(pages_of, "host").where(F.col("n") >= F.col("pages") * share).select("host", "tree")
     hits = read.select("host", "row", F.explode(F.array_distinct(F.flatten("above"))).alias("tree")).join(template, ["host", "tree"])
     gone = hits.groupBy("row").agg(F.collect_set("tree").alias("gone"))
-    found = read.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
+    names = ["key", "url", "text"]
+    # Pages without a subtree that could be template keep all their blocks; only the others meet the counts.
+    whole = read.where(F.size(F.flatten("above")) == 0).select("key", "url", F.array_join("texts", "\n").alias("text"))
+    judged = read.where(F.size(F.flatten("above")) > 0).join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
     keep = F.filter(F.arrays_zip("texts", "above"), lambda b: ~F.arrays_overlap(b["above"], F.col("gone")))
-    text = F.array_join(F.transform(keep, lambda b: b["texts"]), "\n")
-    return found.select(F.col("key").alias(key), F.col("url").alias(url), text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    left = judged.withColumn("text", F.array_join(F.transform(keep, lambda b: b["texts"]), "\n")).select(*names)
+    found = whole.unionByName(left)
+    return found.select(F.col("key").alias(key), F.col("url").alias(url), "text").withColumn("n_chars", F.length("text").cast("long"))
