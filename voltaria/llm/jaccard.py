@@ -159,7 +159,7 @@ def _sets(width: int):
 
 
 def allocated(shared: DataFrame) -> DataFrame:
-    """``bucket, item`` of the signatures that at least one holder probes.
+    """``bucket, item, probe`` of the signatures that at least one holder probes.
 
     A set need not probe its most frequent signatures as long as the weights left out stay within what it can spare.
     """
@@ -168,8 +168,9 @@ def allocated(shared: DataFrame) -> DataFrame:
         "sign", "item", "held", F.shiftright("meta", 16).alias("band"), (F.shiftright("meta", 8) % 256).alias("spare"), (F.col("meta") % 256).alias("weight")
     )
     order = Window.partitionBy("item", "band").orderBy(F.desc("held"), "sign").rowsBetween(Window.unboundedPreceding, 0)
-    probed = rows.withColumn("out", F.sum("weight").over(order)).where("weight = 0 or out > spare").select("sign").distinct()
-    return shared.join(probed, "sign", "left_semi").select(F.col("sign").alias("bucket"), "item")
+    rows = rows.withColumn("out", F.sum("weight").over(order)).withColumn("probe", F.expr("weight = 0 or out > spare"))
+    rows = stage(rows.select(F.col("sign").alias("bucket"), "item", "probe"), "allocated")
+    return rows.join(rows.where("probe").select("bucket").distinct(), "bucket", "left_semi")
 
 
 def jaccard_groups(docs: DataFrame, key: str, text: str, percent: int = 80, width: int = 5) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from voltaria.session import stage
 
-FIRST_LEADERS = 1
+FIRST_LEADERS, LEADER_GROWTH = 4, 8
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -49,7 +49,8 @@ def components(edges: DataFrame) -> DataFrame:
 def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Components of items whose sets reach ``percent`` Jaccard and that share a bucket.
 
-    ``buckets``: ``bucket, item``; ``sets``: ``item, size, hashes`` (distinct hashes of each item, one row an item).
+    ``buckets``: ``bucket, item`` and, if not all of an item's buckets are needed to find its partners, ``probe`` (the
+    item finds every partner in the buckets so marked); ``sets``: ``item, size, hashes`` (distinct hashes, one row an item).
     Returns ``node, component`` for every item that links with another. Leaders are the items in most buckets, so
     the buckets of one group of copies elect the same ones. Between rounds labels follow the links found by a few
     steps only, which may leave a bucket open for longer; the components are those of all links at the end.
@@ -61,7 +62,9 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     most = (F.col("size") + F.floor(F.col("size") * 100 / percent)) * (100 - percent)
     weight = buckets.groupBy("item").agg((F.count("*") * (1 << 32)).alias("weight"))
     weight = weight.select("item", (F.col("weight") + F.pmod(F.xxhash64("item"), F.lit(1 << 32))).alias("weight"))
-    fields = ["bucket", "item", "weight", "size", "lone"]
+    if "probe" not in buckets.columns:
+        buckets = buckets.withColumn("probe", F.lit(True))
+    fields = ["bucket", "item", "probe", "weight", "size", "lone"]
     facts = stage(facts.where(F.col("lone") * (100 + percent) <= most).join(weight, "item"), "facts")
     open_ = buckets.join(facts, "item").select(*fields)
     links: list[DataFrame] = []
@@ -77,9 +80,11 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if cur.isEmpty():
             break
         slot = F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
-        top = [F.max_by(c, "weight").alias(f"head_{c}") for c in ("item", "label", "size", "lone")]
+        top = [F.max_by(c, "weight").alias(f"head_{c}") for c in ("item", "label", "size", "lone", "probe")]
         heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(*top).drop("slot"), "heads")
-        pairs = cur.join(heads, "bucket").where("label <> head_label").where(_possible(percent))
+        # Either side's probes find a pair: those of the set with more hashes of its own, as they are fewer and rarer.
+        finds = F.when(F.struct("lone", "item") > F.struct("head_lone", "head_item"), F.col("probe")).otherwise(F.col("head_probe"))
+        pairs = cur.join(heads, "bucket").where("label <> head_label").where(finds).where(_possible(percent))
         pairs = pairs.select(F.col("item").alias("a"), F.col("head_item").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -90,7 +95,7 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links.append(found)
         labels = stage(_followed(found, labels), "labels")
         open_ = cur.select(*fields).join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
-        leaders, turn = min(leaders * 4, 1 << 20), turn + 1
+        leaders, turn = min(leaders * LEADER_GROWTH, 1 << 20), turn + 1
     if not links:
         return spark.createDataFrame([], "node long, component long")
     return stage(components(reduce(DataFrame.unionByName, links)), "labels")
