@@ -175,6 +175,15 @@ def test_articles_of_copies_stay(spark):
     assert {x.text for x in template.extract(frame).collect()} == {"T\nSame article text"}
 
 
+def test_templates_inside_articles(spark):
+    same = "<p>Subscribe to our letter</p><ul><li>Buy now</li></ul><table><tr><td>Advert</td></tr></table>"
+    page = "<article><h1>H {0}</h1>{1}<p>Own <b>text</b> {0} <span>read more of this</span></p>{2}</article>"
+    pages = [(i, "http://a.example/", page.format(i, same, "")) for i in range(8)]
+    pages += [(i, "http://b.example/", page.format(i, "", "<p>Seen on some pages</p>" if i < 220 else "")) for i in range(200, 300)]
+    rows = template.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert len(rows) == len(pages) and all(x.text == f"H {x.page_id}\nOwn text {x.page_id}" for x in rows)
+
+
 def bench(spark, items):
     return spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
 

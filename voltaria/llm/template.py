@@ -1,18 +1,21 @@
 """Main text of web pages by removing each site's template.
 
-A page is read into a flat list of blocks, each with the path of its open elements. Markup that never holds main
-text goes at once: scripts, styles, forms, menus, page headers and footers, sidebars, and elements whose class, id or role
-names an advert, notice, menu or reader comment. What is left outside an article is judged by the site: every element
-subtree is hashed (names and text), Spark counts per host the distinct pages (by the hash of their articles or, lacking
-one, their whole text) in which a subtree occurs, and subtrees found in ``SHARE`` or more of a host's at least
-``LEAST_PAGES`` pages are deleted. Copies of one page count once. Text blocks of an article are never template.
+Every element subtree of a page is hashed (host, name and text), whatever it is and wherever it stands: paragraphs, lists and
+tables of an article as well as menus and footers. Spark counts per host the distinct pages (by the hash of their
+articles or, lacking one, their whole text) in which a subtree occurs. Deleted is what is found in ``SHARE`` or more of a host's
+at least ``LEAST_PAGES`` pages, or in ``MANY_PAGES`` pages or more that are ``LOW_SHARE`` or more of the host's. Copies
+of one page count once. Elements inside a line of text (``b``, ``a``, ``span``) are subtrees from ``INLINE_WORDS`` words on;
+shorter ones are words of their sentence.
+
+Besides, markup that never holds main text goes without counts: scripts, styles, forms, menus, page headers and footers,
+sidebars, and elements whose class, id or role names an advert, notice, menu or reader comment.
 
 If a page has ``article`` elements (or ``main``), its text is theirs; else it is the body's. Character references are decoded,
 white space inside a block becomes one space, blocks are trimmed and joined in page order by one line feed.
 
 Defined cases: null and empty html give empty text; broken markup is read as browsers do in outline (unclosed
 paragraphs, missing end tags, an unfinished tag at the end is dropped); pages without a host form one host; repeated
-rows are extracted each; other columns are ignored.
+rows are extracted each; other columns are ignored; what near copies of one page share recurs like a template.
 """
 
 from __future__ import annotations
@@ -21,14 +24,22 @@ import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import groupby
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltaria.llm import stream
 from voltaria.session import stage
 
 SHARE, LEAST_PAGES = 0.5, 5
+LOW_SHARE, MANY_PAGES = 0.1, 10
+INLINE_WORDS = 4
+#: Bits of a host's hash that a counted row carries.
+_HOST_BITS = 46
 
 # Element names of the HTML standard and naming habits of web pages.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
@@ -59,17 +70,27 @@ CLOSES = {
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^<]*$", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_WHITE = re.compile(r"\s+")
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
     """An element: its name, its place among the open ones, and what is known of its content."""
 
-    __slots__ = ("name", "parent", "dropped", "article", "hash", "mark")
+    __slots__ = ("name", "parent", "dropped", "article", "hash", "words")
+
+    def __init__(self, name: str, parent: Node | None, dropped: bool, article: bool, host: str = ""):
+        self.name, self.parent, self.dropped, self.article, self.words = name, parent, dropped, article, 0
+        self.hash = hashlib.blake2b(f"{host} {name} ".encode("utf-8", "replace"), digest_size=8)
+
 
-    def __init__(self, name: str, parent: Node | None, dropped: bool, article: bool, mark: int = 0):
-        self.name, self.parent, self.dropped, self.article, self.mark = name, parent, dropped, article, mark
-        self.hash = hashlib.blake2b(name.encode(), digest_size=8)
+class Segment(NamedTuple):
+    """Text of one element within a block; a block's end has no text but a line feed, and no subtrees."""
+
+    text: str
+    article: bool
+    dropped: bool
+    above: tuple[int, ...]
 
 
 def _unwanted(name: str, attributes: str, inside: bool) -> bool:
@@ -86,30 +107,36 @@ def _unwanted(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def parsed(page: str) -> list[tuple[str, bool, tuple[int, ...]]]:
-    """Blocks of a page in order: text, whether in an article, and the subtree hashes above it, innermost first."""
+def parsed(page: str, host: str = "") -> list[Segment]:
+    """The text of a page in order, with the hashes of the subtrees above each segment, innermost first."""
     root = Node("", None, False, False)
-    open_, out, piece = root, [], []
-    hashes: list[tuple[str, Node]] = []
+    open_, piece = root, []
+    segments: list[tuple[str, Node | None]] = []
 
     def flush() -> None:
-        text = " ".join(entities.unescape("".join(piece)).split())
+        any_ = False
+        for _, run in groupby(piece, key=lambda p: id(p[1])):
+            parts = list(run)
+            text, node = _WHITE.sub(" ", entities.unescape("".join(p[0] for p in parts))), parts[0][1]
+            segments.append((text, node))
+            if not (bare := text.strip()):
+                continue
+            any_, raw, words = True, bare.encode("utf-8", "replace") + b"\n", bare.count(" ") + 1
+            while node is not None:
+                node.hash.update(raw)
+                node.words += words
+                node = node.parent
         piece.clear()
-        if not text or open_.dropped:
-            return
-        hashes.append((text, open_))
-        node: Node | None = open_
-        while node is not None:
-            node.hash.update(text.encode("utf-8", "replace") + b"\n")
-            node = node.parent
+        if any_:
+            segments.append(("\n", None))
 
     at, n = 0, len(page)
     while at < n:
         tag = _TAG.search(page, at)
         if tag is None:
-            piece.append(page[at:])
+            piece.append((page[at:], open_))
             break
-        piece.append(page[at : tag.start()])
+        piece.append((page[at : tag.start()], open_))
         closing, name, attributes = (tag.group(i) or tag.group(i + 3) or "" for i in (1, 2, 3))
         at, name = tag.end(), name.lower()
         block = name in BLOCKS or name in DROPPED
@@ -122,15 +149,13 @@ def parsed(page: str) -> list[tuple[str, bool, tuple[int, ...]]]:
             while node is not root and node.name != name:
                 node = node.parent
             if node is not root:
-                if node.dropped and not node.parent.dropped:
-                    del piece[node.mark :]
                 open_ = node.parent
             continue
         if name in VOID:
             if name == "hr":
                 flush()
             elif name != "wbr":
-                piece.append(" ")
+                piece.append((" ", open_))
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*(?:>|$)", re.I).search(page, at)
@@ -154,61 +179,92 @@ def parsed(page: str) -> list[tuple[str, bool, tuple[int, ...]]]:
         if attributes.endswith("/") and name in DROPPED_INLINE:
             continue
         dropped = open_.dropped or _unwanted(name, attributes, open_.article)
-        open_ = Node(name, open_, dropped, open_.article or name in ("article", "main"), len(piece))
+        open_ = Node(name, open_, dropped, open_.article or name in ("article", "main"), host)
     flush()
-    for text, node in hashes:
-        above, up = [], node
-        while up is not None and up is not root:
-            if up.name not in ("html", "body", "article", "main") and not (up.article and (up.name in _TEXTUAL or up.name not in BLOCKS)):
-                above.append(int.from_bytes(up.hash.digest(), "little", signed=True))
-            up = up.parent
-        out.append((text, node.article, tuple(dict.fromkeys(above))))
-    return out
+    return [Segment(text, node.article, node.dropped, _subtrees(node)) if node else Segment(text, False, False, ()) for text, node in segments]
 
 
-#: Elements whose content is a text block; inside an article they are never template.
-_TEXTUAL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "li", "dt", "dd", "figcaption", "caption", "td", "th", "ul", "ol", "dl", "table", "tbody", "thead", "tr"}
+def _subtrees(node: Node) -> tuple[int, ...]:
+    above, up = [], node
+    while up.parent is not None:
+        if up.name not in ("html", "body") and (up.name in BLOCKS or up.name in DROPPED or up.words >= INLINE_WORDS):
+            above.append(int.from_bytes(up.hash.digest(), "little", signed=True))
+        up = up.parent
+    return tuple(dict.fromkeys(above))
 
 
-def main_blocks(blocks: list[tuple[str, bool, tuple[int, ...]]]) -> list[tuple[str, bool, tuple[int, ...]]]:
-    """The article's blocks, or all where there is no article."""
-    article = [b for b in blocks if b[1]]
-    return article or blocks
+def main_segments(segments: list[Segment]) -> list[Segment]:
+    """The article's text, or all where there is no article, without what is dropped; and the ends of blocks."""
+    kept = [s for s in segments if not s.dropped]
+    article = any(s.article and s.text.strip() for s in kept)
+    return [s for s in kept if s.article or not article or s.text == "\n"]
+
+
+def tidy(text: F.Column) -> F.Column:
+    """Blocks trimmed, emptied ones left out."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(text, " *\n[ \n]*", "\n"), " {2,}", " "), F.lit(" \n"))
 
 
 def _host(url: str) -> F.Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1), F.lit("")))
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
-    """``key, url, text, n_chars`` of every page."""
-    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), _host(F.col(url)).alias("host"), F.xxhash64(F.col(key), F.col(url), F.col(page)).alias("row"), F.col(page).alias("page"))
-    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("key", "url", "host", "row"))
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def _read(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
+    """``key, url, site`` (hash of the host), ``texts, above`` (subtrees of each text), ``content, trees`` (all subtrees of the page), ``live`` (whether it holds text that is not dropped)."""
+    rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), _host(F.col(url)).alias("host"), F.col(page).alias("page"))
+    kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("key", "url"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, above, content = [], [], []
-            for value in batch.column(4):
-                blocks = main_blocks(parsed(value.as_py() or ""))
-                texts.append([b[0] for b in blocks])
-                above.append([list(b[2]) for b in blocks])
-                whole = "\n".join(texts[-1]).encode("utf-8", "replace")
-                content.append(int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "little", signed=True))
-            columns = [pa.array(texts, pa.list_(pa.string())), pa.array(above, pa.list_(pa.list_(pa.int64()))), pa.array(content, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], ["key", "url", "host", "row", "texts", "above", "content"])
-
-    read = stage(rows.mapInArrow(run, f"{kinds}, texts array<string>, above array<array<long>>, content long"), "blocks")
-    pages_of = read.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
-    trees = read.select("host", "content", F.explode(F.array_distinct(F.flatten("above"))).alias("tree")).distinct()
-    counts = trees.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= F.greatest(F.lit(2), F.lit(least) * share))
-    template = counts.join(pages_of, "host").where(F.col("n") >= F.col("pages") * share).select("host", "tree")
-    hits = read.select("host", "row", F.explode(F.array_distinct(F.flatten("above"))).alias("tree")).join(template, ["host", "tree"])
-    gone = hits.groupBy("row").agg(F.collect_set("tree").alias("gone"))
-    names = ["key", "url", "text"]
-    # Pages without a subtree that could be template keep all their blocks; only the others meet the counts.
-    whole = read.where(F.size(F.flatten("above")) == 0).select("key", "url", F.array_join("texts", "\n").alias("text"))
-    judged = read.where(F.size(F.flatten("above")) > 0).join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<long>")))
+            out = []
+            for host, value in zip(batch.column(2), batch.column(3)):
+                name = host.as_py()
+                found = parsed(value.as_py() or "", name)
+                kept = main_segments(found)
+                content = _hash(name + "\n" + " ".join("".join(s.text for s in kept).split()))
+                live = {t for s in kept for t in s.above}
+                trees = list(dict.fromkeys(t for s in found for t in s.above))
+                out.append((_hash(name) & ((1 << _HOST_BITS) - 1), [s.text for s in kept], [list(s.above) for s in kept], content, trees, [t in live for t in trees]))
+            types = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+            columns = [pa.array([o[i] for o in out], t) for i, t in enumerate(types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["key", "url", "site", "texts", "above", "content", "trees", "live"])
+
+    return rows.mapInArrow(run, f"{kinds}, site long, texts array<string>, above array<array<long>>, content long, trees array<long>, live array<boolean>")
+
+
+def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every page and subtree: subtree, content, host and whether live."""
+    none = np.zeros(0, np.int64)
+    for batch in batches:
+        content, site = (batch.column(i).to_numpy() for i in (0, 1))
+        sizes = np.diff(batch.column(2).offsets.to_numpy())
+        trees, live = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (2, 3))
+        yield stream.batch(trees.astype(np.int64), np.repeat(content, sizes), (np.repeat(site, sizes) << 1) + live.astype(np.int64), (none, none, none))
+
+
+def recurring(read: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """``content, gone``: the subtrees to delete from pages of a content, by the counts of their hosts."""
+    rows = read.select("content", "site", "trees", "live").mapInArrow(_tree_rows, stream.KIND)
+    met = stream.shared(rows).groupBy(F.col("sign").alias("tree"), F.col("item").alias("content")).agg(F.max("meta").alias("meta"))
+    met = stage(met.select("tree", "content", F.shiftright("meta", 1).alias("site"), (F.col("meta") % 2 == 1).alias("live")), "trees")
+    pages = read.select("content", "site").distinct().groupBy("site").agg(F.count("*").alias("pages"))
+    counts = met.groupBy("tree", "site").agg(F.count("*").alias("n"), F.max("live").alias("live")).where(F.col("live") & (F.col("n") >= F.greatest(F.lit(2), F.least(F.lit(least) * share, F.lit(MANY_PAGES)))))
+    often = (F.col("pages") >= least) & (F.col("n") >= F.col("pages") * share)
+    low = (F.col("n") >= MANY_PAGES) & (F.col("n") >= F.col("pages") * LOW_SHARE)
+    template = stage(counts.join(pages, "site").where(often | low).select("tree"), "template")
+    hits = met.where("live").join(template, "tree")
+    return stage(hits.groupBy("content").agg(F.collect_set("tree").alias("gone")), "gone")
+
+
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
+    """``key, url, text, n_chars`` of every page."""
+    read = stage(_read(pages, key, url, page), "blocks")
+    judged = read.join(recurring(read, share, least), "content", "left")
     keep = F.filter(F.arrays_zip("texts", "above"), lambda b: ~F.arrays_overlap(b["above"], F.col("gone")))
-    left = judged.withColumn("text", F.array_join(F.transform(keep, lambda b: b["texts"]), "\n")).select(*names)
-    found = whole.unionByName(left)
-    return found.select(F.col("key").alias(key), F.col("url").alias(url), "text").withColumn("n_chars", F.length("text").cast("long"))
+    kept = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(F.transform(keep, lambda b: b["texts"]))
+    found = judged.select(F.col("key").alias(key), F.col("url").alias(url), tidy(F.array_join(kept, "")).alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
