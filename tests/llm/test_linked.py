@@ -128,6 +128,22 @@ def test_passages_and_paragraphs(spark):
     assert paragraphs.deduplicated(table(spark, [])).count() == 0 and paragraphs.duplicates(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n, stop, line", [(50, "", 400), (50, "\u0964", 9), (60, "", 3), (50, ".", 400)])
+def test_runs_without_whole_sentences(spark, n, stop, line):
+    r = random.Random(n + line)
+    words = lambda k: [f"w{r.randrange(10**6)}" for _ in range(k)]
+    run = words(n)
+    run[14], run[34] = run[14] + stop, run[34] + stop
+    own = [(words(70), words(70)) for _ in range(6)]
+    texts = [a + run + b for a, b in own[:5]] + [own[5][0] + own[5][1]]
+    texts = ["\n".join(" ".join(t[i : i + line]) for i in range(0, len(t), line)) for t in texts]
+    frame = table(spark, texts)
+    units = [u for u in paragraphs.duplicates(frame).collect() if u.kind == "run"]
+    assert Counter((u.first, u.last, u.words) for u in units) == {(70, 69 + n, n): 4} and len({u.kept_in for u in units}) == 1
+    clean = [x.text.split() for x in sorted(paragraphs.deduplicated(frame).collect(), key=lambda x: x.doc_id)]
+    assert sorted(t == a + b for t, (a, b) in zip(clean, own)) == [False] + [True] * 5 and sum(run[20] in t for t in clean) == 1
+
+
 def test_repeated_rows_keep_their_text(spark):
     r = random.Random(9)
     body = " ".join(sentence(r) for _ in range(6))

@@ -11,6 +11,11 @@ sentence of ``least`` words. A run of repeated pairs of ``least`` words together
 is the one of the smaller row id, so of all holders of a passage exactly the first keeps it. Shorter sentences
 take part in the run around them; where they follow each other, ``GLUE`` of them count as one.
 
+Whatever its punctuation, a run of words is found on windows of ``least`` words: of any ``least`` consecutive windows of a text
+the leftmost of least hash is a unit, so each run of ``2 * least - 1`` words holds one wherever it stands, and units of a
+longer run leave no word out between them. What units an earlier document holds is repeated; the run is extended at both ends
+word by word as far as the first holder of its outermost unit goes on alike. Shorter runs are found if they hold a unit.
+
 Row ids are hashes of key and text. Defined cases: null and empty texts and texts of short lines have nothing to remove;
 repeated rows of one key and text share a row id and are treated alike, the text is kept; null keys are allowed; a
 text whose every unit goes becomes empty (``deduplicated`` then drops the row). Other columns are passed through.
@@ -33,8 +38,10 @@ from voltaria.session import stage
 
 LEAST_WORDS, GLUE, WIDTH, PERCENT, RECALL = 25, 4, 5, 80, 0.999
 _BASE, _INVERSE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(pow(0xC2B2AE3D27D4EB4F, -1, 1 << 64))
-#: Marks in meta: a long sentence, a band, a pair of sentences.
-_SENTENCE, _BAND, _PAIR = 1, 2, 3
+#: Marks in meta: a window of words, a long sentence, a band, a pair of sentences.
+_WINDOW, _SENTENCE, _BAND, _PAIR = 0, 1, 2, 3
+#: Bits that hold the place of a window beside its hash.
+_PLACE_BITS = 28
 
 
 def tuned(percent: int = PERCENT, recall: float = RECALL, noise: float = 0.4) -> tuple[int, int]:
@@ -104,6 +111,25 @@ def _gathered(new_line: np.ndarray, breaks: np.ndarray) -> np.ndarray:
     return breaks
 
 
+def _windows(words: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the chosen windows of ``least`` words, and their texts."""
+    n = len(words) - least + 1
+    if n < least:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at, low = np.arange(n), np.uint64((1 << _PLACE_BITS) - 1)
+    chosen, step = (_sequence(words, at, at + least) & ~low) | at.astype(np.uint64), 1
+    while step * 2 <= least:
+        chosen = np.minimum(chosen[:-step], chosen[step:])
+        step *= 2
+    if step < least:
+        chosen = np.minimum(chosen[: len(chosen) - (least - step)], chosen[least - step :])
+    starts = np.arange(len(chosen))
+    text = np.searchsorted(first, starts, side="right") - 1
+    inside = starts + 2 * least - 1 <= first[text + 1]
+    places = np.unique((chosen[inside] & low).astype(np.int64))
+    return places, np.searchsorted(first, places, side="right") - 1
+
+
 def _minhash(words: np.ndarray, units: Units, bands: int, rows: int) -> np.ndarray:
     """Band hashes of each paragraph: units x bands."""
     grams = window_hash(words, WIDTH)
@@ -126,7 +152,12 @@ def _emit(least: int, bands: int, rows: int):
             ids = batch.column(0).to_numpy()
             sign, item, meta, own = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [(np.zeros(0, np.int64),) * 3]
             for row, data, offsets in slices(batch.column(1)):
-                words, _, _, paragraphs, sentences = parsed(data, offsets, least)
+                words, starts, _, paragraphs, sentences = parsed(data, offsets, least)
+                first = np.searchsorted(starts, offsets)
+                places, texts = _windows(words, first, least)
+                sign.append(signed(_sequence(words, places, places + least)))
+                item.append(ids[row + texts])
+                meta.append(_WINDOW + (places - first[texts] << 18))
                 if len(paragraphs.a):
                     pid = (paragraphs.hash >> np.uint64(1)).astype(np.int64)
                     own.append((ids[row + paragraphs.text], pid, paragraphs.index))
@@ -175,11 +206,11 @@ def row_id(key: str, text: str) -> Column:
 
 
 def repeated_units(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
-    """Units to remove: ``row, kind`` (paragraph or passage), ``first`` and ``last`` (paragraph or sentence number), ``words``, ``keeper`` (row id)."""
+    """Units to remove: ``row, kind`` (paragraph, passage or run), ``first`` and ``last`` (paragraph, sentence or word number), ``words``, ``keeper`` (row id)."""
     bands, rows = tuned(percent)
     plain = docs.select(row_id(key, text).alias("row"), F.col(text).alias("text"))
     kept = stage(stream.shared(plain.mapInArrow(_emit(least, bands, rows), stream.KIND)), "units")
-    return stage(_paragraphs(plain, kept, least, percent).unionByName(_passages(kept, least)), "repeats")
+    return stage(_paragraphs(plain, kept, least, percent).unionByName(_passages(kept, least)).unionByName(_runs(plain, kept, least)), "repeats")
 
 
 def _paragraphs(plain: DataFrame, kept: DataFrame, least: int, percent: int) -> DataFrame:
@@ -216,6 +247,56 @@ def _passages(kept: DataFrame, least: int) -> DataFrame:
     return runs.where(F.col("words") >= least).select("row", F.lit("passage").alias("kind"), "first", "last", "words", "keeper")
 
 
+def _runs(plain: DataFrame, kept: DataFrame, least: int) -> DataFrame:
+    """Runs of words that units of earlier documents cover, extended at both ends."""
+    rows = kept.where((F.col("meta") % 4 == _WINDOW) & ~F.col("forced")).select("sign", F.col("item").alias("row"), F.shiftright("meta", 18).alias("at"))
+    owners = rows.groupBy("sign").agg(F.min(F.struct(F.col("row").alias("keeper"), F.col("at").alias("place"))).alias("held"))
+    later = rows.join(owners, "sign").where("row <> held.keeper").select("row", "at", "held").dropDuplicates(["row", "at"])
+    turn = Window.partitionBy("row").orderBy("at")
+    apart = later.withColumn("new", F.coalesce(F.col("at") - F.lag("at").over(turn) > least, F.lit(True)).cast("long"))
+    islands = apart.withColumn("island", F.sum("new").over(turn)).groupBy("row", "island").agg(
+        F.min("at").alias("first"), (F.max("at") + least).alias("end"), F.min_by("held", "at").alias("left"), F.max_by("held", "at").alias("right"), F.min("held.keeper").alias("keeper")
+    )
+    islands = stage(islands, "islands")
+    sides = [
+        islands.select("row", "island", F.lit(side).alias("side"), F.col("row").alias("r0"), F.col(own).alias("w0"), F.col(f"{held}.keeper").alias("r1"), (F.col(f"{held}.place") + more).alias("w1"))
+        for side, own, held, more in ((0, "first", "left", 0), (1, "end", "right", least))
+    ]
+    edges = sides[0].unionByName(sides[1])
+    asked = edges.select(F.col("r0").alias("row"), F.col("w0").alias("word"), "side").unionByName(edges.select(F.col("r1").alias("row"), F.col("w1").alias("word"), "side"))
+    asked = stage(asked.distinct().groupBy("row").agg(F.collect_list(F.struct("word", "side")).alias("asked")), "edges")
+    around = plain.join(asked, "row").select("row", "text", "asked").mapInArrow(_around(least), "row long, word long, side int, words array<long>")
+    around = stage(around.dropDuplicates(["row", "word", "side"]), "around")
+    for n in (0, 1):
+        edges = edges.join(around.select(F.col("row").alias(f"r{n}"), F.col("word").alias(f"w{n}"), "side", F.col("words").alias(f"words{n}")), [f"r{n}", f"w{n}", "side"])
+    alike = F.zip_with("words0", "words1", lambda x, y: F.coalesce(x == y, F.lit(False)))
+    more = edges.select("row", "island", "side", F.when(F.array_position(alike, False) > 0, F.array_position(alike, False) - 1).otherwise(F.size("words0")).alias("more"))
+    more = more.groupBy("row", "island").agg(F.sum(F.when(F.col("side") == 0, F.col("more"))).alias("before"), F.sum(F.when(F.col("side") == 1, F.col("more"))).alias("after"))
+    found = islands.join(more, ["row", "island"]).select("row", (F.col("first") - F.col("before")).alias("first"), (F.col("end") + F.col("after") - 1).alias("last"), "keeper")
+    return found.select("row", F.lit("run").alias("kind"), "first", "last", (F.col("last") - F.col("first") + 1).alias("words"), "keeper")
+
+
+def _around(least: int):
+    """Up to ``least`` word hashes before (side 0, the nearest first) or from (side 1) the asked words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, out = batch.column(0).to_numpy(), []
+            for row, data, offsets in slices(batch.column(1)):
+                words, _, _, first = word_hashes(data, offsets)
+                words = signed(words)
+                for i in range(len(offsets) - 1):
+                    a, b = int(first[i]), int(first[i + 1])
+                    for x in batch.column(2)[row + i].as_py():
+                        at = a + x["word"]
+                        near = words[max(a, at - least) : at][::-1] if x["side"] == 0 else words[at : min(b, at + least)]
+                        out.append((ids[row + i], x["word"], x["side"], near))
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], ["row", "word", "side", "words"])
+
+    return run
+
+
 def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST_WORDS, percent: int = PERCENT) -> DataFrame:
     """Removed units with keys: ``key, kind, first, last, words, kept_in`` (smallest key of the rows that keep it)."""
     units = repeated_units(docs, key, text, least, percent)
@@ -224,8 +305,8 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least:
     return units.join(names, "row").join(keepers, "keeper", "left").select(F.col("key").alias(key), "kind", "first", "last", "words", "kept_in")
 
 
-def cleaned(text: str, paragraphs: list[int], passages: list[tuple[int, int]], least: int = LEAST_WORDS) -> str:
-    """A text without the given paragraphs and sentence runs; emptied lines go with them."""
+def cleaned(text: str, paragraphs: list[int], passages: list[tuple[int, int]], least: int = LEAST_WORDS, words: list[tuple[int, int]] = ()) -> str:
+    """A text without the given paragraphs, sentence runs and word runs; emptied lines go with them."""
     raw = np.frombuffer(text.encode("utf-8", "replace"), dtype=np.uint8)
     _, starts, ends, units, sentences = parsed(raw, np.array([0, len(raw)]), least)
     keep = np.ones(len(raw), dtype=bool)
@@ -233,6 +314,8 @@ def cleaned(text: str, paragraphs: list[int], passages: list[tuple[int, int]], l
         keep[starts[units.a[n]] : ends[units.b[n] - 1]] = False
     for a, b in passages:
         keep[starts[sentences.a[a]] : ends[sentences.b[b] - 1]] = False
+    for a, b in words:
+        keep[starts[a] : ends[b]] = False
     if keep.all():
         return text
     lines, before = [], text.split("\n")
@@ -254,21 +337,23 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     gone = units.groupBy("row").agg(
         F.collect_list(F.when(F.col("kind") == "paragraph", F.col("first"))).alias("lines"),
         F.collect_list(F.when(F.col("kind") == "passage", F.struct("first", "last"))).alias("runs"),
+        F.collect_list(F.when(F.col("kind") == "run", F.struct("first", "last"))).alias("words"),
     )
     fields = docs.columns
     wide = docs.select(row_id(key, text).alias("__row"), F.struct(*(F.col(f"`{c}`") for c in fields)).alias("doc"))
-    wide = wide.join(gone.withColumnRenamed("row", "__row"), "__row", "left").select(f"doc.*", F.col("lines").alias("__lines"), F.col("runs").alias("__runs"))
+    wide = wide.join(gone.withColumnRenamed("row", "__row"), "__row", "left").select(f"doc.*", F.col("lines").alias("__lines"), F.col("runs").alias("__runs"), F.col("words").alias("__words"))
     position = fields.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns, out, stay = list(batch.columns), [], []
-            lines, runs = batch.column(len(fields)), batch.column(len(fields) + 1)
+            lines, runs, words = (batch.column(len(fields) + n) for n in range(3))
             for i, value in enumerate(batch.column(position)):
-                whole, a, b = value.as_py(), lines[i].as_py() or [], runs[i].as_py() or []
-                new = cleaned(whole, a, [(r["first"], r["last"]) for r in b], least) if whole and (a or b) else whole
+                whole, a = value.as_py(), lines[i].as_py() or []
+                b, c = ([(r["first"], r["last"]) for r in x[i].as_py() or []] for x in (runs, words))
+                new = cleaned(whole, a, b, least, c) if whole and (a or b or c) else whole
                 out.append(new)
-                stay.append(bool(new) or not (a or b))
+                stay.append(bool(new) or not (a or b or c))
             columns[position] = pa.array(out, pa.string())
             yield pa.RecordBatch.from_arrays(columns[: len(fields)], fields).filter(pa.array(stay))
 
