@@ -137,6 +137,14 @@ def test_sketches(spark):
     assert lone.near_next == 1.0
 
 
+def test_sketches_of_long_lines(spark):
+    r = random.Random(4)
+    word = lambda kind: "".join(r.choice(kind) for _ in range(r.randrange(2, 8)))
+    texts = [" ".join(word("abcdenrst") for _ in range(n)) for n in (150, 400, 3000)] + [word("日本語文字列") * 150, "x" * 900]
+    for x in iblt.fingerprints(table(spark, texts)).collect():
+        assert x.near_edited >= 0.2 and x.near_edited > x.near_next
+
+
 def test_slices_of_the_next_document(spark, monkeypatch):
     monkeypatch.setattr(iblt, "SLICE_BYTES", 200)
     r = random.Random(5)

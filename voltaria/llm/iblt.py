@@ -1,6 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in DataFrame functions only.
 
-Paragraphs are the non-empty lines of a text; a text's set holds the 64-bit digest of each. A sketch has three rows of
+Paragraphs are the non-empty lines of a text; lines above ``LONG`` characters are cut into pieces where their content says so
+(after certain word ends and stops, at ``LEAST_PIECE`` to ``MOST_PIECE`` characters), so an edit changes only the pieces it meets. A text's set holds the 64-bit digest of each. A sketch has three rows of
 ``CELLS`` cells; a digest enters one cell of each row, which keeps count, XOR of digests and XOR of their checks. Two
 sketches subtract cell by cell, and what remains is peeled: a cell of count 1 or -1 whose check fits holds one
 differing digest, which is taken out of its cells until none is left. If cells remain, the comparison is retried
@@ -28,6 +29,8 @@ from voltaria.session import stage
 ROWS, CELLS, ROUNDS = 3, 8, 10
 SLICE_BYTES = 16 << 20
 BLOCK_LOAD = 8
+LONG, LEAST_PIECE, MOST_PIECE = 96, 64, 256
+_PIECE = rf"(?s).{{{LEAST_PIECE},{MOST_PIECE}}}?(?:[dlnry.!?]\s|[^\x00-\x7F]\s|[。！？、।]|$)|.{{1,{MOST_PIECE}}}"
 _BITS = CELLS.bit_length() - 1
 
 
@@ -47,8 +50,10 @@ def cell_of(digest: Column, row: int) -> Column:
 
 
 def digests(text: Column) -> Column:
-    """Distinct digests of the paragraphs of a text."""
-    return F.array_distinct(F.transform(F.filter(F.split(text, "\n"), lambda p: p != ""), lambda p: F.xxhash64(p)))
+    """Distinct digests of the paragraphs of a text, long ones in pieces."""
+    lines = F.filter(F.split(text, "\n"), lambda p: p != "")
+    pieces = F.transform(lines, lambda p: F.when(F.length(p) > LONG, F.regexp_extract_all(p, F.lit(_PIECE), F.lit(0))).otherwise(F.array(p)))
+    return F.array_distinct(F.transform(F.flatten(pieces), lambda p: F.xxhash64(p)))
 
 
 def _cell(n: Column, k: Column, h: Column) -> Column:
