@@ -14,7 +14,7 @@ from voltaria.llm.bpe import vocabulary
 from voltaria.llm.encode import encode
 from voltaria.llm.jaccard import jaccard_join
 from voltaria.llm.langid import held_out, learn, predict
-from voltaria.llm.paragraphs import deduplicated
+from voltaria.llm.paragraphs import deduplicated, row_id
 from voltaria.llm.ship import ship
 from voltaria.llm.tiling import contaminated
 from voltaria.session import scratch_path, stage
@@ -50,10 +50,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go, told apart by a hash of id and text."""
     ship(spark)
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return docs.join(contaminated(docs, items).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.withColumn("__row", row_id("doc_id", "text"))
+    held = contaminated(rows.select(F.col("__row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(held, "__row", "left_anti").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,15 @@ def test_stages_keep_columns_and_odd_rows(spark):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_leaks_of_null_and_shared_ids(spark):
+    sf = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 60").first()["text"]
+    rows = [(None, item), (7, item), (7, "a clean text of another kind"), (8, "clean as well")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.benchmark_leaks(spark, docs, sf).collect()
+    assert sorted(r.text for r in out) == ["a clean text of another kind", "clean as well"]
+
+
 def test_queries_equal_their_sql(spark):
     import oracle
     from voltaria.llm import queries
