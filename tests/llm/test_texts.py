@@ -192,6 +192,11 @@ def test_templates_inside_articles(spark):
     assert len(rows) == len(pages) and all(x.text == f"H {x.page_id}\nOwn text {x.page_id}" for x in rows)
 
 
+def test_marks_inside_articles():
+    page = '<article><h2 id="related-work">R</h2><section id="social-impact"><p>S</p></section><p class="notice-period">N</p><div class="x ad">A</div></article>'
+    assert [s.text for s in template.main_segments(template.parsed(page)) if s.text.strip()] == ["R", "S", "N"]
+
+
 def bench(spark, items):
     return spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
 

@@ -8,7 +8,8 @@ of one page count once. Elements inside a line of text (``b``, ``a``, ``span``)
 shorter ones are words of their sentence.
 
 Besides, markup that never holds main text goes without counts: scripts, styles, forms, menus, page headers and footers,
-sidebars, and elements whose class, id or role names an advert, notice, menu or reader comment.
+sidebars, and elements whose class, id or role names an advert, notice, menu or reader comment; inside an article only
+whole class names and roles tell, not words of them or ids.
 
 If a page has ``article`` elements (or ``main``), its text is theirs; else it is the body's. Character references are decoded,
 white space inside a block becomes one space, blocks are trimmed and joined in page order by one line feed.
@@ -101,7 +102,10 @@ def _unwanted(name: str, attributes: str, inside: bool) -> bool:
         if key == "hidden" or key == "role" and value.lower() in ROLES:
             return True
         if key in ("class", "id") and name not in ("html", "body", "article", "main"):
-            words = {w.lower() for w in _SPLIT.split(value) if w}
+            if inside:  # in an article only a whole class name tells
+                words = set(value.lower().split()) if key == "class" else set()
+            else:
+                words = {w.lower() for w in _SPLIT.split(value) if w}
             if words & MARKS and not words & LAYOUT:
                 return True
     return False
