@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline(spark):

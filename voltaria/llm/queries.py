@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from voltaria.llm import oracles
+from voltaria.llm.align import align
 from voltaria.llm.bpe import vocabulary
 from voltaria.llm.count import token_counts
 from voltaria.llm.encode import encode
@@ -15,11 +16,13 @@ from voltaria.llm.iblt import fingerprints
 from voltaria.llm.jaccard import jaccard_join
 from voltaria.llm.langid import identify
 from voltaria.llm.paragraphs import duplicates
+from voltaria.llm.secrets_scan import scan
 from voltaria.llm.sharding import shards
 from voltaria.llm.ship import ship
 from voltaria.llm.suffixes import repeated_bytes
 from voltaria.llm.template import extract
 from voltaria.llm.tiling import contaminated
+from voltaria.llm.whiten import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op3_rendezvous_shards": oracles.SHARDS, "op8_jaccard_join": oracles.JACCARD}
@@ -97,3 +100,21 @@ def op6_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that 200-byte strings found elsewhere cover."""
     return repeated_bytes(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the 16 leading components, whitened."""
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op12_novel_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by pattern and by novelty."""
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, for every document."""
+    return align(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
