@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Mapping
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,8 @@ from voltaria.operators.ordered import Series, ordered_cut, running_sum
 SEED = 42
 TRAIN_SHARE = 0.8
 VALIDATION_SHARE = 0.1
+# Fixed value: rounds without a lower validation loss after which boosting ends.
+PATIENCE = 50
 
 # The order in which equal candidates win.
 REGRESSORS = ("boosted", "forest")
@@ -104,27 +107,76 @@ def classifiers(trees: int = 20, depth: int = 5, weighted: bool = True) -> Mappi
 
 
 def fit_all(
-    train: DataFrame, features: Iterable[str], estimators: Mapping[str, object], validation: str | None = None
+    train: DataFrame, features: Iterable[str], estimators: Mapping[str, object], validation: str | None = None, patience: int = PATIENCE
 ) -> dict[str, PipelineModel]:
     """One fitted pipeline per candidate.
 
-    ``validation`` names a boolean column of rows to learn nothing from: boosted trees stop by their error on them,
-    forests are fitted without them.
+    ``validation`` names a boolean column of rows to learn nothing from: boosted trees are cut back to the round of
+    least loss on them, under the rule of ``best_round``; forests are fitted without them.
     """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     models = {}
     for name, estimator in estimators.items():
-        rows = train
-        if validation and estimator.hasParam("validationIndicatorCol"):
-            estimator = estimator.copy({estimator.getParam("validationIndicatorCol"): validation})
-        elif validation:
-            rows = train.where(~F.col(validation))
-        models[name] = Pipeline(stages=[assembler, estimator]).fit(rows)
+        rows = train.where(~F.col(validation)) if validation else train
+        fitted = Pipeline(stages=[assembler, estimator]).fit(rows)
+        if validation and estimator.hasParam("maxIter"):
+            fitted = cut_back(fitted, train.where(validation), patience)
+        models[name] = fitted
     return models
 
 
+def best_round(losses: Iterable[float], patience: int = PATIENCE) -> int:
+    """Rounds to keep: the first of least loss, among those up to the round that ends a run of ``patience`` rounds
+    without a lower one. No losses, or losses that are not numbers, keep the first round."""
+    best, kept = float("inf"), 1
+    for i, loss in enumerate(losses, 1):
+        if loss < best:
+            best, kept = loss, i
+        elif i - kept >= patience:
+            break
+    return kept
+
+
+def round_losses(model: PipelineModel, rows: DataFrame) -> list[float]:
+    """Mean loss on rows after each tree of a boosted pipeline; one job, one number a tree."""
+    boosted, ready = model.stages[-1], rows
+    for step in model.stages[:-1]:
+        ready = step.transform(ready)
+    if isinstance(boosted, GBTRegressionModel):
+        return list(boosted.evaluateEachIteration(ready, "squared"))
+    return list(boosted.evaluateEachIteration(ready))
+
+
+def cut_back(model: PipelineModel, held: DataFrame, patience: int = PATIENCE) -> PipelineModel:
+    """A boosted pipeline with the trees up to the best round on held rows; unchanged without such rows.
+
+    Round i depends on the rounds before it only, so the first trees of a long fit are those of a short one.
+    """
+    if held.isEmpty():
+        return model
+    boosted = model.stages[-1]
+    return PipelineModel([*model.stages[:-1], first_trees(boosted, best_round(round_losses(model, held), patience))])
+
+
+def first_trees(boosted: GBTRegressionModel | GBTClassificationModel, rounds: int) -> GBTRegressionModel | GBTClassificationModel:
+    """A boosted model of the first ``rounds`` trees, with the same settings."""
+    java, context = boosted._java_obj, SparkContext._active_spark_context
+    trees = java.trees()[:rounds]
+    kept = context._gateway.new_array(context._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for i, weight in enumerate(boosted.treeWeights[:rounds]):
+        kept[i], weights[i] = trees[i], float(weight)
+    if isinstance(boosted, GBTRegressionModel):
+        made = context._jvm.org.apache.spark.ml.regression.GBTRegressionModel(boosted.uid, kept, weights, boosted.numFeatures)
+    else:
+        made = context._jvm.org.apache.spark.ml.classification.GBTClassificationModel(boosted.uid, kept, weights, boosted.numFeatures, boosted.numClasses)
+    java.copyValues(made, context._jvm.org.apache.spark.ml.param.ParamMap())
+    made.set(made.getParam("maxIter"), rounds)
+    return type(boosted)._from_java(made)
+
+
 def hyperparams(models: Mapping[str, PipelineModel]) -> dict[str, str]:
-    """The settings of each fitted candidate as JSON."""
+    """The settings of each fitted candidate as JSON; a boosted one's ``maxIter`` is the number of trees it kept."""
     kept = ("maxDepth", "maxIter", "numTrees", "stepSize", "subsamplingRate", "featureSubsetStrategy", "seed")
     out = {}
     for name, model in models.items():

@@ -208,3 +208,91 @@ def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     )
     folds = stage(L.expanding_folds(prepared, folds=5), "folds")
     return L.cross_validate(folds, DEMAND_FEATURES, L.regressors(), 5)
+
+
+_PARTS = """SELECT count(*) FILTER (rn <= floor(floor(n * 0.8::DOUBLE) * 0.9::DOUBLE)) AS rows_train,
+      count(*) FILTER (rn > floor(floor(n * 0.8::DOUBLE) * 0.9::DOUBLE) AND rn <= floor(n * 0.8::DOUBLE)) AS rows_validation,
+      count(*) FILTER (rn > floor(n * 0.8::DOUBLE)) AS rows_test
+    FROM (SELECT row_number() OVER (ORDER BY ts, station_id) AS rn, count(*) OVER () AS n FROM station_panel)"""
+
+
+def _sizes(train: DataFrame, test: DataFrame) -> DataFrame:
+    held = train.agg(F.count_if(~F.col("is_validation")).alias("rows_train"), F.count_if("is_validation").alias("rows_validation"))
+    return held.crossJoin(test.agg(F.count("*").alias("rows_test")))  # one row each
+
+
+@query(
+    "demand_model_facts",
+    with_views(
+        f"""SELECT model, rows_train, rows_validation, rows_test, true AS below_mean_error, true AS shares_sum_to_one, true AS rounds_kept
+        FROM (SELECT unnest(['boosted', 'forest']) AS model), ({_PARTS})""",
+        "station_panel",
+    ),
+)
+def demand_model_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of both regressors whatever the data: sizes of the parts, an error on the rows learned from that is
+    below that of their mean, importances that sum to 1, and a number of rounds between 1 and those asked for."""
+    train, test = _parts(_demand(spark, sf))
+    models = _fitted(train, DEMAND_FEATURES, L.regressors())
+    scores = L.compare_regressors(models, train.where("not is_validation")).select("model", (F.col("r2") >= 0).alias("below_mean_error"))
+    facts = [
+        (name, bool(abs(sum(model.stages[-1].featureImportances.toArray()) - 1) < 1e-9), 1 <= len(model.stages[-1].treeWeights) <= 20) for name, model in models.items()
+    ]
+    known = spark.createDataFrame(facts, "model string, shares_sum_to_one boolean, rounds_kept boolean")
+    out = scores.join(known, "model").crossJoin(_sizes(train, test))
+    return out.select("model", "rows_train", "rows_validation", "rows_test", "below_mean_error", "shares_sum_to_one", "rounds_kept")
+
+
+@query(
+    "congestion_model_facts",
+    with_views(
+        f"""SELECT model, rows_train, rows_validation, rows_test, rows_test AS probabilities, rows_test AS classes, 0 AS changed_by_loading
+        FROM (SELECT unnest(['boosted', 'forest']) AS model), ({_PARTS})""",
+        "station_panel",
+    ),
+)
+def congestion_model_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Of both classifiers: test rows with a probability in 0..1, with a class that follows from it, and with another
+    probability once the model was saved and loaded."""
+    train, test = _parts(_congestion(spark, sf))
+    models = _fitted(L.with_class_weights(train), CONGESTION_FEATURES, L.classifiers())
+    out = None
+    for name, model in models.items():
+        path = scratch_path(spark, "model")
+        L.save_model(model, path)
+        again = L.predict(L.load_model(path), test).select(*ORDER, F.col("probability").alias("again"))
+        p, positive = F.col("probability"), F.col("prediction") == 1
+        facts = L.predict(model, test).join(again, list(ORDER)).agg(
+            F.count_if(p.between(0, 1)).alias("probabilities"),
+            F.count_if(F.when(p == 0.5, F.lit(True)).otherwise(positive == (p > 0.5))).alias("classes"),
+            F.count_if(F.abs(p - F.col("again")) > 1e-12).cast("int").alias("changed_by_loading"),
+        )
+        part = facts.withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.crossJoin(_sizes(train, test)).select("model", "rows_train", "rows_validation", "rows_test", "probabilities", "classes", "changed_by_loading")
+
+
+_BLOCKS = """(SELECT p.ts, CAST(floor((i - 1) * 6 / n) AS INTEGER) AS block FROM station_panel p
+      JOIN (SELECT ts, row_number() OVER (ORDER BY ts) AS i, count(*) OVER () AS n FROM (SELECT DISTINCT ts FROM station_panel)) s ON p.ts = s.ts)"""
+
+
+@query(
+    "cross_validation_parts",
+    with_views(
+        f"""SELECT fold, count(*) FILTER (block < fold) AS rows_train, count(*) FILTER (block = fold) AS rows_test,
+          max(CASE WHEN block < fold THEN ts END) AS last_train, min(CASE WHEN block = fold THEN ts END) AS first_test
+        FROM {_BLOCKS}, (SELECT CAST(unnest([1, 2, 3, 4, 5]) AS INTEGER) AS fold) WHERE block <= fold GROUP BY fold""",
+        "station_panel",
+    ),
+)
+def cross_validation_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows on both sides of each fold, and the steps at which they meet."""
+    blocks = L.expanding_folds(V.station_panel(spark, sf).select("ts", "station_id"))
+    sides = blocks.select("ts", "block", F.explode(F.sequence(F.greatest("block", F.lit(1)), F.lit(5))).alias("fold"))
+    learned = F.col("block") < F.col("fold")
+    return sides.groupBy("fold").agg(
+        F.count_if(learned).alias("rows_train"),
+        F.count_if(~learned).alias("rows_test"),
+        F.max(F.when(learned, F.col("ts"))).alias("last_train"),
+        F.min(F.when(~learned, F.col("ts"))).alias("first_test"),
+    )
