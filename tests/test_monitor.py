@@ -1,14 +1,19 @@
 """Drift, feedback, retraining and streaming jobs."""
 
+from datetime import datetime
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voltaria import session
 from voltaria.config import MonitorConfig
 from voltaria.operators import monitor as K
 from voltaria.operators.ordered import Series
 from voltaria.session import scratch_path
+from voltaria.sources.versioned import VersionedTable
 from voltaria.streaming.drift_watch import DriftWatch
+from voltaria.streaming.hourly_kpis import WindowTable
 
 
 def metrics(spark, **groups):
@@ -99,5 +104,72 @@ def test_drift_watch_equals_batch_and_repeats(spark):
         watch(part, i)
     watch(parts[2], 2)  # the same batch again
     order = lambda df: [tuple(r) for r in df.select("metric", "rows", F.round("z_score", 6), "drifted").orderBy("metric").collect()]
-    assert order(watch.latest_status(spark)) == order(K.drift(data))
+    assert order(watch.latest_status(spark, data)) == order(K.drift(data))
     assert spark.read.parquet(watch.log_path).count() == data.count()
+
+
+def changed_at(spark, root):
+    """Modification time of every data file under a folder."""
+    files, where = session._files(spark, root)
+    found, out = files.listFiles(where, True), {}
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName().startswith("part-"):
+            out[status.getPath().toString()] = status.getModificationTime()
+    return out
+
+
+def test_drift_watch_writes_only_the_buckets_it_touches(spark):
+    names = [f"m{i}" for i in range(12)]
+    first = metrics(spark, **{n: [float(i % 7) for i in range(60)] for n in names})
+    later = metrics(spark, m3=[float(i % 7) for i in range(120)]).where("seq >= 60")
+    root = scratch_path(spark, "test-touched")
+    watch = DriftWatch(root, ["metric"], MonitorConfig(), buckets=32)
+    watch(first, 0)
+    before = {t: changed_at(spark, f"{root}/{t}/data") for t in ("recent", "status")}
+    held = {t: getattr(watch, t).index(spark) for t in before}
+    watch(later, 1)
+    own = later.select(watch.bucket()).first()[0]
+    for t, files in before.items():
+        index = getattr(watch, t).index(spark)
+        assert index == held[t] | {own: 1} and len(index) > 1
+        after = changed_at(spark, f"{root}/{t}/data")
+        assert all(f"part={own}/" in path for path in after.keys() - files.keys())
+        assert all(after[path] == at for path, at in files.items() if path in after)
+    watch(later, 1)
+    watch(later.where("false"), 2)
+    assert watch.recent.index(spark) == held["recent"] | {own: 1}
+    order = lambda df: [tuple(r) for r in df.select("metric", "rows", "drifted").orderBy("metric").collect()]
+    assert order(watch.latest_status(spark, first)) == order(K.drift(first.unionByName(later)))
+
+
+def test_superseded_parts_go_two_batches_later(spark):
+    table, rows = VersionedTable(scratch_path(spark, "test-parts")), lambda v, *parts: spark.createDataFrame([(v, p) for p in parts], "v long, part string")
+    for batch, parts in enumerate([("a", "b"), ("a",), ("a",), ("a",)]):
+        table.write(rows(batch, *parts), batch)
+    read = lambda **more: sorted(tuple(r) for r in table.read(spark, rows(0, "a").schema, **more).collect())
+    assert read() == [(0, "b"), (3, "a")] and read(before=3) == [(0, "b"), (2, "a")] and read(parts=["b"]) == [(0, "b")]
+    assert table.batches(spark) == [2, 3]
+    assert session.file_names(spark, f"{table.root}/data/batch=1") in ([], ["_SUCCESS"]) and "part=b" in session.file_names(spark, f"{table.root}/data/batch=0")
+    assert "part=a" not in session.file_names(spark, f"{table.root}/data/batch=0")
+    table.write(rows(9, "a"), 3)
+    assert read() == [(0, "b"), (9, "a")]
+
+
+def test_window_table_shows_open_windows_once_and_counts_late_rows(spark):
+    at = lambda *times: spark.createDataFrame([(datetime.fromisoformat(f"2024-05-{t}"), 1.5) for t in times], "connectionTime timestamp, kWhDelivered double")
+    for slide in (None, "30 minutes"):
+        table = WindowTable(scratch_path(spark, "test-windows"), slide=slide)
+        table(at("01 10:05:00", "01 10:20:00", "02 09:10:00"), 0)
+        table(at("02 09:20:00", "02 06:00:00", "01 10:30:00", "02 07:10:00"), 1)
+        state = lambda: sorted((str(r.window_start), r.sessions, r.energy, r.open) for r in table.kpis(spark).collect())
+        want = state()
+        table(at("02 09:20:00", "02 06:00:00", "01 10:30:00", "02 07:10:00"), 1)
+        assert state() == want and len(want) == len({w[0] for w in want})
+        assert sum(w[1] for w in want) == (5 if slide is None else 10)
+        assert {w[0]: w[3] for w in want}["2024-05-02 09:00:00"] and not {w[0]: w[3] for w in want}["2024-05-01 10:00:00"]
+        assert [tuple(r)[2:] for r in table.batches(spark).orderBy("batch").collect()] == [(3, 0), (4, 2)]
+        index = table.windows.index(spark)
+        assert index == {"2024-05-01": 0, "2024-05-02": 1}
+        table(at().limit(0), 2)
+        assert state() == want and table.windows.index(spark) == index

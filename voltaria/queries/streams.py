@@ -12,7 +12,7 @@ from voltaria.queries.views_sql import with_views
 from voltaria.session import scratch_path
 from voltaria.sources import driver_views as V
 from voltaria.streaming.drift_watch import DriftWatch
-from voltaria.streaming.hourly_kpis import start_append, windowed_kpis
+from voltaria.streaming.hourly_kpis import WindowTable, start_append, windowed_kpis
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,4 +68,42 @@ def stream_drift_status(spark: SparkSession, sf: str) -> DataFrame:
         part.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(metrics.schema).parquet(f"{root}/in")
         watch.writer(stream, f"{root}/state").start().awaitTermination()
-    return rounded(watch.latest_status(spark).select(*KEYS, "rows", "z_score", "drifted"), 5)
+    return rounded(watch.latest_status(spark, metrics).select(*KEYS, "rows", "z_score", "drifted"), 5)
+
+
+def _two_arrivals(spark: SparkSession, sf: str) -> WindowTable:
+    """All events in two micro-batches: two thirds first, then the rest, much of which comes late."""
+    root = scratch_path(spark, "windows")
+    table = WindowTable(root)
+    events = V.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("connectionTime"), F.col("value").alias("kWhDelivered"))
+    first = F.col("event_id") % 3 != 0
+    for part in (events.where(first), events.where(~first)):
+        part.drop("event_id").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(part.drop("event_id").schema).parquet(f"{root}/in")
+        table.writer(stream, f"{root}/state").start().awaitTermination()
+    return table
+
+
+_FIRST = "event_id % 3 <> 0"
+_CLOSED = f"(SELECT max(ts) - INTERVAL 2 HOURS FROM events WHERE {_FIRST})"
+
+
+@query(
+    "stream_open_kpis",
+    f"""SELECT s AS window_start, s + INTERVAL 1 HOUR AS window_end, count(*) AS sessions, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS energy,
+      CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_energy, s + INTERVAL 1 HOUR > (SELECT max(ts) - INTERVAL 2 HOURS FROM events) AS open
+    FROM (SELECT *, {_HOUR} AS s FROM events) WHERE {_FIRST} OR s + INTERVAL 1 HOUR > {_CLOSED} GROUP BY s""",
+)
+def stream_open_kpis(spark: SparkSession, sf: str) -> DataFrame:
+    """Every window after two batches, open ones too; what came late is not in."""
+    return _two_arrivals(spark, sf).kpis(spark)
+
+
+@query(
+    "stream_late_rows",
+    f"""SELECT 0::BIGINT AS batch, count(*) AS rows, 0::BIGINT AS late_rows FROM events WHERE {_FIRST}
+    UNION ALL SELECT 1, count(*), count(*) FILTER (s + INTERVAL 1 HOUR <= {_CLOSED}) FROM (SELECT *, {_HOUR} AS s FROM events) WHERE NOT ({_FIRST})""",
+)
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and late rows of both batches."""
+    return _two_arrivals(spark, sf).batches(spark).drop("newest")

@@ -60,6 +60,23 @@ def session_dir(spark: SparkSession) -> str:
     return path
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none if it is not there."""
+    files, where = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    files, where = _files(spark, path)
+    files.delete(where, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the session's folder."""
     return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -2,41 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from voltaria.config import MonitorConfig
 from voltaria.operators.monitor import drift, newest
+from voltaria.sources.versioned import VersionedTable
+
+BUCKETS = 64
 
 
 class DriftWatch:
-    """Appends each micro-batch to the log and writes the drift status of the affected groups.
+    """Appends each micro-batch to the log and brings the drift status of the affected groups up to date.
 
-    Drift looks at the newest ``window`` rows of a group, so only those are carried from batch to batch:
-    the cost of a batch does not grow with the log. A batch owns the folder ``batch=<id>`` of each table
-    and overwrites it, so a batch that is run again after a failure leaves the same rows.
+    Drift looks at the newest ``window`` rows of a group, so only those are kept, in hash buckets of the group. A batch
+    reads and rewrites the buckets that its groups fall into and no others; the status table has the same buckets.
+    So a batch costs what it touches, whatever the length of the log and the number of groups, and
+    a batch that is run again after a failure leaves the same rows.
     """
 
-    def __init__(self, root: str, keys: list[str], config: MonitorConfig = MonitorConfig()) -> None:
+    def __init__(self, root: str, keys: list[str], config: MonitorConfig = MonitorConfig(), buckets: int = BUCKETS) -> None:
         self.log_path = f"{root}/log"
-        self.recent_path = f"{root}/recent"
-        self.status_path = f"{root}/status"
+        self.recent = VersionedTable(f"{root}/recent")
+        self.status = VersionedTable(f"{root}/status")
         self.keys = keys
         self.config = config
+        self.buckets = buckets
+
+    def bucket(self) -> Column:
+        """The bucket of a group, as text."""
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("string")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark, schema = batch.sparkSession, batch.schema
         own = f"{self.log_path}/batch={batch_id}"
         batch.write.mode("overwrite").parquet(own)
-        arrived = spark.read.schema(schema).parquet(own)
-        known = arrived
-        if batch_id > 0:
-            known = arrived.unionByName(spark.read.schema(schema).parquet(f"{self.recent_path}/batch={batch_id - 1}"))
-        recent = f"{self.recent_path}/batch={batch_id}"
-        newest(known, self.keys, self.config.window).drop("_age").write.mode("overwrite").parquet(recent)
-        touched = spark.read.schema(schema).parquet(recent).join(arrived.select(*self.keys).distinct(), self.keys, "left_semi")
-        drift(touched, self.keys, self.config).write.mode("overwrite").parquet(f"{self.status_path}/batch={batch_id}")
+        arrived = spark.read.schema(schema).parquet(own).withColumn("part", self.bucket())
+        touched = [r.part for r in arrived.select("part").distinct().collect()]  # at most one name a bucket
+        known = arrived.unionByName(self.recent.read(spark, schema, touched, before=batch_id))
+        self.recent.write(newest(known, self.keys, self.config.window).drop("_age"), batch_id)
+        kept = self.recent.read(spark, schema, touched, before=batch_id + 1).drop("part")
+        self.status.write(drift(kept, self.keys, self.config).withColumn("part", self.bucket()), batch_id)
 
     def writer(self, metrics: DataFrame, checkpoint: str) -> DataStreamWriter:
         return (
@@ -45,9 +52,6 @@ class DriftWatch:
             .trigger(availableNow=True)
         )
 
-    def latest_status(self, spark: SparkSession) -> DataFrame:
-        """The newest status per group."""
-        rows = spark.read.parquet(self.status_path)
-        values = [c for c in rows.columns if c not in (*self.keys, "batch")]
-        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*values), F.col("batch")).alias("s"))
-        return newest.select(*self.keys, "s.*")
+    def latest_status(self, spark: SparkSession, metrics: DataFrame) -> DataFrame:
+        """The newest status of every group; ``metrics`` is any frame of the log's columns, of which only the types are used."""
+        return self.status.read(spark, drift(metrics, self.keys, self.config).schema).drop("part")
