@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voltaria.schemas import AGENT_METRICS, SESSIONS
 from voltaria.sources import metric_log as L
 from voltaria.sources import panel as P
+from voltaria.sources.dated_log import DatedLog
 from voltaria.sources.sessions import read_sessions
 
 
@@ -95,3 +96,51 @@ def test_dated_sink_counts(spark, tmp_path):
 
 def test_grid_size_constants():
     assert (P.EXPECTED_STEPS, P.EXPECTED_DISTRICTS, P.STEP_SECONDS) == (8641, 248, 300)
+
+
+def test_lines_equal_columns_and_very_wide_files_stay_flat(spark, tmp_path):
+    index = P.read_time_index(spark, write(tmp_path / "time.csv", TIMES))
+    files = ["Unnamed: 0,102,104\n0,1,2\n1,3,x\n2,5,\n", 'timestamp,"102",104\n2024-01-01 03:00:00,"1",inf\n', "102\n1\n"]
+    for i, text in enumerate(files):
+        path = write(tmp_path / f"w{i}.csv", text)
+        wide = P.read_wide_series(spark, path, index)
+        want = sorted(map(str, P.to_long(wide, keys=("row", "ts")).collect()))
+        assert sorted(map(str, P.read_long_series(spark, path, index).collect())) == want
+    n = 20_000
+    rows = [[0] * n for _ in range(3)]
+    rows[0][7], rows[1][n - 1], rows[2][0] = 1, 1, 1
+    adj = write(tmp_path / "wide.csv", "node_id," + ",".join(f"n{i}" for i in range(n)) + "\n" + "".join(f"n{i}," + ",".join(map(str, r)) + "\n" for i, r in enumerate(rows)))
+    edges = P.read_edges(spark, adj, adj)
+    assert sorted(tuple(r) for r in edges.collect()) == [("n0", "n7", 1.0), ("n1", f"n{n - 1}", 1.0), ("n2", "n0", 1.0)]
+    assert len(edges._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
+def decisions(spark, *days, source="rule"):
+    rows = [(dt.datetime(2024, 3, d, h), f"s{h}", source) for d in days for h in range(4)]
+    return spark.createDataFrame(rows, "timestamp timestamp_ntz, station_id string, decision_source string")
+
+
+def test_dated_log_repeats_and_reads_the_newest_dates_only(spark, tmp_path):
+    log = DatedLog(str(tmp_path / "dated"), decisions(spark, 1).schema)
+    log.append(decisions(spark, *range(1, 15)), "run-1")
+    log.append(decisions(spark, 14, 15, source="other"), "run-2")
+    log.append(decisions(spark, 14, 15, source="other"), "run-2")
+    assert log.read(spark).count() == 64 and log.read(spark, [dt.date(2024, 3, 14)]).count() == 8
+    dates = lambda df: sorted({f.split("date=")[1][:10] for f in df.inputFiles()})
+    six = log.newest(spark, limit=6, unique=("station_id", "decision_source"))
+    assert dates(six) == ["2024-03-14", "2024-03-15"]
+    assert [(r.timestamp.day, r.station_id, r.decision_source) for r in six.collect()] == [(15, f"s{h}", "other") for h in (3, 2, 1, 0)] + [(14, "s3", "rule"), (14, "s3", "other")]
+    ruled = log.newest(spark, {"decision_source": "rule"}, 5)
+    assert dates(ruled) == ["2024-03-13", "2024-03-14", "2024-03-15"] and [r.timestamp.day for r in ruled.collect()] == [14, 14, 14, 14, 13]
+    assert log.newest(spark, {"decision_source": "none"}).count() == 0 and log.newest(spark).count() == 64
+    log.append(decisions(spark, 15), "run-2")
+    assert log.read(spark).count() == 60 and log.newest(spark, limit=1).first().decision_source == "rule"
+    with pytest.raises(ValueError):
+        log.append(decisions(spark, 1), "a/b")
+
+
+def test_dated_log_without_manifest_of_an_append(spark, tmp_path):
+    log = DatedLog(str(tmp_path / "half"), decisions(spark, 1).schema)
+    log.append(decisions(spark, 1, 2), "a")
+    decisions(spark, 9).withColumn("date", F.to_date("timestamp")).write.partitionBy("date").parquet(f"{log.path}/data/batch=b")
+    assert log.read(spark).count() == 8 and log.newest(spark, limit=1).first().timestamp.day == 2

@@ -13,10 +13,11 @@ from voltaria.queries.inputs import hourly_decided
 from voltaria.queries.registry import R, query, rounded
 from voltaria.queries.views_sql import with_views
 from voltaria.schemas import AGENT_METRICS, PRICING_DECISIONS, SESSIONS
-from voltaria.session import scratch_path
+from voltaria.session import scratch_path, stage
 from voltaria.sources import driver_views as V
 from voltaria.sources import metric_log as L
 from voltaria.sources import panel as P
+from voltaria.sources.dated_log import DatedLog
 from voltaria.sources.sessions import coerce_sessions, read_sessions
 
 _FIELDS = "connectionTime, disconnectTime, doneChargingTime, kWhDelivered, stationID, siteID"
@@ -134,6 +135,19 @@ def panel_wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
 @query("panel_wide_csv_source", with_views(_GRID, "district_panel"))
 def panel_wide_csv_source(spark: SparkSession, sf: str) -> DataFrame:
     """Wide files written in time order, the calendar columns in a file of their own, joined by row number."""
+    series, clock = _wide_csv(spark, sf)
+    return P.to_long(P.read_wide_series(spark, series, P.read_time_index(spark, clock)))
+
+
+@query("panel_lines_source", with_views(_GRID, "district_panel"))
+def panel_lines_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files read line by line, without a column per node."""
+    series, clock = _wide_csv(spark, sf)
+    return P.read_long_series(spark, series, P.read_time_index(spark, clock)).drop("row")
+
+
+def _wide_csv(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Paths of a wide series file and of its calendar columns."""
     # Both files come from one stored table, so they hold the same rows in the same order.
     stored = scratch_path(spark, "wide")
     _wide_districts(spark, sf).orderBy("ts").write.parquet(stored)
@@ -142,7 +156,7 @@ def panel_wide_csv_source(spark: SparkSession, sf: str) -> DataFrame:
     series, clock = scratch_path(spark, "wide-csv"), scratch_path(spark, "time-csv")
     wide.drop("ts").withColumn("unnamed: 0", F.lit(1)).write.option("header", True).csv(series)
     wide.select(*[c.alias(n) for n, c in parts.items()], F.dayofmonth("ts").alias("day")).write.option("header", True).csv(clock)
-    return P.to_long(P.read_wide_series(spark, series, P.read_time_index(spark, clock)))
+    return series, clock
 
 
 @query(
@@ -244,6 +258,43 @@ def pricing_decisions_newest(spark: SparkSession, sf: str) -> DataFrame:
     return L.newest(records, {"decision_source": "rule"}, 500, ("station_id",))
 
 
+def _decision_log(spark: SparkSession, sf: str) -> DatedLog:
+    """All decisions in one append by half years, the second of them repeated."""
+    log = DatedLog(scratch_path(spark, "decisions"), PRICING_DECISIONS)
+    records = stage(X.decision_records(hourly_decided(spark, sf), "rule"), "records")
+    late = F.dayofmonth("timestamp") > 15
+    for batch, rows in (("first", records.where(~late)), ("second", records.where(late)), ("second", records.where(late))):
+        log.append(rows, batch)
+    return log
+
+
+@query(
+    "decision_log_newest_dates",
+    with_views(
+        f"SELECT * FROM ({_RECORDS}) WHERE decision_source = 'rule' ORDER BY \"timestamp\" DESC, station_id DESC LIMIT 500",
+        "hourly_decided",
+    ),
+)
+def decision_log_newest_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest 500 decisions, read from the dates that hold them."""
+    return _decision_log(spark, sf).newest(spark, {"decision_source": "rule"}, 500, ("station_id",))
+
+
+@query(
+    "decision_log_repeated",
+    with_views(
+        f"""SELECT CAST("timestamp" AS DATE) AS date, CASE WHEN day("timestamp") > 15 THEN 'second' ELSE 'first' END AS batch, count(*) AS rows
+        FROM ({_RECORDS}) GROUP BY 1, 2""",
+        "hourly_decided",
+    ),
+)
+def decision_log_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per date and append; the repeated append counts once, in the manifest and in the rows."""
+    log = _decision_log(spark, sf)
+    held = log.read(spark).groupBy(F.to_date("timestamp").alias("date")).agg(F.count("*").alias("n"))
+    return log.manifest(spark).join(held, "date").where("rows = n").drop("n")
+
+
 _RULES_SQL = {
     "connection_time_missing": "connectionTime IS NULL",
     "disconnect_time_missing": "disconnectTime IS NULL",

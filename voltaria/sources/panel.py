@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from voltaria.functions.scalar import finite, timestamp_from_parts
 from voltaria.schemas import DISTRICTS, TIME_PARTS
+from voltaria.session import broadcast_if_small
 
 EXPECTED_STEPS = 8641
 EXPECTED_DISTRICTS = 248
@@ -90,21 +91,64 @@ def to_long(wide: DataFrame, value: str = "value", keys: tuple[str, ...] = ("ts"
     return wide.unpivot(list(keys), nodes, "station_id", value)
 
 
-def _matrix(spark: SparkSession, path: str, value: str) -> DataFrame:
-    """A square matrix file as ``(src, dst, value)``; row i belongs to the i-th node column."""
-    scan = _read_text(spark, path)
-    nodes = [c for c in scan.columns if not _unnamed(c) and c.lower() not in _ID_NAMES]
-    names = F.array(*[F.lit(c) for c in nodes])
-    numbered = with_file_position(scan).select(
-        F.get(names, F.col("row").cast("int")).alias("src"),
-        *[finite(F.col(f"`{c}`").try_cast("double")).alias(c) for c in nodes],
-    )
-    return numbered.unpivot("src", nodes, "dst", value)
+def read_cells(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """Header names, and ``(row, cells)`` with the cells of each line as one array of text, in file order.
+
+    A line is one column until it is split, so neither schema, plan nor generated code grows with the number of columns.
+    Quotes around a cell are dropped; commas inside them are not supported.
+    """
+    first = spark.read.text(path).first()
+    names = [n.strip().strip('"') for n in first[0].split(",")] if first else []
+    scan = spark.read.schema("line string").option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    return names, with_file_position(scan).select("row", F.split("line", ",", -1).alias("cells"))
+
+
+def _nodes(spark: SparkSession, names: list[str], dropped: tuple[str, ...]) -> DataFrame:
+    """``(position, number, name)`` of the node columns of a header: place in the line, number among the nodes."""
+    kept = [(i, c) for i, c in enumerate(names) if not _unnamed(c) and c.lower() not in dropped]
+    rows = [(i, n, c) for n, (i, c) in enumerate(kept)]
+    return broadcast_if_small(spark.createDataFrame(rows, "position int, number long, name string"))
+
+
+def _number(cell: str) -> Column:
+    return finite(F.trim(F.col(cell), F.lit('"')).try_cast("double"))
+
+
+def read_long_series(spark: SparkSession, path: str, index: DataFrame | None = None) -> DataFrame:
+    """A wide series file as ``(row, ts, station_id, value)``, whatever the number of its columns.
+
+    Times are found as by :func:`read_wide_series`.
+    """
+    names, lines = read_cells(spark, path)
+    if "timestamp" in names:
+        own = F.trim(F.get("cells", F.lit(names.index("timestamp"))), F.lit('"'))
+        lines = lines.withColumn("ts", F.try_to_timestamp(own).cast("timestamp_ntz"))
+    elif index is None:
+        lines = lines.withColumn("ts", F.lit(None).cast("timestamp_ntz"))
+    else:
+        same = index.agg(F.count(F.lit(1))).scalar() == lines.agg(F.count(F.lit(1))).scalar()
+        lines = lines.join(index, "row", "left").withColumn("ts", F.when(same, F.col("ts")))
+    cells = lines.select("row", "ts", F.posexplode("cells").alias("position", "cell"))
+    named = cells.join(_nodes(spark, names, ("timestamp",)), "position")
+    return named.select("row", "ts", F.col("name").alias("station_id"), _number("cell").alias("value"))
+
+
+def _matrix(spark: SparkSession, path: str, value: str, positive: bool = False) -> DataFrame:
+    """A square matrix file as ``(src, dst, value)``; row i belongs to the i-th node column. ``positive`` leaves
+    the other entries out before anything is joined."""
+    names, lines = read_cells(spark, path)
+    nodes = _nodes(spark, names, _ID_NAMES)
+    cells = lines.select("row", F.posexplode("cells").alias("position", "cell")).select("row", "position", _number("cell").alias(value))
+    if positive:
+        cells = cells.where(F.col(value) > 0)
+    sources = nodes.select(F.col("number").alias("row"), F.col("name").alias("src"))
+    targets = nodes.select("position", F.col("name").alias("dst"))
+    return cells.join(targets, "position").join(sources, "row", "left").select("src", "dst", value)
 
 
 def read_edges(spark: SparkSession, adjacency: str, distance: str) -> DataFrame:
     """Edge list ``(src, dst, dist)`` of the linked node pairs; distance 0 means unknown."""
-    linked = _matrix(spark, adjacency, "adj").where(F.col("adj") > 0).select("src", "dst")
+    linked = _matrix(spark, adjacency, "adj", positive=True).select("src", "dst")
     return linked.join(_matrix(spark, distance, "dist"), ["src", "dst"], "left")
 
 
