@@ -69,6 +69,23 @@ def test_linking_reaches_pairs_without_a_common_leader(spark):
     assert linking.link_sets(buckets, apart, 80).count() == 0
 
 
+def test_checks_of_a_large_bucket_stay_few(spark, monkeypatch):
+    """Copies of one set with a few changes, and sets that only meet in a bucket: checks counted, all links found."""
+    r, checks = random.Random(9), []
+    verified = linking.verified
+    monkeypatch.setattr(linking, "verified", lambda pairs, *a, **k: checks.append(pairs.count()) or verified(pairs, *a, **k))
+    near = {i: sorted(set(range(100)) - {r.randrange(100) for _ in range(4)} | {1000 + 10 * i + j for j in range(3)}) for i in range(400)}
+    apart = {1000 + i: sorted(r.sample(range(10**6, 10**6 + 12_000), 100)) for i in range(400)}
+    chain = {2000 + i: list(range(10**7 + i, 10**7 + i + 50)) for i in range(400)}
+    frame = lambda sets: spark.createDataFrame([(i, len(s), s) for i, s in sets.items()], "item long, size long, hashes array<long>")
+    for sets, spread, bound in ((near, 12, 4), (apart, 1, 16), (chain, 1, 24)):
+        buckets = spark.createDataFrame([(b, i) for i in sets for b in range(spread)], "bucket long, item long")
+        checks.clear()
+        found = {x.node: x.component for x in linking.link_sets(buckets, frame(sets), 80).collect()}
+        assert found == ({} if sets is apart else {i: min(sets) for i in sets})
+        assert sum(checks) <= bound * len(sets), checks
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7)]
     found = {r.node: r.component for r in linking.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from voltaria.llm import stream
 from voltaria.llm.linking import link_sets
 from voltaria.llm.text import mix, shingle_sets, signed
-from voltaria.session import stage
+from voltaria.session import Staging, stage
 
 _SEED = np.uint64(0x632BE59BD9B4E019)
 _COLLISION_COST = 2.0
@@ -197,6 +197,8 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", perce
 
     The key must be an integer. Rows of null key that are copies of each other have a null component.
     """
-    found = stage(jaccard_groups(docs, key, text, percent, width), "components")
+    with Staging(docs.sparkSession) as held:
+        found = stage(jaccard_groups(docs, key, text, percent, width), "components")
+        held.release(found)
     least = found.where("group_id is not null").groupBy("group_id").agg(F.min(key).alias("least"))
     return found.join(least, "group_id", "left").select(key, "n_shingles", F.coalesce("least", key).alias("component_id"))

@@ -1,11 +1,16 @@
 """Connected groups of similar sets, found without listing the pairs within a bucket.
 
-``link_sets`` takes buckets of items (a signature, a band) and returns each item's smallest linked item. A round
-elects a few leaders per bucket, verifies every other member against them, merges what links, and then drops
-the leaders: all their pairs in the bucket are settled. Buckets whose members already share a component are
-done. So a bucket of n similar items costs about n checks, not n^2, and no pair goes unchecked unless its two
+``link_sets`` takes buckets of items (a signature, a band) and returns each item's smallest linked item. Two kinds of
+rounds follow each other. In a *joining* round every open item is verified against one head only, the heaviest of those
+its buckets elect; what links takes one label, so a group of n similar items costs about n checks and gives about n links,
+whatever number of buckets it shares. Joining rounds, with other heads each time, go on while a quarter of their checks link. A *settling* round
+then elects a few leaders per bucket, verifies every member with another label against them, and drops the leaders: all their
+pairs in the bucket are settled. Buckets whose members share a label are done. Buckets that still hold many labels
+after the first settling round are dealt anew, once, by their members' rare hashes (prefix filter). No pair goes unchecked unless its two
 items are already known to be connected, or cannot reach the threshold: two sets differ in all hashes that either
 holds alone among all candidates, and in the difference of the numbers of their other hashes.
+
+Pairs are verified in blocks bounded by the bytes of the sets they need, and a round's tables go when the next round has its own.
 """
 
 from __future__ import annotations
@@ -14,12 +19,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltaria.session import stage
+from voltaria.session import Staging, stage
 
-FIRST_LEADERS, LEADER_GROWTH = 4, 8
+FIRST_LEADERS, LEADER_GROWTH, MANY_LABELS = 4, 8, 32
+BLOCK_BYTES = 8 << 20
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -70,35 +76,81 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     links: list[DataFrame] = []
     labels: DataFrame | None = None
     tested: DataFrame | None = None
-    leaders, turn = FIRST_LEADERS, 0
-    while True:
-        cur = open_.withColumn("label", F.col("item"))
-        if labels is not None:
-            cur = open_.join(labels.withColumnRenamed("node", "item"), "item", "left").select(*fields, F.coalesce("component", "item").alias("label"))
-        live = cur.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-        cur = stage(cur.join(live, "bucket", "left_semi"), "open")
-        if cur.isEmpty():
-            break
-        slot = F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
-        top = [F.max_by(c, "weight").alias(f"head_{c}") for c in ("item", "label", "size", "lone", "probe")]
-        heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(*top).drop("slot"), "heads")
-        # Either side's probes find a pair: those of the set with more hashes of its own, as they are fewer and rarer.
-        finds = F.when(F.struct("lone", "item") > F.struct("head_lone", "head_item"), F.col("probe")).otherwise(F.col("head_probe"))
-        pairs = cur.join(heads, "bucket").where("label <> head_label").where(finds).where(_possible(percent))
-        pairs = pairs.select(F.col("item").alias("a"), F.col("head_item").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(verified(pairs, pairs.count(), sets, percent), "links")
-        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        tested = both if tested is None else tested.unionByName(both)
-        links.append(found)
-        labels = stage(_followed(found, labels), "labels")
-        open_ = cur.select(*fields).join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
-        leaders, turn = min(leaders * LEADER_GROWTH, 1 << 20), turn + 1
-    if not links:
-        return spark.createDataFrame([], "node long, component long")
-    return stage(components(reduce(DataFrame.unionByName, links)), "labels")
+    leaders, turn, joining, settled, refined = FIRST_LEADERS, 0, True, False, False
+    with Staging(spark) as held:
+        while True:
+            cur = open_.withColumn("label", F.col("item"))
+            if labels is not None:
+                cur = open_.join(labels.withColumnRenamed("node", "item"), "item", "left").select(*fields, F.coalesce("component", "item").alias("label"))
+            live = cur.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+            cur = stage(cur.join(live, "bucket", "left_semi"), "open")
+            held.release(cur, *links, *([labels] if labels else []), *([tested] if tested else []))
+            if cur.isEmpty():
+                break
+            if settled and not refined:
+                refined = True
+                finer = _refined(cur, sets, facts, percent)
+                if finer is not None:
+                    open_, leaders, joining = finer, FIRST_LEADERS, True
+                    continue
+            rank = F.col("weight") if turn == 0 else F.xxhash64("item", F.lit(turn))
+            slot = F.lit(0) if joining else F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
+            top = [F.max_by(c, rank if joining else F.col("weight")).alias(f"head_{c}") for c in ("item", "label", "size", "lone", "probe", "weight")]
+            heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(*top).drop("slot"), "heads")
+            pairs = stage(_pairs(cur, heads, tested, percent, joining), "pairs")
+            found = stage(verified(pairs, sets, percent), "links")
+            done = pairs.select("lo", "hi")
+            tested = done if tested is None else tested.unionByName(done)
+            links.append(found)
+            labels = stage(_followed(found, labels), "labels")
+            turn += 1
+            open_ = cur.select(*fields)
+            if joining:
+                joining = 4 * found.count() >= pairs.count() > 0
+                continue
+            open_ = open_.join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
+            leaders, joining, settled = min(leaders * LEADER_GROWTH, 1 << 20), not found.isEmpty(), True
+        if not links:
+            return spark.createDataFrame([], "node long, component long")
+        out = stage(components(reduce(DataFrame.unionByName, links)), "labels")
+        held.release(out)
+    return out
+
+
+def _pairs(cur: DataFrame, heads: DataFrame, tested: DataFrame | None, percent: int, joining: bool) -> DataFrame:
+    """``item, head, bytes, lo, hi`` still to be verified: every member with every head of its buckets, each pair once; when
+    joining, every item with one head."""
+    # Either side's probes find a pair: those of the set with more hashes of its own, as they are fewer and rarer.
+    finds = F.when(F.struct("lone", "item") > F.struct("head_lone", "head_item"), F.col("probe")).otherwise(F.col("head_probe"))
+    met = cur.join(heads, "bucket").where("label <> head_label").where(finds).where(_possible(percent))
+    named = [F.col("head_item").alias("head"), ((F.col("size") + F.col("head_size")) * 8).alias("bytes"), F.least("item", "head_item").alias("lo"), F.greatest("item", "head_item").alias("hi")]
+    pairs = met.select("item", "head_weight", *named)
+    if tested is not None:
+        pairs = pairs.join(tested, ["lo", "hi"], "left_anti")
+    if joining:
+        best = F.max_by(F.struct("head", "bytes", "lo", "hi"), "head_weight").alias("p")
+        pairs = pairs.groupBy("item").agg(best).select("item", "p.*")
+    return pairs.select("item", "head", "bytes", "lo", "hi").dropDuplicates(["lo", "hi"])
+
+
+def _refined(cur: DataFrame, sets: DataFrame, facts: DataFrame, percent: int) -> DataFrame | None:
+    """The open buckets with those of many labels dealt anew by rare hashes, or None if there are none.
+
+    A set that reaches the threshold with x holds that share of x's hashes. So if the hashes of all sets concerned are put
+    in one order, rare ones first, both hold one of the other's first ``size - ceil(threshold * size) + 1`` hashes among their own.
+    """
+    many = stage(cur.groupBy("bucket").agg(F.count_distinct("label").alias("n")).where(F.col("n") > MANY_LABELS).select("bucket"), "many")
+    if many.isEmpty():
+        return None
+    members = cur.join(many, "bucket", "left_semi").select("item").distinct()
+    hashes = stage(sets.join(members, "item", "left_semi").select("item", "size", F.explode("hashes").alias("hash")), "hashes")
+    counts = hashes.groupBy("hash").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("item").orderBy("n", "hash")
+    first = F.col("size") - F.floor((F.col("size") * percent + 99) / 100) + 1
+    rare = hashes.join(counts, "hash").withColumn("place", F.row_number().over(order)).where((F.col("place") <= first) & (F.col("n") > 1))
+    finer = rare.select(F.xxhash64("hash", F.lit("prefix")).alias("bucket"), "item").join(facts, "item")
+    kept = cur.join(many, "bucket", "left_anti").drop("label")
+    return kept.unionByName(stage(finer.withColumn("probe", F.lit(True)).select(*kept.columns), "finer"))
 
 
 def _followed(found: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -133,12 +185,13 @@ def _possible(percent: int) -> Column:
     return fits & (apart * (100 + percent) <= (F.col("size") + F.col("head_size")) * (100 - percent))
 
 
-def verified(pairs: DataFrame, count: int, sets: DataFrame, percent: int, block: int = 4096) -> DataFrame:
-    """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold.
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK_BYTES) -> DataFrame:
+    """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold, from ``item, head, bytes`` (of both sets).
 
-    Pairs are dealt into blocks by a; each block gets the set of each of its items once, not once a pair.
+    Pairs are dealt by item into blocks of about ``block`` bytes of sets; a block gets the set of each item once, not once a pair.
     """
-    fit = pairs.withColumn("block", F.pmod(F.xxhash64("a"), F.lit(1 + count // block)))
+    total = pairs.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    fit = pairs.select(F.col("item").alias("a"), F.col("head").alias("b"), F.pmod(F.xxhash64("item"), F.lit(1 + total // block)).alias("block"))
     left = fit.groupBy("block", "b").agg(F.collect_list("a").alias("members")).join(sets.select(F.col("item").alias("b"), F.col("hashes").alias("y")), "b")
     own = fit.select(F.col("block").alias("part"), F.col("a").alias("item")).distinct()
     right = own.join(sets.select("item", F.col("hashes").alias("x")), "item")
