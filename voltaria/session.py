@@ -82,9 +82,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+class Staging:
+    """The tables staged inside a ``with`` block; ``release`` deletes those that nothing will read again."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Staging:
+        _scopes.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        _scopes.remove(self)
+
+    def release(self, *kept: DataFrame) -> None:
+        """Delete the tables staged so far, but for those that the kept frames read."""
+        read = {name.rsplit("/", 2)[-2] for df in kept for name in df.inputFiles()}
+        for path in self.paths:
+            if path.rsplit("/", 1)[-1] not in read:
+                remove_path(self.spark, path)
+        self.paths = [p for p in self.paths if p.rsplit("/", 1)[-1] in read]
+
+
+_scopes: list[Staging] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so later jobs start from the table."""
     path = scratch_path(df.sparkSession, label)
+    for scope in _scopes:
+        scope.paths.append(path)
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
