@@ -5,8 +5,9 @@ Paragraphs are the non-empty lines of a text; lines above ``LONG`` characters ar
 ``CELLS`` cells; a digest enters one cell of each row, which keeps count, XOR of digests and XOR of their checks. Two
 sketches subtract cell by cell, and what remains is peeled: a cell of count 1 or -1 whose check fits holds one
 differing digest, which is taken out of its cells until none is left. If cells remain, the comparison is retried
-with a larger sketch: as many blocks of cells as the sets need, twice as many at each further retry, a digest's block
-being taken from bits that its cells do not use. Blocks are rows, so a retry is one shuffle of digests.
+with a larger sketch: as many blocks of cells as the sets need, a digest's block being taken from bits that its cells
+do not use. Blocks are rows, so that is one shuffle of digests. Of these only the blocks that do not peel are
+taken again, each cut in four by further hash bits, without a shuffle and without the blocks that did peel.
 The likeness of two versions is the Jaccard similarity of their digest sets, from set sizes and peeled differences.
 
 The next document in descending key order comes from a window within slices of keys; the slices' bounds are
@@ -28,7 +29,7 @@ from voltaria.session import stage
 
 ROWS, CELLS, ROUNDS = 3, 8, 10
 SLICE_BYTES = 16 << 20
-BLOCK_LOAD = 8
+BLOCK_LOAD, SPLIT = 8, 4
 LONG, LEAST_PIECE, MOST_PIECE = 96, 64, 256
 _PIECE = rf"(?s).{{{LEAST_PIECE},{MOST_PIECE}}}?(?:[dlnry.!?]\s|[^\x00-\x7F]\s|[。！？、।]|$)|.{{1,{MOST_PIECE}}}"
 _BITS = CELLS.bit_length() - 1
@@ -190,21 +191,29 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def _retried(pairs: DataFrame) -> DataFrame:
-    """``row, side, gap`` of pairs whose first sketches could not be peeled, by sketches of more and more blocks."""
-    done, blocks = None, F.greatest(F.lit(2), F.ceil((F.size("a") + F.size("b")) / BLOCK_LOAD)).cast("long")
-    now = stage(pairs.withColumn("blocks", blocks), "retry")
+    """``row, side, gap`` of pairs whose first sketches could not be peeled: sketches of as many blocks as the sets need;
+    then a block that cannot be peeled, and no other, is cut in ``SPLIT`` by further bits of its digests, until all are."""
+    blocks = F.greatest(F.lit(2), F.ceil((F.size("a") + F.size("b")) / BLOCK_LOAD)).cast("long")
+    pairs = pairs.withColumn("blocks", blocks)
+    items = pairs.select("row", "side", "blocks", F.lit(True).alias("own"), F.explode("a").alias("digest")).unionByName(
+        pairs.select("row", "side", "blocks", F.lit(False).alias("own"), F.explode("b").alias("digest"))
+    )
+    block = F.pmod(F.shiftrightunsigned("digest", ROWS * _BITS), F.col("blocks"))
+    own, other = (F.collect_list(F.when(F.col("own") == F.lit(w), F.col("digest"))) for w in (True, False))
+    parts = items.groupBy("row", "side", block.alias("block")).agg(own.alias("x"), other.alias("y")).drop("block")
+    done, turn = None, 0
     while True:
-        if done is not None and now.isEmpty():
-            return done
-        items = now.select("row", "side", "blocks", F.lit(True).alias("own"), F.explode("a").alias("digest")).unionByName(
-            now.select("row", "side", "blocks", F.lit(False).alias("own"), F.explode("b").alias("digest"))
-        )
-        block = F.pmod(F.shiftrightunsigned("digest", ROWS * _BITS), F.col("blocks"))
-        own, other = (F.collect_list(F.when(F.col("own") == F.lit(w), F.col("digest"))) for w in (True, False))
-        parts = items.groupBy("row", "side", block.alias("block")).agg(own.alias("x"), other.alias("y"))
-        parts = parts.select("row", "side", peeled(sketch(F.col("x")), sketch(F.col("y"))).alias("gap"))
-        found = stage(parts.groupBy("row", "side").agg(F.when(F.count("gap") == F.count("*"), F.sum("gap")).alias("gap")), "gaps")
-        good = found.where("gap is not null")
+        tried = stage(parts.withColumn("gap", peeled(sketch(F.col("x")), sketch(F.col("y")))), "blocks")
+        good = tried.where("gap is not null").select("row", "side", "gap")
         done = good if done is None else done.unionByName(good)
-        failed = found.where("gap is null").select("row", "side")
-        now = stage(now.join(failed, ["row", "side"], "left_semi").withColumn("blocks", F.col("blocks") * 2), "retry")
+        failed = tried.where("gap is null")
+        if failed.isEmpty():
+            return done.groupBy("row", "side").agg(F.sum("gap").alias("gap"))
+        # The bits of one hash serve all turns but the last of its 62; then the next hash is taken.
+        at = lambda d: F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit(turn // 31), d), 2 * (turn % 31)), F.lit(SPLIT))  # noqa: E731, B023
+        pieces = F.transform(
+            F.sequence(F.lit(0), F.lit(SPLIT - 1)),
+            lambda n: F.struct(F.filter("x", lambda d: at(d) == n).alias("x"), F.filter("y", lambda d: at(d) == n).alias("y")),
+        )
+        parts = failed.select("row", "side", F.explode(pieces).alias("p")).select("row", "side", "p.x", "p.y").where("size(x) + size(y) > 0")
+        turn += 1
