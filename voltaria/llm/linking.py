@@ -3,7 +3,7 @@
 ``link_sets`` takes buckets of items (a signature, a band) and returns each item's smallest linked item. Two kinds of
 rounds follow each other. In a *joining* round every open item is verified against one head only, the heaviest of those
 its buckets elect; what links takes one label, so a group of n similar items costs about n checks and gives about n links,
-whatever number of buckets it shares. Joining rounds, with other heads each time, go on while a quarter of their checks link. A *settling* round
+whatever number of buckets it shares. Joining rounds, with other heads each time, go on while half of their checks link. A *settling* round
 then elects a few leaders per bucket, verifies every member with another label against them, and drops the leaders: all their
 pairs in the bucket are settled. Buckets whose members share a label are done. Buckets that still hold many labels
 after the first settling round are dealt anew, once, by their members' rare hashes (prefix filter). No pair goes unchecked unless its two
@@ -106,7 +106,7 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             turn += 1
             open_ = cur.select(*fields)
             if joining:
-                joining = 4 * found.count() >= pairs.count() > 0
+                joining = 2 * found.count() >= pairs.count() > 0
                 continue
             open_ = open_.join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
             leaders, joining, settled = min(leaders * LEADER_GROWTH, 1 << 20), not found.isEmpty(), True
@@ -120,17 +120,20 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _pairs(cur: DataFrame, heads: DataFrame, tested: DataFrame | None, percent: int, joining: bool) -> DataFrame:
     """``item, head, bytes, lo, hi`` still to be verified: every member with every head of its buckets, each pair once; when
     joining, every item with one head."""
-    # Either side's probes find a pair: those of the set with more hashes of its own, as they are fewer and rarer.
+    # Either side's probes find a pair: those of the set with more hashes of its own, as they are fewer and rarer. A joining
+    # round may miss pairs, and looks from the item's probes only.
     finds = F.when(F.struct("lone", "item") > F.struct("head_lone", "head_item"), F.col("probe")).otherwise(F.col("head_probe"))
-    met = cur.join(heads, "bucket").where("label <> head_label").where(finds).where(_possible(percent))
+    met = (cur.where("probe") if joining else cur).join(heads, "bucket").where("label <> head_label").where(_possible(percent))
     named = [F.col("head_item").alias("head"), ((F.col("size") + F.col("head_size")) * 8).alias("bytes"), F.least("item", "head_item").alias("lo"), F.greatest("item", "head_item").alias("hi")]
-    pairs = met.select("item", "head_weight", *named)
+    pairs = (met if joining else met.where(finds)).select("lo", "hi", F.struct("head_weight", "item", "head", "bytes").alias("p"))
     if tested is not None:
-        pairs = pairs.join(tested, ["lo", "hi"], "left_anti")
+        pairs = pairs.unionByName(tested.withColumn("p", F.lit(None).cast(pairs.schema["p"].dataType)))
+    # One sum a pair finds both its copies and whether it was verified before.
+    pairs = pairs.groupBy("lo", "hi").agg(F.max("p").alias("p"), F.count_if(F.col("p").isNull()).alias("done")).where("done = 0").select("p.*", "lo", "hi")
     if joining:
         best = F.max_by(F.struct("head", "bytes", "lo", "hi"), "head_weight").alias("p")
         pairs = pairs.groupBy("item").agg(best).select("item", "p.*")
-    return pairs.select("item", "head", "bytes", "lo", "hi").dropDuplicates(["lo", "hi"])
+    return pairs.select("item", "head", "bytes", "lo", "hi")
 
 
 def _refined(cur: DataFrame, sets: DataFrame, facts: DataFrame, percent: int) -> DataFrame | None:
