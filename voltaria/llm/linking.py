@@ -125,7 +125,7 @@ def _pairs(cur: DataFrame, heads: DataFrame, tested: DataFrame | None, percent:
     finds = F.when(F.struct("lone", "item") > F.struct("head_lone", "head_item"), F.col("probe")).otherwise(F.col("head_probe"))
     met = (cur.where("probe") if joining else cur).join(heads, "bucket").where("label <> head_label").where(_possible(percent))
     named = [F.col("head_item").alias("head"), ((F.col("size") + F.col("head_size")) * 8).alias("bytes"), F.least("item", "head_item").alias("lo"), F.greatest("item", "head_item").alias("hi")]
-    pairs = (met if joining else met.where(finds)).select("lo", "hi", F.struct("head_weight", "item", "head", "bytes").alias("p"))
+    pairs = (met if joining else met.where(finds)).select("item", "head_weight", *named).select("lo", "hi", F.struct("head_weight", "item", "head", "bytes").alias("p"))
     if tested is not None:
         pairs = pairs.unionByName(tested.withColumn("p", F.lit(None).cast(pairs.schema["p"].dataType)))
     # One sum a pair finds both its copies and whether it was verified before.
