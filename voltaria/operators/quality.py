@@ -113,3 +113,16 @@ def grid_checks(
         )
         out = row if out is None else out.union(row)
     return out
+
+
+def derived_grid_checks(panel: DataFrame, node: str, dimension: DataFrame) -> DataFrame:
+    """:func:`grid_checks` with its expectations taken from the data: the spacing is the commonest gap between a node's
+    steps (ties: the shorter), the steps are those of that spacing between the first and the last, the nodes are the rows of the dimension."""
+    series = Series(keys=(node,), by=("ts",))
+    stamp = F.unix_seconds(F.col("ts").cast("timestamp"))
+    gaps = windowed(panel.select(node, "ts"), series, {"gap": lambda w: stamp - F.lag(stamp).over(w)}, back=1)
+    common = gaps.where("gap is not null").groupBy("gap").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "gap").first()
+    span = panel.agg((F.max(stamp) - F.min(stamp)).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    spacing = common["gap"] if common else 0
+    steps = span["s"] // spacing + 1 if spacing else min(span["n"], 1)
+    return grid_checks(panel, node, steps, dimension.select(node).distinct().count(), spacing)

@@ -144,6 +144,24 @@ def metric_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _FRAME = "(PARTITION BY station_id, metric ORDER BY seq ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"
+_LONG_FRAME = "(PARTITION BY station_id, metric ORDER BY seq ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING)"
+
+
+@query(
+    "metric_z_runs_documented",
+    with_views(
+        f"""SELECT station_id, metric, count(*) AS length, min(seq) AS start, max(seq) AS "end" FROM (
+          SELECT *, sum(CASE WHEN high <> coalesce(before, false) THEN 1 ELSE 0 END) OVER (PARTITION BY station_id, metric ORDER BY seq) AS run FROM (
+            SELECT *, lag(high) OVER (PARTITION BY station_id, metric ORDER BY seq) AS before FROM (
+              SELECT station_id, metric, seq, coalesce(abs(round(value - m, 9) / nullif(round(s, 9), 0)) > 2.0::DOUBLE, false) AS high
+              FROM (SELECT *, avg(value) OVER {_LONG_FRAME} AS m, stddev_pop(value) OVER {_LONG_FRAME} AS s FROM metrics))))
+        WHERE high GROUP BY station_id, metric, run HAVING count(*) > 10""",
+        "metrics",
+    ),
+)
+def metric_z_runs_documented(spark: SparkSession, sf: str) -> DataFrame:
+    """The rule as documented: more than 10 rows in turn beyond two standard deviations of the 100 rows before."""
+    return K.z_runs(metric_rows(spark, sf), Series(keys=tuple(KEYS), by=("seq",)))
 
 
 @query(

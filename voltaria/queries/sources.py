@@ -372,6 +372,26 @@ def panel_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
     return Q.grid_checks(V.station_panel(spark, sf), "station_id", 357, 100, 604800)
 
 
+@query(
+    "panel_grid_derived",
+    with_views(
+        """SELECT * FROM (WITH gaps AS (SELECT (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY station_id ORDER BY ts))) // 1000000 AS gap FROM station_panel),
+          common AS (SELECT gap FROM gaps WHERE gap IS NOT NULL GROUP BY gap ORDER BY count(*) DESC, gap LIMIT 1),
+          facts AS (SELECT (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 // (SELECT gap FROM common) + 1 AS steps, count(DISTINCT ts) AS held,
+            count(DISTINCT station_id) AS nodes FROM station_panel),
+          off AS (SELECT count(CASE WHEN gap <> (SELECT gap FROM common) THEN 1 END) AS n FROM gaps)
+        SELECT 'steps' AS "check", CAST(steps AS BIGINT) AS expected, held AS actual, steps = held AS ok FROM facts
+        UNION ALL SELECT 'nodes', (SELECT count(DISTINCT s_suppkey) FROM supplier), nodes, nodes = (SELECT count(DISTINCT s_suppkey) FROM supplier) FROM facts
+        UNION ALL SELECT 'off_spacing', 0, n, n = 0 FROM off)""",
+        "station_panel",
+    ),
+)
+def panel_grid_derived(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid checks at any size of the tables."""
+    stations = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("station_id"))
+    return Q.derived_grid_checks(V.station_panel(spark, sf), "station_id", stations)
+
+
 @query(
     "price_rule_counts",
     "SELECT 'price_out_of_bounds' AS rule, count(CASE WHEN price NOT BETWEEN 5 AND 30 THEN 1 END) AS failures "
