@@ -29,8 +29,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier rejects go; lang becomes the predicted language."""
     ship(spark)
     model = learn(docs.where(~held_out("doc_id")))
-    named = predict(docs, model).where("not rejected").withColumn("lang", F.col("lang_pred"))
-    return named.select(*docs.columns)
+    own = {c: _fresh(c, docs) for c in ("lang_pred", "score", "rejected") if c in docs.columns}  # columns that the classifier names alike
+    named = predict(docs.withColumnsRenamed(own), model).where("not rejected")
+    return named.select(*(F.col("lang_pred" if c == "lang" else own.get(c, f"`{c}`")).alias(c) for c in docs.columns))
+
+
+def _fresh(name: str, docs: DataFrame) -> str:
+    """A column name that the documents do not have."""
+    name = f"own_{name}"
+    return name if name not in docs.columns else _fresh(name, docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +60,10 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold a benchmark item go, told apart by a hash of id and text."""
     ship(spark)
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    rows = docs.withColumn("__row", row_id("doc_id", "text"))
-    held = contaminated(rows.select(F.col("__row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("__row")).distinct()
-    return rows.join(held, "__row", "left_anti").select(*docs.columns)
+    row = _fresh("row", docs)
+    rows = docs.withColumn(row, row_id("doc_id", "text"))
+    held = contaminated(rows.select(F.col(row).alias("doc_id"), "text"), items).select(F.col("doc_id").alias(row)).distinct()
+    return rows.join(held, row, "left_anti").select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
