@@ -1,5 +1,7 @@
 """The pipeline and the registration of its queries."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 import __spark_entry__ as entry
 
@@ -31,6 +33,17 @@ def test_stages_keep_columns_and_odd_rows(spark):
         assert stage(spark, empty, sf).count() == 0
 
 
+def test_stages_keep_columns_that_clash_with_their_own(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    names = ("score", "rejected", "lang_pred", "own_score", "own_row", "__row", "row", "doc")
+    wide = docs.select("*", *(F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, sf)
+        assert out.columns == wide.columns, name
+        assert all(r[n] == f"{n} of {r.doc_id}" for r in out.collect() for n in names), name
+
+
 def test_leaks_of_null_and_shared_ids(spark):
     sf = "/root/testdata/sf0.001"
     item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 60").first()["text"]
