@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltaria.operators import graph as G
+from voltaria.operators import graph_network as N
 from voltaria.operators import spatial as S
 
 T0 = dt.datetime(2024, 1, 1)
@@ -80,3 +81,62 @@ def test_edge_weights(spark, edges):
 def test_capacity_needs_a_count(spark):
     with pytest.raises(KeyError):
         S.station_capacity(spark.createDataFrame([(1,)], "node_id long"))
+
+
+def _wave(spark, steps=60, hubs=6):
+    """A ring whose next value is a cut (not linear) of what the neighbours hold."""
+    r = np.random.default_rng(3)
+    edge = [(i, (i + s) % hubs, 1.0) for i in range(hubs) for s in (1, hubs - 1)]
+    x = r.normal(size=(steps, hubs))
+    mean = (x + np.roll(x, 1, axis=1) + np.roll(x, -1, axis=1)) / 3
+    target = 3.0 * np.abs(mean)
+    rows = [(T0 + dt.timedelta(hours=t), n, float(x[t, n]), float(target[t, n]), t < 40, 40 <= t < 48) for t in range(steps) for n in range(hubs)]
+    frame = spark.createDataFrame(rows, "ts timestamp_ntz, node_id long, x double, target double, learn boolean, check boolean")
+    return frame, spark.createDataFrame(edge, "src long, dst long, dist double"), x, target
+
+
+def test_network_gradient_equals_differences(spark):
+    frame, edges, x, target = _wave(spark, 6)
+    frame = frame.withColumn("learn", F.col("node_id") != 2)
+    links = G.normalised_links(edges, frame)
+    net = N.initial(1, 2, 2, seed=5)
+    net = net.like(net.flat() + 0.1)
+    loss, checked, slope = N.gradient(N.first_sums(frame, links, ["x"]), links, net)
+
+    def plain(flat):
+        one, ring = net.like(flat), (np.eye(6) + np.roll(np.eye(6), 1, axis=0) + np.roll(np.eye(6), -1, axis=0)) / 3
+        h = x[:, :, None]
+        for weights, bias in one.layers:
+            h = np.maximum(np.einsum("mn,tnf->tmf", ring, h) @ weights + bias, 0)
+        error = (h @ one.head[0] + one.head[1] - target)[:, [0, 1, 3, 4, 5]]
+        return (error**2).mean() / 2
+
+    flat, eps = net.flat(), 1e-6
+    want = [(plain(flat + eps * e) - plain(flat - eps * e)) / (2 * eps) for e in np.eye(len(flat))]
+    assert checked is None and loss == pytest.approx(plain(flat))
+    assert slope.flat() == pytest.approx(np.array(want), abs=1e-6)
+
+
+def test_network_learns_what_a_linear_head_cannot(spark):
+    frame, edges, x, target = _wave(spark)
+    links = G.normalised_links(edges, frame)
+    model = N.fit(frame, links, ["x"], hidden=4, layers=1, epochs=60, rate=0.1)
+    test = frame.where("not learn and not check").join(N.predict(frame, links, model), ["ts", "node_id"]).toPandas()
+    error = np.mean((test.prediction - test.target) ** 2)
+    sides = np.stack([np.ones(x[:48].size), *[np.roll(x[:48], s, axis=1).ravel() for s in (0, 1, 5)]], axis=1)
+    head, *_ = np.linalg.lstsq(sides, target[:48].ravel(), rcond=None)
+    unseen = np.stack([np.ones(x[48:].size), *[np.roll(x[48:], s, axis=1).ravel() for s in (0, 1, 5)]], axis=1)
+    linear = np.mean((unseen @ head - target[48:].ravel()) ** 2)
+    assert len(test) == 12 * 6 and error < 0.3 * linear
+    assert min(c for _, c in model.losses) < model.losses[0][1]
+    with pytest.raises(ValueError):
+        N.fit(frame.withColumn("learn", F.lit(False)), links, ["x"])
+
+
+def test_network_training_stops_by_patience(spark):
+    frame, edges, *_ = _wave(spark, 12)
+    frame = frame.withColumns({"learn": F.col("node_id") < 3, "check": F.col("node_id") >= 3, "target": F.when(F.col("node_id") < 3, F.col("target")).otherwise(F.col("ts").cast("timestamp").cast("long") / -1e9)})
+    links = G.normalised_links(edges, frame)
+    model = N.fit(frame, links, ["x"], epochs=30, rate=0.3, patience=2)
+    least = int(np.argmin([c for _, c in model.losses]))
+    assert len(model.losses) == min(31, least + 3)

@@ -58,12 +58,8 @@ def feature_count(window: int, temporal: bool = True) -> int:
     return 2 * window + (3 if temporal else 0)
 
 
-def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -> DataFrame:
-    """``{column}_hop_{k}``: the value smoothed k times by the symmetric normalised adjacency with self loops.
-
-    One edge join and one aggregation per hop (simple graph convolution: the learned part comes after);
-    ``(ts, node_id)`` is unique. Every third hop is written to the shared folder to keep the plan short.
-    """
+def normalised_links(edges: DataFrame, panel: DataFrame) -> DataFrame:
+    """``src, dst, a``: the symmetric normalised adjacency, with a self loop for every node of the panel."""
     links = edges.where(F.col("src") != F.col("dst")).select("src", "dst")
     loops = panel.select(F.col("node_id").alias("src")).distinct().withColumn("dst", F.col("src"))
     full = links.unionByName(loops)
@@ -73,8 +69,17 @@ def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -
         .join(degree.select(F.col("node").alias("dst"), F.col("d").alias("dd")), "dst")
         .select("src", "dst", (F.lit(1.0) / F.sqrt(F.col("ds") * F.col("dd"))).alias("a"))
     )
-    # Every hop reads the same links; they are found once.
-    scaled = broadcast_if_small(stage(scaled, "links"))
+    # Every hop and epoch reads the same links; they are found once.
+    return broadcast_if_small(stage(scaled, "links"))
+
+
+def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -> DataFrame:
+    """``{column}_hop_{k}``: the value smoothed k times by the symmetric normalised adjacency with self loops.
+
+    One edge join and one aggregation per hop (simple graph convolution: the learned part comes after);
+    ``(ts, node_id)`` is unique. Every third hop is written to the shared folder to keep the plan short.
+    """
+    scaled = normalised_links(edges, panel)
     own = F.col("src") == F.col("dst")
     current = panel.select("ts", "node_id", column)
     carried = [column]

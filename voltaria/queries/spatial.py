@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltaria.functions.demand import add_row_demand
 from voltaria.operators import graph as G
+from voltaria.operators import graph_network as N
 from voltaria.operators import metrics as M
 from voltaria.operators import spatial as S
 from voltaria.operators.ordered import windowed
@@ -131,6 +133,98 @@ def graph_forecast(spark: SparkSession, sf: str) -> DataFrame:
     return M.regression_metrics(both, "target", "prediction", ["model"], guard=1e-8)
 
 
+@query("graph_convolution_forecast")
+def graph_convolution_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics of the learned convolution beside those of the last value, per model, on the same test rows."""
+    panel = V.district_panel(spark, sf).select("ts", "node_id", "occupancy")
+    _, predicted = N.fit_convolution_forecast(panel, V.edges(spark, sf))
+    test = predicted.where("not in_head")
+    both = test.select("target", "prediction", F.lit("convolution").alias("model")).unionByName(
+        test.select("target", F.col("occupancy").alias("prediction"), F.lit("last value").alias("model"))
+    )
+    return M.regression_metrics(both, "target", "prediction", ["model"], guard=1e-8)
+
+
+@query(
+    "graph_convolution_facts",
+    with_views(
+        """SELECT count(*) FILTER (rn <= floor(n * 0.72::DOUBLE)) AS rows_learned, count(*) FILTER (rn > floor(n * 0.8::DOUBLE)) AS rows_test,
+          count(*) AS predictions, true AS loss_fell, true AS below_mean_error
+        FROM (SELECT row_number() OVER (ORDER BY ts, node_id) AS rn, count(*) OVER () AS n
+          FROM (SELECT ts, node_id, lag(occupancy, 11) OVER w AS first, lead(occupancy) OVER w AS target FROM district_panel WINDOW w AS (PARTITION BY node_id ORDER BY ts))
+          WHERE first IS NOT NULL AND target IS NOT NULL)""",
+        "district_panel",
+    ),
+)
+def graph_convolution_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold whatever the data: sizes of the parts, a finite prediction for every sample, a loss on the rows learned
+    from that fell, and ended below that of their mean (half a squared unit after scaling)."""
+    panel = V.district_panel(spark, sf).select("ts", "node_id", "occupancy")
+    samples, inputs = N.forecast_samples(panel)
+    links = G.normalised_links(V.edges(spark, sf), panel)
+    model = N.fit(samples, links, inputs)
+    least = min(loss for loss, _ in model.losses)
+    predicted = N.predict(samples, links, model)
+    return samples.join(predicted, ["ts", "node_id"]).agg(
+        F.count_if("learn").alias("rows_learned"),
+        F.count_if(~F.col("in_head")).alias("rows_test"),
+        F.count_if(F.abs("prediction") < float("inf")).alias("predictions"),
+        F.lit(least < model.losses[0][0]).alias("loss_fell"),
+        F.lit(least < 0.5).alias("below_mean_error"),
+    )
+
+
+_NETWORK = N.Network(
+    ((np.array([[0.5, -0.3], [0.2, 0.4]]), np.array([0.1, 0.05])), (np.array([[0.3, 0.6], [-0.2, 0.5]]), np.array([0.05, -0.1]))),
+    (np.array([0.7, -0.4]), 0.2),
+)
+
+
+def _gradient_sql() -> str:
+    """Both layers forward and backward, written out for the fixed network."""
+
+    def unit(names: list[str], weights, bias: float) -> str:
+        return " + ".join([f"{n} * ({w}::DOUBLE)" for n, w in zip(names, weights)] + [f"({bias}::DOUBLE)"])
+
+    (w0, b0), (w1, b1) = _NETWORK.layers
+    w2, b2 = _NETWORK.head
+    hidden = [", ".join(f"greatest({unit([f'p{n}{i}' for i in (0, 1)], w[:, j], b[j])}, 0.0::DOUBLE) AS h{n}{j}" for j in (0, 1)) for n, (w, b) in enumerate(_NETWORK.layers)]
+    sent = ", ".join(f"{unit(['g10', 'g11'], w1[i], 0.0)} AS s{i}" for i in (0, 1))
+    rows = [(f"layer {n} weight", i, j, f"avg(p{n}{i} * g{n}{j})") for n in (0, 1) for i in (0, 1) for j in (0, 1)]
+    rows += [(f"layer {n} bias", 0, j, f"avg(g{n}{j})") for n in (0, 1) for j in (0, 1)]
+    rows += [("head weight", 0, j, f"avg(h1{j} * d)") for j in (0, 1)] + [("head bias", 0, 0, "avg(d)"), ("loss", 0, 0, "avg(d * d) / 2")]
+    shown = "\nUNION ALL ".join(f"SELECT '{part}' AS part, {i} AS i, {j} AS j, {R(value, 6)} AS value FROM pulled" for part, i, j, value in rows)
+    ctes = f""",
+x AS (SELECT ts, node_id, occupancy / capacity AS x0, price / 30.0::DOUBLE AS x1, volume / (25.0::DOUBLE * capacity) AS target FROM district_panel),
+p0 AS (SELECT ts, src AS node_id, sum(x0 * a) AS p00, sum(x1 * a) AS p01 FROM x JOIN a ON node_id = dst GROUP BY 1, 2),
+l0 AS (SELECT x.*, p00, p01, {hidden[0]} FROM x JOIN p0 USING (ts, node_id)),
+p1 AS (SELECT ts, src AS node_id, sum(h00 * a) AS p10, sum(h01 * a) AS p11 FROM l0 JOIN a ON node_id = dst GROUP BY 1, 2),
+l1 AS (SELECT l0.*, p10, p11, {hidden[1]} FROM l0 JOIN p1 USING (ts, node_id)),
+err AS (SELECT *, {unit(['h10', 'h11'], w2, b2)} - target AS d FROM l1),
+g1 AS (SELECT *, {', '.join(f'CASE WHEN h1{j} > 0 THEN d * ({w2[j]}::DOUBLE) ELSE 0 END AS g1{j}' for j in (0, 1))} FROM err),
+sent AS (SELECT *, {sent} FROM g1),
+q AS (SELECT ts, dst AS node_id, sum(s0 * a) AS q0, sum(s1 * a) AS q1 FROM sent JOIN a ON node_id = src GROUP BY 1, 2),
+pulled AS (SELECT sent.*, {', '.join(f'CASE WHEN h0{j} > 0 THEN q{j} ELSE 0 END AS g0{j}' for j in (0, 1))} FROM sent JOIN q USING (ts, node_id))"""
+    links = _HOPS[: _HOPS.index(",\nh1 AS")]
+    return with_views(links + ctes, "district_panel", "edges").replace(")\n,", "),", 1) + "\n" + shown
+
+
+@query("graph_convolution_gradient", _gradient_sql())
+def graph_convolution_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Loss and gradient of a fixed network of two layers over the whole panel, number by number."""
+    panel = V.district_panel(spark, sf)
+    load, rate = F.col("occupancy") / F.col("capacity"), F.col("price") / 30.0
+    samples = panel.select("ts", "node_id", load.alias("x0"), rate.alias("x1"), (F.col("volume") / (25.0 * F.col("capacity"))).alias("target"), F.lit(True).alias("learn"))
+    links = G.normalised_links(V.edges(spark, sf), panel)
+    loss, _, slope = N.gradient(N.first_sums(samples, links, ["x0", "x1"]), links, _NETWORK)
+    rows = [("loss", 0, 0, loss), ("head bias", 0, 0, slope.head[1])]
+    rows += [("head weight", 0, j, float(v)) for j, v in enumerate(slope.head[0])]
+    for n, (weights, bias) in enumerate(slope.layers):
+        rows += [(f"layer {n} weight", int(i), int(j), float(v)) for (i, j), v in np.ndenumerate(weights)]
+        rows += [(f"layer {n} bias", 0, j, float(v)) for j, v in enumerate(bias)]
+    return spark.createDataFrame(rows, "part string, i int, j int, value double").withColumn("value", settle("value", 6))
+
+
 _NAIVE = """(SELECT node_id, occupancy AS y, lag(occupancy) OVER (PARTITION BY node_id ORDER BY ts) AS p FROM district_panel)"""
 
 
