@@ -66,15 +66,14 @@ def around(rows: DataFrame, links: DataFrame, sums: dict[str, str], reverse: boo
     """
     here, there = ("src", "dst") if reverse else ("dst", "src")
     ends = links.select(F.col(here).alias("node_id"), F.col(there).alias("_to"), "a")
-    own = F.col("node_id") == F.col("_to")
     carried = [c for c in rows.columns if c not in ("ts", "node_id")]
     return (
         rows.join(ends, "node_id")
         .groupBy("ts", "_to")
         .agg(
-            F.bool_or(own).alias("_present"),
-            *[F.max(F.when(own, F.col(c))).alias(c) for c in carried],
-            *[F.sum(F.col(c) * F.col("a")).alias(name) for name, c in sums.items()],
+            F.expr("bool_or(node_id = _to)").alias("_present"),
+            *[F.expr(f"max(if(node_id = _to, {c}, null)) AS {c}") for c in carried],
+            *[F.expr(f"sum({c} * a) AS {name}") for name, c in sums.items()],
         )
         .where("_present")
         .drop("_present")
@@ -105,37 +104,36 @@ def forward(rows: DataFrame, links: DataFrame, network: Network) -> DataFrame:
         reads, gives = _names("p", n, len(weights)), _names("h", n, len(bias))
         if n:
             rows = around(rows, links, dict(zip(reads, _names("h", n - 1, len(weights)))))
-        rows = rows.withColumns({g: F.expr(f"greatest({_affine(reads, weights[:, j], bias[j])}, 0D)") for j, g in enumerate(gives)})
-    return rows.withColumn("_y", F.expr(_affine(gives, *network.head)))
+        rows = rows.selectExpr("*", *[f"greatest({_affine(reads, weights[:, j], bias[j])}, 0D) AS {g}" for j, g in enumerate(gives)])
+    return rows.selectExpr("*", f"{_affine(gives, *network.head)} AS _y")
 
 
 def gradient(rows: DataFrame, links: DataFrame, network: Network, target: str = "target", learn: str = "learn", check: str | None = None) -> tuple[float, float | None, Network]:
     """Half the mean squared error over the ``learn`` rows and over the ``check`` rows, and the gradient of the first."""
-    made = forward(rows, links, network).withColumn("_e", F.col("_y") - F.col(target))
-    counted = F.col(learn) & F.col("_e").isNotNull()
-    made = made.withColumns({"_n": counted.cast("int"), "_d": F.when(counted, F.col("_e")).otherwise(0.0)})
+    made = forward(rows, links, network).selectExpr("*", f"_y - {target} AS _e")
+    made = made.selectExpr("*", f"if({learn} and _e is not null, _e, null) AS _d")
     last = len(network.layers) - 1
     outputs = len(network.layers[last][1])
     held, pulled = _names("h", last, outputs), _names("g", last, outputs)
-    made = made.withColumns({g: F.expr(f"if({h} > 0, _d * {_number(w)}, 0D)") for g, h, w in zip(pulled, held, network.head[0])})
+    made = made.selectExpr("*", *[f"if({h} > 0, coalesce(_d, 0D) * {_number(w)}, 0D) AS {g}" for g, h, w in zip(pulled, held, network.head[0])])
     for n in range(last, 0, -1):
         weights = network.layers[n][0]
         sent, back = _names("s", n, len(weights)), _names("q", n, len(weights))
-        made = made.withColumns({s: F.expr(_affine(pulled, weights[i], 0.0)) for i, s in enumerate(sent)})
+        made = made.selectExpr("*", *[f"{_affine(pulled, weights[i], 0.0)} AS {s}" for i, s in enumerate(sent)])
         made = around(made, links, dict(zip(back, sent)), reverse=True).drop(*sent)
         pulled = _names("g", n - 1, len(weights))
-        made = made.withColumns({g: F.expr(f"if({h} > 0, {q}, 0D)") for g, h, q in zip(pulled, _names("h", n - 1, len(weights)), back)}).drop(*back)
+        made = made.selectExpr("*", *[f"if({h} > 0, {q}, 0D) AS {g}" for g, h, q in zip(pulled, _names("h", n - 1, len(weights)), back)]).drop(*back)
     sums = []
     for n, (weights, bias) in enumerate(network.layers):
         reads, down = _names("p", n, len(weights)), _names("g", n, len(bias))
-        sums += [F.sum(F.col(p) * F.col(g)) for p in reads for g in down] + [F.sum(g) for g in down]
-    sums += [F.sum(F.col(h) * F.col("_d")) for h in held] + [F.sum("_d")]
-    squares = F.col("_e") * F.col("_e") / 2
-    checked = F.avg(F.when(F.col(check), squares)) if check else F.lit(None).cast("double")
-    total = made.agg(F.sum("_n").alias("n"), F.avg(F.when(counted, squares)).alias("loss"), checked.alias("check"), *[s.alias(f"_{i}") for i, s in enumerate(sums)]).first()
+        sums += [f"{p} * {g}" for p in reads for g in down] + down
+    sums += [f"{h} * _d" for h in held] + ["_d"]
+    checked = f"avg(if({check}, _e * _e / 2, null))" if check else "cast(null AS double)"
+    parts = [f"sum({part}) AS _{i}" for i, part in enumerate(sums)]
+    total = made.selectExpr("count(_d) AS n", "avg(_d * _d / 2) AS loss", f"{checked} AS held", *parts).first()
     if not total.n:
         raise ValueError("no row to learn from")
-    return total.loss, total.check, network.like(np.array(total[3:]) / total.n)
+    return total.loss, total.held, network.like(np.array(total[3:]) / total.n)
 
 
 def fit(

@@ -137,7 +137,7 @@ def graph_forecast(spark: SparkSession, sf: str) -> DataFrame:
 def graph_convolution_forecast(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics of the learned convolution beside those of the last value, per model, on the same test rows."""
     panel = V.district_panel(spark, sf).select("ts", "node_id", "occupancy")
-    _, predicted = N.fit_convolution_forecast(panel, V.edges(spark, sf))
+    _, predicted = N.fit_convolution_forecast(panel, V.edges(spark, sf), epochs=25)
     test = predicted.where("not in_head")
     both = test.select("target", "prediction", F.lit("convolution").alias("model")).unionByName(
         test.select("target", F.col("occupancy").alias("prediction"), F.lit("last value").alias("model"))
@@ -162,7 +162,7 @@ def graph_convolution_facts(spark: SparkSession, sf: str) -> DataFrame:
     panel = V.district_panel(spark, sf).select("ts", "node_id", "occupancy")
     samples, inputs = N.forecast_samples(panel)
     links = G.normalised_links(V.edges(spark, sf), panel)
-    model = N.fit(samples, links, inputs)
+    model = N.fit(samples, links, inputs, epochs=8)
     least = min(loss for loss, _ in model.losses)
     predicted = N.predict(samples, links, model)
     return samples.join(predicted, ["ts", "node_id"]).agg(
