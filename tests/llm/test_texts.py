@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -221,3 +222,62 @@ def test_tiling(spark):
 def test_tiles_take_the_longest_first():
     made = tiling.tiles([1, 2, 3, 4, 5, 6], [4, 5, 6, 9, 1, 2, 3, 4, 9, 5, 6], 2)
     assert made[0][2] == 4 and sum(n for _, _, n in made) == 6
+
+
+def plain_tiles(item, text, least):
+    """Greedy string tiling as defined: always the longest free match, then the first in the item, then in the text."""
+    used, taken, found = set(), set(), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(item)):
+            for j in range(len(text)):
+                n = 0
+                while i + n < len(item) and j + n < len(text) and i + n not in used and j + n not in taken and item[i + n] == text[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < least:
+            return found
+        found.append((i, j, n))
+        used.update(range(i, i + n))
+        taken.update(range(j, j + n))
+
+
+def test_tiles_equal_plain_greedy_tiling():
+    r = random.Random(8)
+    for _ in range(300):
+        words = r.choice([2, 3, 8, 40])
+        item, text = ([r.randrange(words) for _ in range(r.randrange(1, n))] for n in (45, 70))
+        for _ in range(r.randrange(3)):
+            a, p = r.randrange(len(item)), r.randrange(len(text) + 1)
+            text[p:p] = item[a : a + r.randrange(1, 30)]
+        least = min(r.choice([2, 4]), len(item))
+        assert sorted(tiling.tiles(item, text, least)) == sorted(plain_tiles(item, text, least))
+
+
+def test_contamination_equals_plain_tiling(spark):
+    """Both ways of finding candidates against every document with every item; few words, so that common seeds abound."""
+    r = random.Random(9)
+    word = lambda: f"w{min(r.randrange(12), r.randrange(12))}"
+    items = [" ".join(word() for _ in range(r.choice([1, 2, 3, 5, 12, 30]))) for _ in range(25)] + [None, ""]
+    texts = [" ".join(word() for _ in range(r.randrange(0, 60))) for _ in range(60)] + [None, "", *items[3:8]]
+    want = set()
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            a, b = (item or "").split(), (text or "").split()
+            covered = sum(n for _, _, n in plain_tiles(a, b, min(4, len(a)))) if a else 0
+            if a and covered >= 0.6 * len(a):
+                want.add((d, i, covered))
+    for limit in (1 << 20, 0):
+        rows = tiling.contaminated(table(spark, texts), bench(spark, items), broadcast_bytes=limit).collect()
+        assert len(rows) == len(want) and {(x.doc_id, x.item_id, x.covered_words) for x in rows} == want
+
+
+def test_tiling_of_one_word_repeated_is_not_quadratic():
+    one = np.full(400_000, 8, np.uint64)
+    broken = np.tile(np.array([8] * 19 + [16], np.uint64), 5_000)
+    start = time.time()
+    assert tiling.coverage(one[:200], one, 4) == (200, 1)
+    assert tiling.coverage(one[:60], broken, 4) == (57, 3)  # three runs of 19; the 3 words left are less than a seed
+    assert tiling.coverage(np.concatenate([one[:30], np.arange(100, 1100, 8, dtype=np.uint64)]), one, 4, 0.6) == (0, 0)
+    assert time.time() - start < 30

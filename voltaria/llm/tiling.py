@@ -8,7 +8,9 @@ passages count whatever their order, and one document word covers one item word
 more are contaminated.
 
 The seeds travel as a broadcast only while their counted bytes stay within ``broadcast_bytes``; beyond that the same
-seeds are joined by Spark, documents giving their distinct seed hashes.
+seeds are joined by Spark, documents giving their distinct seed hashes. A document that covers enough of an item shares
+``threshold * words / seed`` of its seed positions or more; so each item leaves out as many of its commonest seeds, less one, and a
+phrase found in many documents and items does not pair them all.
 
 Defined cases: null, empty and wordless texts on either side match nothing; an item repeated in the benchmark
 gives a pair per row; a repeated document row gives its pairs each time; other columns are ignored.
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltaria.llm.text import alphanumeric, signed, slices, window_hash, word_hashes
@@ -64,51 +66,88 @@ def _rolling(words: list[int], open_: list[bool], length: int) -> Iterator[tuple
 
 
 def tiles(item: list[int], text: list[int], least: int) -> list[tuple[int, int, int]]:
-    """Longest matches first: item position, text position and length of each tile of ``least`` words or more."""
+    """Longest matches first: item position, text position and length of each tile of ``least`` words or more.
+
+    Of equal matches the first in the item goes first, then the first in the text. A pass keeps one match per item position, the
+    longest, and marks them in that order until one is cut short by another; then it looks again. So it holds one match per
+    item word, however often a word repeats, and a position that has all it can get is not compared further.
+    """
     free_item, free_text, found = [True] * len(item), [True] * len(text), []
     length = max(least, min(len(item), _LONGEST_FIRST))
     while True:
+        ends = _ends(free_item)
         table: dict[int, list[int]] = {}
         for at, value in _rolling(item, free_item, length):
             table.setdefault(value, []).append(at)
-        matches, longest = [], 0
-        for at, value in _rolling(text, free_text, length):
-            for start in table.get(value, ()):
-                n = 0
-                while start + n < len(item) and at + n < len(text) and free_item[start + n] and free_text[at + n] and item[start + n] == text[at + n]:
-                    n += 1
-                if n >= length:
-                    matches.append((-n, start, at))
-                    longest = max(longest, n)
-        matches.sort()
-        again = False
-        for n, start, at in matches:
-            n = -n
-            if all(free_item[start : start + n]) and all(free_text[at : at + n]):
-                found.append((start, at, n))
-                free_item[start : start + n] = [False] * n
-                free_text[at : at + n] = [False] * n
-            else:
-                again = True  # what is left of an occluded match may still be a tile of this length
-        if again:
+        best: dict[int, tuple[int, int]] = {}
+        before: dict[int, int] = {}
+        last = -1
+        for at, value in _rolling(text, free_text, length) if table else ():
+            starts = table.get(value)
+            if starts is None:
+                continue
+            reach: dict[int, int] = {}
+            for start in tuple(starts):
+                # One word further along the match of the position before it: no need to compare again.
+                n = before.get(start - 1, 0) - 1 if last == at - 1 else 0
+                if n < length:
+                    n = 0
+                    while start + n < ends[start] and at + n < len(text) and free_text[at + n] and item[start + n] == text[at + n]:
+                        n += 1
+                reach[start] = n
+                if n >= length and n > best.get(start, (0, 0))[0]:
+                    best[start] = (n, at)
+                    if start + n == ends[start]:
+                        starts.remove(start)
+                        if not starts:
+                            del table[value]
+            before, last = reach, at
+            if not table:
+                break
+        for start, (n, at) in sorted(best.items(), key=lambda b: (-b[1][0], b[0])):
+            if not all(free_item[start : start + n]) or not all(free_text[at : at + n]):
+                break  # what is left of it, or another copy, may still be longer than the next
+            found.append((start, at, n))
+            free_item[start : start + n] = [False] * n
+            free_text[at : at + n] = [False] * n
+        if best:
             continue
         if length == least:
             return found
         length = max(least, length // 2)
 
 
-def coverage(item: np.ndarray, text: np.ndarray, seed: int) -> tuple[int, int]:
-    """Words of the item that tiles cover, and the number of tiles; only what lies in shared seeds is compared."""
+def _ends(open_: list[bool]) -> list[int]:
+    """For each position the end of the run of unmarked words that it lies in."""
+    ends, end = [0] * len(open_), len(open_)
+    for i in range(len(open_) - 1, -1, -1):
+        if not open_[i]:
+            end = i
+        ends[i] = end
+    return ends
+
+
+def _inside(hit: np.ndarray, words: int, least: int) -> np.ndarray:
+    """Positions of the words that lie in a window marked in ``hit``."""
+    inside = np.zeros(words, dtype=bool)
+    for shift in range(least):
+        inside[shift : shift + len(hit)] |= hit
+    return np.flatnonzero(inside)
+
+
+def coverage(item: np.ndarray, text: np.ndarray, seed: int, threshold: float = 0.0) -> tuple[int, int]:
+    """Words of the item that tiles cover, and the number of tiles; only what lies in shared seeds is compared.
+
+    Tiles lie within shared seeds, so an item whose shared seeds hold less than ``threshold`` of its words is not tiled: 0, 0.
+    """
     least = min(seed, len(item))
     if not least or len(text) < least:
         return 0, 0
-    hit = np.isin(window_hash(text, least), window_hash(item, least))
-    inside = np.zeros(len(text), dtype=bool)
-    for shift in range(least):
-        inside[shift : shift + len(hit)] |= hit
-    at = np.flatnonzero(inside)
-    if not len(at):
+    own, other = window_hash(item, least), window_hash(text, least)
+    bound = len(_inside(np.isin(own, other), len(item), least))
+    if not bound or bound < threshold * len(item):
         return 0, 0
+    at = _inside(np.isin(other, own), len(text), least)
     cut = np.flatnonzero(np.diff(at) > 1) + 1
     parts: list[int] = []
     for n, run in enumerate(np.split(text[at] >> np.uint64(3), cut)):
@@ -187,7 +226,7 @@ def _broadcast(plain: DataFrame, items: DataFrame, kind: str, seed: int, thresho
             picked, owners, values = [], [], []
             for i, words in enumerate(texts_as_words(batch.column(1))):
                 for n in index.candidates(words):
-                    covered, made = coverage(index.items[n], words, seed)
+                    covered, made = coverage(index.items[n], words, seed, threshold)
                     if covered >= threshold * len(index.items[n]):
                         picked.append(i)
                         owners.append(n)
@@ -198,25 +237,33 @@ def _broadcast(plain: DataFrame, items: DataFrame, kind: str, seed: int, thresho
 
 
 def _joined(plain: DataFrame, items: DataFrame, kind: str, seed: int, threshold: float) -> DataFrame:
-    def seeds(widths: list[int]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                rows, hashes = [], []
-                for i, words in enumerate(texts_as_words(batch.column(1))):
-                    own = [window_hash(words, w) for w in widths] if widths else [seeds_of(words, seed)]
-                    unique = np.unique(np.concatenate(own))
-                    rows.append(np.full(len(unique), i))
-                    hashes.append(unique)
-                at = np.concatenate([np.zeros(0, int), *rows])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(signed(np.concatenate([np.zeros(0, np.uint64), *hashes])))], ["id", "seed"])
-
-        return run
+    def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, hashes = [np.zeros(0, int)], [np.zeros(0, np.uint64)]
+            for i, words in enumerate(texts_as_words(batch.column(1))):
+                unique = np.unique(np.concatenate([window_hash(words, w) for w in widths]))
+                rows.append(np.full(len(unique), i))
+                hashes.append(unique)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(signed(np.concatenate(hashes)))], ["id", "seed"])
+
+    def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, hashes, places, sizes = [np.zeros(0, int)], [np.zeros(0, np.uint64)], [np.zeros(0, int)], [np.zeros(0, int)]
+            for i, words in enumerate(texts_as_words(batch.column(1))):
+                unique, counts = np.unique(seeds_of(words, seed), return_counts=True)
+                rows.append(np.full(len(unique), i))
+                hashes.append(unique)
+                places.append(counts)
+                sizes.append(np.full(len(unique), len(words)))
+            at = pa.array(np.concatenate(rows))
+            columns = [batch.column(0).take(at), pa.array(signed(np.concatenate(hashes))), *[pa.array(np.concatenate(c).astype(np.int64)) for c in (places, sizes)]]
+            yield pa.RecordBatch.from_arrays(columns, ["item_row", "seed", "places", "words"])
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             picked, values = [], []
             for i, (words, item) in enumerate(zip(texts_as_words(batch.column(1)), texts_as_words(batch.column(3)))):
-                covered, made = coverage(item, words, seed)
+                covered, made = coverage(item, words, seed, threshold)
                 if len(item) and covered >= threshold * len(item):
                     picked.append(i)
                     values.append((len(item), covered, made))
@@ -224,9 +271,18 @@ def _joined(plain: DataFrame, items: DataFrame, kind: str, seed: int, threshold:
 
     names = items.withColumn("id", F.xxhash64("item", "item_text"))
     rows = plain.withColumn("id", F.xxhash64("key", "text"))
-    item_seeds = names.select("id", "item_text").mapInArrow(seeds([]), "id long, seed long").distinct().withColumnRenamed("id", "item_row")
-    doc_seeds = rows.select("id", "text").mapInArrow(seeds(list(range(1, seed + 1))), "id long, seed long")
-    pairs = stage(doc_seeds.join(item_seeds, "seed").select("id", "item_row").distinct(), "pairs")
+    item_seeds = stage(names.select("id", "item_text").mapInArrow(of_items, "item_row long, seed long, places long, words long").distinct(), "seeds")
+    # At most ``seed`` numbers.
+    widths = sorted(r[0] for r in item_seeds.select(F.least("words", F.lit(seed))).distinct().collect())
+    if not widths:
+        return plain.sparkSession.createDataFrame([], kind)
+    doc_seeds = rows.select("id", "text").mapInArrow(of_documents, "id long, seed long")
+    met = stage(doc_seeds.join(item_seeds.select("seed").distinct(), "seed", "left_semi").distinct(), "met")
+    often = met.groupBy("seed").agg(F.count("*").alias("n"))
+    upto = F.sum("places").over(Window.partitionBy("item_row").orderBy(F.desc("n"), "seed").rowsBetween(Window.unboundedPreceding, 0))
+    needed = F.ceil(F.col("words") * F.lit(threshold) / F.least("words", F.lit(seed)) - 1e-9)
+    telling = item_seeds.join(often, "seed").withColumn("upto", upto).where(F.col("upto") >= needed)
+    pairs = stage(met.join(telling.select("seed", "item_row"), "seed").select("id", "item_row").distinct(), "pairs")
     names = names.select(F.col("id").alias("item_row"), "item", "item_text").withColumn("n", F.lit(1))
     wide = pairs.join(rows, "id").join(names, "item_row").select("key", "text", "item", "item_text")
     return wide.mapInArrow(tile, kind)
