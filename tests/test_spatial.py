@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from voltaria import session
+from voltaria.operators import edges as E
 from voltaria.operators import graph as G
 from voltaria.operators import graph_network as N
 from voltaria.operators import spatial as S
@@ -140,3 +142,33 @@ def test_network_training_stops_by_patience(spark):
     model = N.fit(frame, links, ["x"], epochs=30, rate=0.3, patience=2)
     least = int(np.argmin([c for _, c in model.losses]))
     assert len(model.losses) == min(31, least + 3)
+
+
+def test_hubs_are_dealt_into_bounded_chunks(spark, monkeypatch):
+    """A star whose centre has 600 edges, joined without any broadcast."""
+    star = [(0, n, 1.0 + n % 3) for n in range(1, 601)] + [(n, 0, 1.0 + n % 3) for n in range(1, 601)]
+    edges = spark.createDataFrame(star, "src long, dst long, dist double")
+    frame = panel(spark, [[float(n % 7) if n % 5 else None for n in range(601)] for _ in range(3)]).where("volume is not null or node_id = 0")
+    frame = frame.unionByName(panel(spark, [[2.0]] * 3))
+    calls = {
+        "lags": lambda: S.add_spatial_lags(frame, edges, ["volume"]),
+        "hops": lambda: G.propagated(frame, edges, "volume", 2),
+        "pairs": lambda: S.neighbor_correlation(frame, edges),
+    }
+    want = {name: sorted(call().collect()) for name, call in calls.items()}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(E, "HUB_EDGES", 50)
+    monkeypatch.setattr(E.met, "__defaults__", (50,))
+    monkeypatch.setattr(session, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        chunked, hubs = E.dealt(edges, "dst", 50)
+        assert hubs.collect() == [(0, 12)]
+        assert chunked.groupBy("dst", "_chunk").count().agg(F.max("count")).first()[0] < 100 and chunked.count() == 1200
+        for name, call in calls.items():
+            made = call()
+            assert "BroadcastHashJoin" not in made._jdf.queryExecution().executedPlan().toString()
+            for a, b in zip(sorted(made.collect()), want[name], strict=True):
+                assert a[:2] == b[:2] and list(a[2:]) == pytest.approx(list(b[2:]), nan_ok=True)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltaria.functions.temporal import hour_angle, weekday_share
+from voltaria.operators.edges import met
 from voltaria.operators.ordered import Series, ordered_cut, windowed
 from voltaria.session import broadcast_if_small, stage
 
@@ -86,8 +87,7 @@ def propagated(panel: DataFrame, edges: DataFrame, column: str, hops: int = 2) -
     for hop in range(1, hops + 1):
         # The self loop brings a node's own values along and shows that it has a row in this step.
         current = (
-            current.withColumnRenamed("node_id", "dst")
-            .join(scaled, "dst")
+            met(current.withColumnRenamed("node_id", "dst"), scaled, "dst")
             .groupBy("ts", F.col("src").alias("node_id"))
             .agg(
                 F.bool_or(own).alias("_present"),

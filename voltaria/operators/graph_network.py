@@ -18,6 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voltaria.operators.edges import met
 from voltaria.operators.graph import normalised_links
 from voltaria.operators.ordered import Series, ordered_cut, windowed
 from voltaria.session import stage
@@ -68,7 +69,7 @@ def around(rows: DataFrame, links: DataFrame, sums: dict[str, str], reverse: boo
     ends = links.select(F.col(here).alias("node_id"), F.col(there).alias("_to"), "a")
     carried = [c for c in rows.columns if c not in ("ts", "node_id")]
     return (
-        rows.join(ends, "node_id")
+        met(rows, ends, "node_id")
         .groupBy("ts", "_to")
         .agg(
             F.expr("bool_or(node_id = _to)").alias("_present"),

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltaria.operators.edges import met
 from voltaria.session import broadcast_if_small
 
 SPATIAL_COLUMNS = ("occupancy", "volume", "price", "utilization_rate")
@@ -31,7 +32,7 @@ def add_spatial_lags(
     ``missing="zero"`` counts an absent neighbour as 0 and keeps the full degree, right for counts;
     ``missing="skip"`` averages the neighbours that are present, right for prices and rates. A node
     without neighbours gets 0. All columns go through one edge join and one aggregation, whose partial
-    step combines the contributions of a step before they are shuffled.
+    step combines the contributions of a step before they are shuffled. Nodes with very many edges are dealt into chunks.
     """
     if missing not in ("zero", "skip"):
         raise ValueError(f"missing must be 'zero' or 'skip', not {missing!r}")
@@ -51,7 +52,7 @@ def add_spatial_lags(
         ]
 
     around = (
-        values.join(broadcast_if_small(edges), "dst")
+        met(values, edges, "dst")
         .groupBy("ts", F.col("src").alias("node_id"))
         .agg(*[p for c in names for p in parts(c)])
     )
@@ -78,10 +79,15 @@ def station_capacity(info: DataFrame) -> DataFrame:
 
 
 def neighbor_correlation(panel: DataFrame, edges: DataFrame, column: str = "volume") -> DataFrame:
-    """``(src, dst, correlation)`` of two linked nodes' series over their common steps, each pair once."""
+    """``(src, dst, correlation)`` of two linked nodes' series over their common steps, each pair once.
+
+    A series that does not change over these steps has no correlation: null.
+    """
     pairs = edges.where(F.col("src") < F.col("dst")).select("src", "dst")
     left = panel.select("ts", F.col("node_id").alias("src"), F.col(column).alias("x"))
     right = panel.select("ts", F.col("node_id").alias("dst"), F.col(column).alias("y"))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    spread = F.stddev_pop(F.when(both, F.col("x"))) * F.stddev_pop(F.when(both, F.col("y")))
     return (
-        left.join(broadcast_if_small(pairs), "src").join(right, ["ts", "dst"]).groupBy("src", "dst").agg(F.corr("x", "y").alias("correlation"))
+        met(left, pairs, "src").join(right, ["ts", "dst"]).groupBy("src", "dst").agg(F.try_divide(F.covar_pop("x", "y"), spread).alias("correlation"))
     )
