@@ -281,3 +281,41 @@ def test_tiling_of_one_word_repeated_is_not_quadratic():
     assert tiling.coverage(one[:60], broken, 4) == (57, 3)  # three runs of 19; the 3 words left are less than a seed
     assert tiling.coverage(np.concatenate([one[:30], np.arange(100, 1100, 8, dtype=np.uint64)]), one, 4, 0.6) == (0, 0)
     assert time.time() - start < 30
+
+
+def test_templates_equal_plain_counting(spark):
+    """Pages of known blocks; a block is expected to go by a plain count of the host's distinct pages that hold it."""
+    r = random.Random(11)
+    pages = []
+    for host, n in (("a", 40), ("b", 12), ("c", 6), ("d", 4), (None, 20)):
+        common = {f"{host} block {k} with words": r.random() for k in range(12)}
+        for i in range(n):
+            blocks = [b for b, share in common.items() if r.random() < share] + [f"own {host} {i} {r.random()}"]
+            r.shuffle(blocks)
+            pages += [(host, blocks)] * r.choice([1, 1, 3])
+    held = defaultdict(lambda: defaultdict(set))
+    every = defaultdict(set)
+    for host, blocks in pages:
+        every[host].add(tuple(blocks))
+        for b in blocks:
+            held[host][b].add(tuple(blocks))
+    gone = {(h, b) for h, bs in held.items() for b, where in bs.items() if len(every[h]) >= 5 and len(where) >= len(every[h]) / 2 or len(where) >= max(10, len(every[h]) / 10)}
+    rows = [(i if i % 7 else None, h and f"https://{h}.org/x", "<body>" + "".join(f"<div><p>{b}</p></div>" for b in bs)) for i, (h, bs) in enumerate(pages)]
+    found = template.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    want = Counter((i, u, "\n".join(b for b in bs if (h, b) not in gone)) for (i, u, _), (h, bs) in zip(rows, pages))
+    assert Counter((x.page_id, x.url, x.text) for x in found) == want and len(gone) > 20
+
+
+def test_broken_and_deep_pages_end_in_linear_time():
+    n = 100_000
+    start = time.time()
+    text = lambda page: "".join(s.text for s in template.main_segments(template.parsed(page))).strip()
+    assert text("x <a '" * n).startswith("x <a 'x <a '")
+    assert text("<a 'x>'" * n).count("'") == n
+    assert text("<a<a<a" * n) == "<a" * (3 * n - 1)
+    assert text("<div>" * n + "in" + "</x>" * n + "</div>" * n + "out") == "in\nout"
+    segments, subtrees = template.read_page("<div>a " * n)
+    assert len(subtrees) == n and len({t.hash for t in subtrees}) == n
+    assert text("<p>" + "<i>" * n + "<p>b</p>" * n).count("b") == n
+    assert text("<table>" + "<div>" * n + "<td>c</td>" * n).count("c") == n
+    assert time.time() - start < 60

@@ -16,7 +16,7 @@ white space inside a block becomes one space, blocks are trimmed and joined in p
 
 Defined cases: null and empty html give empty text; broken markup is read as browsers do in outline (unclosed
 paragraphs, missing end tags, an unfinished tag at the end is dropped); pages without a host form one host; repeated
-rows are extracted each; other columns are ignored; what near copies of one page share recurs like a template.
+rows are extracted each; null keys and urls are kept; other columns are ignored; what near copies of one page share recurs like a template.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 from typing import NamedTuple
@@ -41,6 +42,7 @@ LOW_SHARE, MANY_PAGES = 0.1, 10
 INLINE_WORDS = 4
 #: Bits of a host's hash that a counted row carries.
 _HOST_BITS = 46
+_MOD, _BASE = (1 << 61) - 1, 1_000_003
 
 # Element names of the HTML standard and naming habits of web pages.
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes", "noscript", "template"}
@@ -69,29 +71,99 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^<]*$", re.S)
+_TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_MARKUP = re.compile(r"[>\"']")
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WHITE = re.compile(r"\s+")
 _SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    """An element: its name, its place among the open ones, and what is known of its content."""
+    """An element: its name, its place among the open ones, and the range of segments that its content fills."""
 
-    __slots__ = ("name", "parent", "dropped", "article", "hash", "words")
+    __slots__ = ("name", "parent", "dropped", "article", "first", "last", "words")
 
-    def __init__(self, name: str, parent: Node | None, dropped: bool, article: bool, host: str = ""):
-        self.name, self.parent, self.dropped, self.article, self.words = name, parent, dropped, article, 0
-        self.hash = hashlib.blake2b(f"{host} {name} ".encode("utf-8", "replace"), digest_size=8)
+    def __init__(self, name: str, parent: Node | None, dropped: bool, article: bool):
+        self.name, self.parent, self.dropped, self.article = name, parent, dropped, article
+        self.first, self.last, self.words = -1, -1, 0
+
+    def holds(self, first: int, last: int, words: int) -> None:
+        if self.first < 0:
+            self.first = first
+        self.first, self.last, self.words = min(self.first, first), max(self.last, last), self.words + words
 
 
 class Segment(NamedTuple):
-    """Text of one element within a block; a block's end has no text but a line feed, and no subtrees."""
+    """Text of one element within a block; a block's end has no text but a line feed and belongs to no element."""
 
     text: str
     article: bool
     dropped: bool
-    above: tuple[int, ...]
+    end: bool
+
+
+class Subtree(NamedTuple):
+    """An element's hash (host, name and text) and the segments ``first`` to ``last`` that it fills."""
+
+    hash: int
+    first: int
+    last: int
+
+
+class Tags:
+    """The tags of a page, in one pass: what a tag without an end was compared with is not read again for the next one."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.seen: dict[str, tuple[int, int]] = {}
+        self.open_quotes: set[int] = set()
+
+    def _find(self, mark: str, at: int) -> int:
+        """The next ``mark`` from ``at`` on, remembered while it is the next."""
+        since, found = self.seen.get(mark, (0, -2))
+        if found == -2 or at < since or 0 <= found < at:
+            since, found = at, self.page.find(mark, at)
+            self.seen[mark] = since, found
+        return found
+
+    def _end(self, at: int) -> int:
+        """The ``>`` outside quotes that ends a tag, or -1."""
+        quotes = []
+        while (mark := _MARKUP.search(self.page, at)) is not None:
+            place = mark.start()
+            if self.page[place] == ">":
+                return place
+            if place in self.open_quotes:
+                break
+            quotes.append(place)
+            closing = self.page.find(self.page[place], place + 1)
+            if closing < 0:
+                break
+            at = closing + 1
+        self.open_quotes.update(quotes)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, slash, name and attributes of the next tag; comments, declarations and an unfinished tag at the end have no name."""
+        page = self.page
+        while (start := self._find("<", at)) >= 0:
+            mark = page[start + 1 : start + 2]
+            if mark in ("!", "?") and mark:
+                comment = page.startswith("<!--", start)
+                end = page.find("-->", start + 4) if comment else self._find(">", start + 2)
+                return start, len(page) if end < 0 else end + (3 if comment else 1), "", "", ""
+            letter = page[start + 2 : start + 3] if mark == "/" else mark
+            if letter.isascii() and letter.isalpha():
+                first = self._find(">", start)
+                if first >= 0:
+                    name = _TAG_NAME.match(page, start)
+                    end = self._end(name.end())
+                    end = first if end < 0 else end
+                    return start, end + 1, name.group(1), name.group(2).lower(), page[name.end() : end]
+                if self._find("<", start + 1) < 0:
+                    return start, len(page), "", "", ""
+            at = start + 1
+        return None
 
 
 def _unwanted(name: str, attributes: str, inside: bool) -> bool:
@@ -111,10 +183,12 @@ def _unwanted(name: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def parsed(page: str, host: str = "") -> list[Segment]:
-    """The text of a page in order, with the hashes of the subtrees above each segment, innermost first."""
+def read_page(page: str, host: str = "") -> tuple[list[Segment], list[Subtree]]:
+    """The text of a page in order, and the subtrees that hold text. Time and memory follow the page's length, however deep
+    its elements lie."""
     root = Node("", None, False, False)
-    open_, piece = root, []
+    open_, piece, nodes = root, [], []
+    opened: Counter[str] = Counter()
     segments: list[tuple[str, Node | None]] = []
 
     def flush() -> None:
@@ -122,38 +196,40 @@ def parsed(page: str, host: str = "") -> list[Segment]:
         for _, run in groupby(piece, key=lambda p: id(p[1])):
             parts = list(run)
             text, node = _WHITE.sub(" ", entities.unescape("".join(p[0] for p in parts))), parts[0][1]
+            if bare := text.strip():
+                any_ = True
+                node.holds(len(segments), len(segments), bare.count(" ") + 1)
             segments.append((text, node))
-            if not (bare := text.strip()):
-                continue
-            any_, raw, words = True, bare.encode("utf-8", "replace") + b"\n", bare.count(" ") + 1
-            while node is not None:
-                node.hash.update(raw)
-                node.words += words
-                node = node.parent
         piece.clear()
         if any_:
             segments.append(("\n", None))
 
-    at, n = 0, len(page)
+    def closed(node: Node, upto: Node) -> Node:
+        while node is not upto:
+            opened[node.name] -= 1
+            node = node.parent
+        return node
+
+    at, n, tags = 0, len(page), Tags(page)
     while at < n:
-        tag = _TAG.search(page, at)
+        tag = tags.next(at)
         if tag is None:
             piece.append((page[at:], open_))
             break
-        piece.append((page[at : tag.start()], open_))
-        closing, name, attributes = (tag.group(i) or tag.group(i + 3) or "" for i in (1, 2, 3))
-        at, name = tag.end(), name.lower()
+        start, end, closing, name, attributes = tag
+        piece.append((page[at:start], open_))
+        at = end
         block = name in BLOCKS or name in DROPPED
         if not name:
             continue
         if closing:
             if block:
                 flush()
-            node = open_
-            while node is not root and node.name != name:
-                node = node.parent
-            if node is not root:
-                open_ = node.parent
+            if opened[name]:
+                node = open_
+                while node.name != name:
+                    node = node.parent
+                open_ = closed(open_, node.parent)
             continue
         if name in VOID:
             if name == "hr":
@@ -168,40 +244,64 @@ def parsed(page: str, host: str = "") -> list[Segment]:
         if block:
             flush()
             while name != "head" and (open_.name == "head" or open_.parent is not None and open_.parent.name == "head"):
-                open_ = open_.parent
+                open_ = closed(open_, open_.parent)
             above = open_
-            while above is not root and above.name not in BLOCKS and above.name not in DROPPED:
+            while opened["p"] and above is not root and above.name not in BLOCKS and above.name not in DROPPED:
                 above = above.parent
             if above.name == "p":  # an open paragraph ends where a block begins
-                open_ = above.parent
-            if name in CLOSES:
+                open_ = closed(open_, above.parent)
+            if name in CLOSES and any(opened[c] for c in CLOSES[name][0]):
                 node, (same, stop) = open_, CLOSES[name]
                 while node is not root and node.name not in same and node.name not in stop:
                     node = node.parent
                 if node.name in same:
-                    open_ = node.parent
+                    open_ = closed(open_, node.parent)
         if attributes.endswith("/") and name in DROPPED_INLINE:
             continue
         dropped = open_.dropped or _unwanted(name, attributes, open_.article)
-        open_ = Node(name, open_, dropped, open_.article or name in ("article", "main"), host)
+        open_ = Node(name, open_, dropped, open_.article or name in ("article", "main"))
+        opened[name] += 1
+        nodes.append(open_)
     flush()
-    return [Segment(text, node.article, node.dropped, _subtrees(node)) if node else Segment(text, False, False, ()) for text, node in segments]
+    made = [Segment(text, node.article, node.dropped, False) if node else Segment(text, False, False, True) for text, node in segments]
+    return made, _subtrees(nodes, made, host)
+
+
+def _subtrees(nodes: list[Node], segments: list[Segment], host: str) -> list[Subtree]:
+    """Elements lie in runs of segments, so a running sum of the segments' hashes gives each element's."""
+    prefix, count, powers = [0], [0], [1]
+    for segment in segments:
+        bare = "" if segment.end else segment.text.strip()
+        prefix.append((prefix[-1] * _BASE + (_hash(bare) & _MOD) + 1) % _MOD if bare else prefix[-1])
+        count.append(count[-1] + bool(bare))
+        if bare:
+            powers.append(powers[-1] * _BASE % _MOD)
+    found = []
+    for node in reversed(nodes):  # what lies inside an element was opened after it
+        if node.first < 0:
+            continue
+        if node.parent is not None:
+            node.parent.holds(node.first, node.last, node.words)
+        if node.name not in ("html", "body") and (node.name in BLOCKS or node.name in DROPPED or node.words >= INLINE_WORDS):
+            held = count[node.last + 1] - count[node.first]
+            text = (prefix[node.last + 1] - prefix[node.first] * powers[held]) % _MOD
+            found.append(Subtree(_hash(f"{host} {node.name} {held} {text}"), node.first, node.last))
+    return found
 
 
-def _subtrees(node: Node) -> tuple[int, ...]:
-    above, up = [], node
-    while up.parent is not None:
-        if up.name not in ("html", "body") and (up.name in BLOCKS or up.name in DROPPED or up.words >= INLINE_WORDS):
-            above.append(int.from_bytes(up.hash.digest(), "little", signed=True))
-        up = up.parent
-    return tuple(dict.fromkeys(above))
+def kept_segments(segments: list[Segment]) -> list[int]:
+    """Numbers of the article's segments, or of all where there is no article, without what is dropped; and of the ends of blocks."""
+    article = any(s.article and not s.dropped and s.text.strip() for s in segments)
+    return [i for i, s in enumerate(segments) if s.end or not s.dropped and (s.article or not article)]
+
+
+def parsed(page: str, host: str = "") -> list[Segment]:
+    """The text of a page in order."""
+    return read_page(page, host)[0]
 
 
 def main_segments(segments: list[Segment]) -> list[Segment]:
-    """The article's text, or all where there is no article, without what is dropped; and the ends of blocks."""
-    kept = [s for s in segments if not s.dropped]
-    article = any(s.article and s.text.strip() for s in kept)
-    return [s for s in kept if s.article or not article or s.text == "\n"]
+    return [segments[i] for i in kept_segments(segments)]
 
 
 def tidy(text: F.Column) -> F.Column:
@@ -218,7 +318,7 @@ def _hash(text: str) -> int:
 
 
 def _read(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
-    """``key, url, site`` (hash of the host), ``texts, above`` (subtrees of each text), ``content, trees`` (all subtrees of the page), ``live`` (whether it holds text that is not dropped)."""
+    """``key, url, site`` (hash of the host), ``texts``, ``cuts, low, high`` (subtrees that hold some of the texts, and which), ``content, trees`` (all subtrees of the page), ``live`` (whether it holds text that is not dropped)."""
     rows = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), _host(F.col(url)).alias("host"), F.col(page).alias("page"))
     kinds = ", ".join(f"{n} {rows.schema[n].dataType.simpleString()}" for n in ("key", "url"))
 
@@ -227,17 +327,28 @@ def _read(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
             out = []
             for host, value in zip(batch.column(2), batch.column(3)):
                 name = host.as_py()
-                found = parsed(value.as_py() or "", name)
-                kept = main_segments(found)
-                content = _hash(name + "\n" + " ".join("".join(s.text for s in kept).split()))
-                live = {t for s in kept for t in s.above}
-                trees = list(dict.fromkeys(t for s in found for t in s.above))
-                out.append((_hash(name) & ((1 << _HOST_BITS) - 1), [s.text for s in kept], [list(s.above) for s in kept], content, trees, [t in live for t in trees]))
-            types = (pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+                segments, subtrees = read_page(value.as_py() or "", name)
+                kept = kept_segments(segments)
+                texts = [segments[i].text for i in kept]
+                content = _hash(name + "\n" + " ".join("".join(texts).split()))
+                # Where each subtree lies among the kept segments, and whether any of them is text.
+                first, last = np.array([[t.first, t.last + 1] for t in subtrees], np.int64).reshape(-1, 2).T
+                places = np.array(kept, np.int64)
+                own = np.cumsum([0, *(not segments[i].end for i in kept)])
+                low, high = np.searchsorted(places, first), np.searchsorted(places, last)
+                live = own[high] > own[low]
+                trees: dict[int, bool] = {}
+                for tree, alive in zip(subtrees, live.tolist()):
+                    trees[tree.hash] = trees.get(tree.hash, False) or alive
+                cuts = [[t.hash for t, alive in zip(subtrees, live.tolist()) if alive], low[live].tolist(), high[live].tolist()]
+                out.append((_hash(name) & ((1 << _HOST_BITS) - 1), texts, *cuts, content, list(trees), list(trees.values())))
+            longs = pa.list_(pa.int64())
+            types = (pa.int64(), pa.list_(pa.string()), longs, longs, longs, pa.int64(), longs, pa.list_(pa.bool_()))
             columns = [pa.array([o[i] for o in out], t) for i, t in enumerate(types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["key", "url", "site", "texts", "above", "content", "trees", "live"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["key", "url", "site", "texts", "cuts", "low", "high", "content", "trees", "live"])
 
-    return rows.mapInArrow(run, f"{kinds}, site long, texts array<string>, above array<array<long>>, content long, trees array<long>, live array<boolean>")
+    longs = "cuts array<long>, low array<long>, high array<long>"
+    return rows.mapInArrow(run, f"{kinds}, site long, texts array<string>, {longs}, content long, trees array<long>, live array<boolean>")
 
 
 def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,11 +375,27 @@ def recurring(read: DataFrame, share: float = SHARE, least: int = LEAST_PAGES) -
     return stage(hits.groupBy("content").agg(F.collect_set("tree").alias("gone")), "gone")
 
 
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of each page that lie in none of the subtrees gone."""
+    for batch in batches:
+        out = []
+        for texts, cuts, low, high, gone in zip(*(batch.column(i) for i in range(2, 7))):
+            texts = texts.as_py()
+            if gone.is_valid:
+                hit = np.isin(cuts.values.to_numpy(), gone.values.to_numpy())
+                deep = np.zeros(len(texts) + 1, np.int64)
+                np.add.at(deep, low.values.to_numpy()[hit], 1)
+                np.add.at(deep, high.values.to_numpy()[hit], -1)
+                texts = [t for t, d in zip(texts, np.cumsum(deep).tolist()) if not d]
+            out.append("".join(texts))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(out, pa.string())], ["key", "url", "text"])
+
+
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html", share: float = SHARE, least: int = LEAST_PAGES) -> DataFrame:
     """``key, url, text, n_chars`` of every page."""
     read = stage(_read(pages, key, url, page), "blocks")
-    judged = read.join(recurring(read, share, least), "content", "left")
-    keep = F.filter(F.arrays_zip("texts", "above"), lambda b: ~F.arrays_overlap(b["above"], F.col("gone")))
-    kept = F.when(F.col("gone").isNull(), F.col("texts")).otherwise(F.transform(keep, lambda b: b["texts"]))
-    found = judged.select(F.col("key").alias(key), F.col("url").alias(url), tidy(F.array_join(kept, "")).alias("text"))
+    judged = read.join(recurring(read, share, least), "content", "left").select("key", "url", "texts", "cuts", "low", "high", "gone")
+    kinds = ", ".join(f"{n} {judged.schema[n].dataType.simpleString()}" for n in ("key", "url"))
+    judged = judged.mapInArrow(_without, f"{kinds}, text string")
+    found = judged.select(F.col("key").alias(key), F.col("url").alias(url), tidy(F.col("text")).alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
