@@ -8,17 +8,20 @@ then elects a few leaders per bucket, verifies every member with another label a
 pairs in the bucket are settled. Buckets whose members share a label are done. Buckets that still hold many labels
 after the first settling round are dealt anew, once, by their members' rare hashes (prefix filter). No pair goes unchecked unless its two
 items are already known to be connected, or cannot reach the threshold: two sets differ in all hashes that either
-holds alone among all candidates, and in the difference of the numbers of their other hashes.
+holds alone among all candidates, and of their other hashes in at least the difference of their numbers and the bits in
+which their parities differ (bit i of a parity tells whether an odd number of hashes ends in i, so one hash flips one bit).
 
 Pairs are verified in blocks bounded by the bytes of the sets they need, and a round's tables go when the next round has its own.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +29,9 @@ from voltaria.session import Staging, stage
 
 FIRST_LEADERS, LEADER_GROWTH, MANY_LABELS = 4, 8, 32
 BLOCK_BYTES = 8 << 20
+#: Words of 64 bits of a parity.
+PARITY_WORDS = 4
+PARITY = [f"parity{i}" for i in range(PARITY_WORDS)]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -70,7 +76,7 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     weight = weight.select("item", (F.col("weight") + F.pmod(F.xxhash64("item"), F.lit(1 << 32))).alias("weight"))
     if "probe" not in buckets.columns:
         buckets = buckets.withColumn("probe", F.lit(True))
-    fields = ["bucket", "item", "probe", "weight", "size", "lone"]
+    fields = ["bucket", "item", "probe", "weight", "size", "lone", *PARITY]
     facts = stage(facts.where(F.col("lone") * (100 + percent) <= most).join(weight, "item"), "facts")
     open_ = buckets.join(facts, "item").select(*fields)
     links: list[DataFrame] = []
@@ -95,7 +101,7 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     continue
             rank = F.col("weight") if turn == 0 else F.xxhash64("item", F.lit(turn))
             slot = F.lit(0) if joining else F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
-            top = [F.max_by(c, rank if joining else F.col("weight")).alias(f"head_{c}") for c in ("item", "label", "size", "lone", "probe", "weight")]
+            top = [F.max_by(c, rank if joining else F.col("weight")).alias(f"head_{c}") for c in ("item", "label", "size", "lone", "probe", "weight", *PARITY)]
             heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(*top).drop("slot"), "heads")
             pairs = stage(_pairs(cur, heads, tested, percent, joining), "pairs")
             found = stage(verified(pairs, sets, percent), "links")
@@ -175,15 +181,34 @@ def _followed(found: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _facts(sets: DataFrame) -> DataFrame:
-    """``item, size, lone``: how many of a set's hashes no other of these sets holds."""
+    """``item, size, lone`` and a parity: how many of a set's hashes no other of these sets holds, and the parity of the rest."""
     held = sets.select("item", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n"), F.min("item").alias("item"))
-    lone = held.where("n = 1").groupBy("item").agg(F.count("*").alias("lone"))
-    return sets.select("item", "size").join(lone, "item", "left").select("item", "size", F.coalesce("lone", F.lit(0)).alias("lone"))
+    place = F.pmod("hash", F.lit(64 * PARITY_WORDS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place % 64)
+    words = [F.bit_xor(F.when(F.floor(place / 64) == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"lone_{c}") for i, c in enumerate(PARITY)]
+    lone = held.where("n = 1").groupBy("item").agg(F.count("*").alias("lone"), *words)
+    schema = "item long, size long, " + ", ".join(f"{c} long" for c in PARITY)
+    rest = [F.col(c).bitwiseXOR(F.coalesce(f"lone_{c}", F.lit(0).cast("long"))).alias(c) for c in PARITY]
+    return sets.mapInArrow(_parities, schema).join(lone, "item", "left").select("item", "size", F.coalesce("lone", F.lit(0)).alias("lone"), *rest)
+
+
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each set's item and size, and the parity of all its hashes."""
+    bits = 64 * PARITY_WORDS
+    for whole in batches:
+        for start in range(0, whole.num_rows, 1024):
+            batch = whole.slice(start, 1024)
+            sizes = pc.list_value_length(batch.column(2)).to_numpy()
+            place = np.repeat(np.arange(batch.num_rows) * bits, sizes) + (batch.column(2).flatten().to_numpy() & (bits - 1))
+            odd = np.bincount(place, minlength=batch.num_rows * bits).astype(np.uint8) & 1
+            words = np.packbits(odd.reshape(-1, bits), axis=1, bitorder="little").view("<i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(words[:, i].copy()) for i in range(PARITY_WORDS))], ["item", "size", *PARITY])
 
 
 def _possible(percent: int) -> Column:
-    """Whether two sets can reach the threshold, from what each holds alone and the sizes of what others hold too."""
-    apart = F.col("lone") + F.col("head_lone") + F.abs((F.col("size") - F.col("lone")) - (F.col("head_size") - F.col("head_lone")))
+    """Whether two sets can reach the threshold, from what each holds alone, and the sizes and parities of what others hold too."""
+    odd = reduce(Column.__add__, (F.bit_count(F.col(c).bitwiseXOR(F.col(f"head_{c}"))) for c in PARITY))
+    apart = F.col("lone") + F.col("head_lone") + F.greatest(F.abs((F.col("size") - F.col("lone")) - (F.col("head_size") - F.col("head_lone"))), odd)
     fits = F.least("size", "head_size") * 100 >= F.greatest("size", "head_size") * percent
     return fits & (apart * (100 + percent) <= (F.col("size") + F.col("head_size")) * (100 - percent))
 
