@@ -3,7 +3,7 @@
 ``link_sets`` takes buckets of items (a signature, a band) and returns each item's smallest linked item. Two kinds of
 rounds follow each other. In a *joining* round every open item is verified against one head only, the heaviest of those
 its buckets elect; what links takes one label, so a group of n similar items costs about n checks and gives about n links,
-whatever number of buckets it shares. Joining rounds, with other heads each time, go on while half of their checks link. A *settling* round
+whatever number of buckets it shares. Joining rounds, with other heads each time, go on while they link an eighth of all items. A *settling* round
 then elects a few leaders per bucket, verifies every member with another label against them, and drops the leaders: all their
 pairs in the bucket are settled. Buckets whose members share a label are done. Buckets that still hold many labels
 after the first settling round are dealt anew, once, by their members' rare hashes (prefix filter). No pair goes unchecked unless its two
@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from voltaria.session import Staging, stage
 
-FIRST_LEADERS, LEADER_GROWTH, MANY_LABELS = 4, 8, 32
+FIRST_LEADERS, LEADER_GROWTH, MANY_LABELS = 32, 32, 32
+JOINING_SHARE = 8
 BLOCK_BYTES = 8 << 20
 #: Words of 64 bits of a parity.
 PARITY_WORDS = 4
@@ -78,6 +79,7 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         buckets = buckets.withColumn("probe", F.lit(True))
     fields = ["bucket", "item", "probe", "weight", "size", "lone", *PARITY]
     facts = stage(facts.where(F.col("lone") * (100 + percent) <= most).join(weight, "item"), "facts")
+    items = facts.count()
     open_ = buckets.join(facts, "item").select(*fields)
     links: list[DataFrame] = []
     labels: DataFrame | None = None
@@ -97,7 +99,7 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 refined = True
                 finer = _refined(cur, sets, facts, percent)
                 if finer is not None:
-                    open_, leaders, joining = finer, FIRST_LEADERS, True
+                    open_, leaders = finer, FIRST_LEADERS
                     continue
             rank = F.col("weight") if turn == 0 else F.xxhash64("item", F.lit(turn))
             slot = F.lit(0) if joining else F.pmod(F.xxhash64("item", F.lit(turn)), F.lit(leaders))
@@ -111,11 +113,10 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             labels = stage(_followed(found, labels), "labels")
             turn += 1
             open_ = cur.select(*fields)
-            if joining:
-                joining = 2 * found.count() >= pairs.count() > 0
-                continue
-            open_ = open_.join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
-            leaders, joining, settled = min(leaders * LEADER_GROWTH, 1 << 20), not found.isEmpty(), True
+            if not joining:
+                open_ = open_.join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
+                leaders, settled = min(leaders * LEADER_GROWTH, 1 << 20), True
+            joining = JOINING_SHARE * found.count() >= items
         if not links:
             return spark.createDataFrame([], "node long, component long")
         out = stage(components(reduce(DataFrame.unionByName, links)), "labels")
