@@ -1,10 +1,13 @@
 """Row-order operators: plain window, split hot keys and a pandas brute force agree."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from voltaria.functions import demand as D
 from voltaria.operators import ordered as O
 
 PLAIN = O.Series(keys=("k",), by=("t", "i"))
@@ -127,3 +130,37 @@ def test_cuts_of_any_order(spark, kind):
     _, hot = O.split_hot(df, cut)
     assert hot.count() == 3600
     assert hot.groupBy("k", "_slice").count().agg(F.max("count")).first()[0] <= max(bound, 4)
+
+
+@pytest.mark.parametrize("series", [PLAIN, SPLIT], ids=["plain", "split"])
+@pytest.mark.parametrize(("lengths", "behind"), [([1, 12, 36, 101], 0), ([100], 1), ([17, 300, 23], 0)], ids=["last", "before", "odd"])
+def test_merged_frames(table, frame, series, lengths, behind):
+    """Frames merged from shorter ones give what frames added up row by row give."""
+    rolled = O.Rolling(["v"], lengths, behind)
+    made = {f"{f}{n}": (lambda w, g=g, n=n: g("v", n)) for n in lengths for f, g in (("mean", rolled.mean), ("std", rolled.deviation))}
+    out = O.windowed(table, series, made, back=max(lengths) - 1 + behind, first=rolled.steps)
+    assert set(out.columns) == {*table.columns, *made}
+    want, groups = ordered(frame)
+    for n in lengths:
+        want[f"mean{n}"] = groups["v"].transform(lambda s: s.shift(behind).rolling(n, min_periods=1).mean())
+        want[f"std{n}"] = groups["v"].transform(lambda s: s.shift(behind).rolling(n, min_periods=1).std())
+    pd.testing.assert_frame_equal(result(out, list(made)), expect(want, list(made)), atol=1e-6)
+
+
+def test_merged_frames_keep_small_spreads(spark):
+    """A huge value leaves no trace once its frame is over, and equal values have no spread."""
+    values = [1e15, *([0.1] * 60), *(1e9 + i % 2 for i in range(60))]
+    df = spark.createDataFrame(list(enumerate(values)), "i long, v double")
+    rolled = O.Rolling(["v"], [20])
+    out = O.windowed(df, O.Series(by=("i",)), {"mean": lambda w: rolled.mean("v", 20), "std": lambda w: rolled.deviation("v", 20, 0)}, back=19, first=rolled.steps)
+    got = {x.i: x for x in out.collect()}
+    assert all(got[i].std == 0 and got[i].mean == pytest.approx(0.1) for i in range(20, 61))
+    assert all(got[i].std == pytest.approx(0.5) for i in range(80, 121))
+
+
+def test_long_frames_are_not_added_up_row_by_row(spark):
+    """A frame of 288 rows adds up a few rows a row and merges the rest."""
+    df = spark.range(10).select(F.col("id").alias("t"), F.col("id").cast("double").alias("volume"))
+    plan = D.add_demand_features(df, O.Series(by=("t",)), lags=(1,), windows=(12, 36, 288))._jdf.queryExecution().executedPlan().toString()
+    frames = [int(n) for n in re.findall(r"specifiedwindowframe\(RowFrame, -(\d+), currentrow", plan)]
+    assert frames and max(frames) < O.Rolling.DIRECT

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voltaria.config import DEFAULT_LAGS, DEFAULT_WINDOWS
 from voltaria.functions.scalar import clip, hours_between, ratio
-from voltaria.operators.ordered import Series, windowed
+from voltaria.operators.ordered import Rolling, Series, windowed
 
 
 def utilization_rate(occupancy: Column, capacity: Column) -> Column:
@@ -47,13 +47,24 @@ def lag_columns(columns: Iterable[str], lags: Iterable[int]) -> dict[str, Callab
     }
 
 
-def rolling_columns(columns: Iterable[str], windows: Iterable[int]) -> dict[str, Callable[[WindowSpec], Column]]:
+def rolling_columns(
+    df: DataFrame, columns: Iterable[str], windows: Iterable[int]
+) -> tuple[dict[str, Callable[[WindowSpec], Column]], list[dict[str, Callable[[WindowSpec], Column]]]]:
+    """``{c}_rolling_mean_{n}`` and ``{c}_rolling_std_{n}``, and the steps that must be made before them."""
+    columns, windows = tuple(columns), tuple(windows)
+    kinds = dict(df.dtypes)
+    # Other types, such as decimals, keep the type that Spark gives their mean.
+    merged = Rolling([c for c in columns if kinds[c] in ("double", "float", "int")], windows)
     made: dict[str, Callable[[WindowSpec], Column]] = {}
     for c in columns:
         for n in windows:
-            made[f"{c}_rolling_mean_{n}"] = lambda w, c=c, n=n: F.avg(c).over(w.rowsBetween(1 - n, 0))
-            made[f"{c}_rolling_std_{n}"] = lambda w, c=c, n=n: F.stddev_samp(c).over(w.rowsBetween(1 - n, 0))
-    return made
+            if c in merged.columns:
+                made[f"{c}_rolling_mean_{n}"] = lambda w, c=c, n=n: merged.mean(c, n)
+                made[f"{c}_rolling_std_{n}"] = lambda w, c=c, n=n: merged.deviation(c, n)
+            else:
+                made[f"{c}_rolling_mean_{n}"] = lambda w, c=c, n=n: F.avg(c).over(w.rowsBetween(1 - n, 0))
+                made[f"{c}_rolling_std_{n}"] = lambda w, c=c, n=n: F.stddev_samp(c).over(w.rowsBetween(1 - n, 0))
+    return made, merged.steps
 
 
 def add_lags(df: DataFrame, series: Series, columns: Iterable[str], lags: Iterable[int] = DEFAULT_LAGS) -> DataFrame:
@@ -67,8 +78,8 @@ def add_rolling(
 ) -> DataFrame:
     """``{c}_rolling_mean_{n}`` and ``{c}_rolling_std_{n}`` over the last n rows, the current one included."""
     windows = tuple(windows)
-    made = rolling_columns([c for c in columns if c in df.columns], windows)
-    return windowed(df, series, made, back=max(windows) - 1)
+    made, first = rolling_columns(df, [c for c in columns if c in df.columns], windows)
+    return windowed(df, series, made, back=max(windows) - 1, first=first)
 
 
 def add_future_targets(df: DataFrame, series: Series, columns: Iterable[str], horizon: int = 1) -> DataFrame:
@@ -103,5 +114,5 @@ def add_demand_features(
     if not targets:
         return out
     lags, windows = tuple(lags), tuple(windows)
-    made = {**lag_columns(targets, lags), **rolling_columns(targets, windows)}
-    return windowed(out, series, made, back=max(max(lags), max(windows) - 1))
+    rolled, first = rolling_columns(out, targets, windows)
+    return windowed(out, series, {**lag_columns(targets, lags), **rolled}, back=max(max(lags), max(windows) - 1), first=first)

@@ -18,7 +18,7 @@ itself the result of shuffles is first written to the shared folder, so that the
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -135,17 +135,22 @@ def windowed(
     columns: Mapping[str, Callable[[WindowSpec], Column]],
     back: int = 0,
     ahead: int = 0,
+    first: Sequence[Mapping[str, Callable[[WindowSpec], Column]]] = (),
 ) -> DataFrame:
     """Add columns computed over at most ``back`` earlier and ``ahead`` later rows of the same key.
 
     Each column is a function of the ordered window, e.g. ``lambda w: F.lag("x", 3).over(w)``. All of
     them share one sort. A hot key is cut into chunks of equal row count, and the rows a neighbouring
-    chunk needs are copied to it and dropped again.
+    chunk needs are copied to it and dropped again. The columns of ``first`` are made before, mapping by
+    mapping, for others to read, and dropped at the end; ``back`` and ``ahead`` are the reach of all together.
     """
     cold, hot = split_hot(df, series)
+    interim = [name for made in first for name in made]
 
     def project(part: DataFrame, window: WindowSpec) -> DataFrame:
-        return part.withColumns({name: make(window) for name, make in columns.items()})
+        for made in (*first, columns):
+            part = part.withColumns({name: make(window) for name, make in made.items()})
+        return part.drop(*interim)
 
     parts: list[DataFrame | None] = []
     if cold is not None:
@@ -168,6 +173,105 @@ def windowed(
     return _union(parts)
 
 
+class Rolling:
+    """Means and standard deviations over the last rows, in time that hardly grows with the length of the frames.
+
+    Spark adds up every frame anew, row by row. Here only frames of up to ``DIRECT`` rows are: count, mean and squared
+    deviations of a longer one are merged from those of shorter ones that lie end to end, each taken from the row where it
+    ends. So every figure comes from the rows of its own frame, and nothing is subtracted from a running sum. ``steps`` go
+    to ``first`` of :func:`windowed`, with a ``back`` of the longest frame (less 1 without ``behind``).
+    """
+
+    DIRECT, PARTS = 16, 12
+    #: Means of equal values differ by rounding; a deviation of less than four units in the last place is none.
+    _NOISE = 2.0**-50
+
+    def __init__(self, columns: Iterable[str], lengths: Iterable[int], behind: int = 0) -> None:
+        """``behind``: rows between the current one and the end of the frame, itself included."""
+        self.columns, self.behind = tuple(columns), behind
+        self.steps: list[dict[str, Callable[[WindowSpec], Column]]] = []
+        self._made: set[int] = set()
+        for n in sorted(set(lengths)) if self.columns else ():
+            self._make(n)
+            if behind:
+                self._lag([(n, behind)])
+
+    def mean(self, column: str, length: int) -> Column:
+        n, mean, _ = self._part(column, length, self.behind)
+        return F.when(n > 0, mean)
+
+    def deviation(self, column: str, length: int, ddof: int = 1) -> Column:
+        n, _, m = self._part(column, length, self.behind)
+        return F.when(n > ddof, F.sqrt(m / (n - ddof)))
+
+    @staticmethod
+    def _name(figure: str, column: str, length: int, offset: int = 0) -> str:
+        return f"_{figure}_{column}_{length}_{offset}"
+
+    def _part(self, column: str, length: int, offset: int) -> list[Column]:
+        """Count, mean (0 of none) and squared deviations of the ``length`` rows that end ``offset`` rows before this one."""
+        return [F.col(self._name(f, column, length, offset)) for f in "nam"]
+
+    def _lag(self, pieces: Iterable[tuple[int, int]]) -> None:
+        done = {name for step in self.steps for name in step}
+        lagged = {
+            self._name(f, c, n, k): (lambda w, own=self._name(f, c, n), k=k: F.lag(own, k, 0.0).over(w))
+            for n, k in pieces
+            for c in self.columns
+            for f in "nam"
+        }
+        self.steps.append({name: make for name, make in lagged.items() if name not in done})
+
+    def _make(self, length: int) -> None:
+        if length in self._made:
+            return
+        if length <= self.DIRECT:
+            self.steps.append(self._direct(length))
+        else:
+            near = max((m for m in self._made if m < length and length // m <= self.PARTS), default=math.isqrt(length))
+            rest = length % near
+            for n in (near, rest) if rest else (near,):
+                self._make(n)
+            pieces = [(near, i * near) for i in range(length // near)] + ([(rest, length - rest)] if rest else [])
+            self._lag([p for p in pieces if p[1]])
+            self.steps += self._merged(length, pieces)
+        self._made.add(length)
+
+    def _direct(self, length: int) -> dict[str, Callable[[WindowSpec], Column]]:
+        made: dict[str, Callable[[WindowSpec], Column]] = {}
+
+        def over(c: str, make: Callable[[str], Column]) -> Callable[[WindowSpec], Column]:
+            return lambda w: F.coalesce(make(c).over(w.rowsBetween(1 - length, 0)).cast("double"), F.lit(0.0))
+
+        for c in self.columns:
+            count, spread = over(c, F.count), over(c, F.var_pop)
+            n, mean, m = (self._name(f, c, length) for f in "nam")
+            made |= {n: count, mean: over(c, F.avg), m: lambda w, count=count, spread=spread: spread(w) * count(w)}
+        return made
+
+    def _merged(self, length: int, pieces: list[tuple[int, int]]) -> list[dict[str, Callable[[WindowSpec], Column]]]:
+        """Counts, then means, then deviations from these: each is worked out once, in expressions short enough to compile."""
+        counts: dict[str, Callable[[WindowSpec], Column]] = {}
+        means: dict[str, Callable[[WindowSpec], Column]] = {}
+        spreads: dict[str, Callable[[WindowSpec], Column]] = {}
+
+        def averaged(parts: list[list[Column]], count: Column) -> Column:
+            return F.when(count > 0, reduce(Column.__add__, (n * mean for n, mean, _ in parts)) / count).otherwise(F.lit(0.0))
+
+        def spread(parts: list[list[Column]], count: Column, total: Column) -> Column:
+            m = reduce(Column.__add__, (m + n * (mean - total) * (mean - total) for n, mean, m in parts))
+            least = total * F.lit(self._NOISE)
+            return F.when(m <= count * least * least, F.lit(0.0)).otherwise(m)
+
+        for c in self.columns:
+            parts = [self._part(c, *p) for p in pieces]
+            n, mean, m = (self._name(f, c, length) for f in "nam")
+            counts[n] = lambda w, parts=parts: reduce(Column.__add__, (p[0] for p in parts))
+            means[mean] = lambda w, parts=parts, n=n: averaged(parts, F.col(n))
+            spreads[m] = lambda w, parts=parts, n=n, mean=mean: spread(parts, F.col(n), F.col(mean))
+        return [counts, means, spreads]
+
+
 def position(df: DataFrame, series: Series, name: str = "position") -> DataFrame:
     """Add the exact 0-based row position within the key."""
     cold, hot = split_hot(df, series)
