@@ -173,3 +173,20 @@ def test_window_table_shows_open_windows_once_and_counts_late_rows(spark):
         assert index == {"2024-05-01": 0, "2024-05-02": 1}
         table(at().limit(0), 2)
         assert state() == want and table.windows.index(spark) == index
+
+
+def test_z_runs_check_their_keys_once(spark, monkeypatch):
+    """A large derived table is written once for all steps of a run, and taken through one shuffle."""
+    from voltaria.operators import ordered
+
+    rows = [(f"m{k}", i, float((i * 37 + k) % 11) + (50.0 if 60 <= i < 66 or i >= 112 else 0.0)) for k in range(3) for i in range(120)]
+    df = spark.createDataFrame(rows, "metric string, seq long, value double").groupBy("metric", "seq").agg(F.sum("value").alias("value"))
+    plain = K.z_runs(df, Series(keys=("metric",), by=("seq",), bounded=True), 1.0, 2, 20)
+    staged = []
+    monkeypatch.setattr(ordered, "stage", lambda rows, label: staged.append(label) or session.stage(rows, label))
+    checked = K.z_runs(df, Series(keys=("metric",), by=("seq",), task_bytes=0), 1.0, 2, 20)
+    assert staged == ["series", "hot-keys"]
+    cut = K.z_runs(df, Series(keys=("metric",), by=("seq",), task_bytes=0, task_rows=30), 1.0, 2, 20)
+    assert plain.count() >= 3
+    assert plain.exceptAll(checked).count() == checked.exceptAll(plain).count() == 0
+    assert plain.exceptAll(cut).count() == cut.exceptAll(plain).count() == 0

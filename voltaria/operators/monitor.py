@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltaria.config import MonitorConfig
-from voltaria.operators.ordered import Series, running_sum, windowed
+from voltaria.operators.ordered import Rolling, Series, in_one_go, running_sum, windowed
 
 # The tracked metrics.
 TRACKED = ("revenue_gain_pct", "utilization_rate", "congestion_rate", "wait_time_proxy", "pricing_efficiency_score")
@@ -163,24 +163,22 @@ def z_runs(metrics: DataFrame, series: Series, threshold: float = 2.0, longer_th
     of openings numbers the runs, and runs of flagged rows longer than ``longer_than`` are returned.
     """
     keys = list(series.keys)
-    scored = windowed(
-        metrics,
-        series,
-        {
-            "_mean": lambda w: F.avg("value").over(w.rowsBetween(-window, -1)),
-            "_std": lambda w: F.stddev_pop("value").over(w.rowsBetween(-window, -1)),
-        },
-        back=window,
-    )
-    z = F.abs(F.try_divide(F.round(F.col("value") - F.col("_mean"), 9), F.round(F.col("_std"), 9)))
-    flagged = scored.withColumn("_high", F.coalesce(z > threshold, F.lit(False)))
-    opened = windowed(
-        flagged,
-        series,
-        {"_open": lambda w: (F.col("_high") != F.coalesce(F.lag("_high").over(w), F.lit(False))).cast("int")},
-        back=1,
-    )
-    runs = running_sum(opened, series, {"_run": F.col("_open")}).where("_high")
+    past = Rolling(["value"], [window], behind=1)
+
+    def numbered(rows: DataFrame, series: Series) -> DataFrame:
+        means = {"_mean": lambda w: past.mean("value", window), "_std": lambda w: past.deviation("value", window, 0)}
+        scored = windowed(rows, series, means, back=window, first=past.steps)
+        z = F.abs(F.try_divide(F.round(F.col("value") - F.col("_mean"), 9), F.round(F.col("_std"), 9)))
+        flagged = scored.withColumn("_high", F.coalesce(z > threshold, F.lit(False))).drop("value", "_mean", "_std")
+        opened = windowed(
+            flagged,
+            series,
+            {"_open": lambda w: (F.col("_high") != F.coalesce(F.lag("_high").over(w), F.lit(False))).cast("int")},
+            back=1,
+        )
+        return running_sum(opened, series, {"_run": F.col("_open")}).where("_high")
+
+    runs = in_one_go(metrics, series, numbered)
     return (
         runs.groupBy(*keys, "_run")
         .agg(F.count(F.lit(1)).alias("length"), F.min(series.by[0]).alias("start"), F.max(series.by[0]).alias("end"))

@@ -272,6 +272,16 @@ class Rolling:
         return [counts, means, spreads]
 
 
+def in_one_go(df: DataFrame, series: Series, apply: Callable[[DataFrame, Series], DataFrame]) -> DataFrame:
+    """Several row-order operators in turn, ``apply(rows, series)``, with one check of the keys: those that fit a task
+    take them all on one shuffle and one sort, the others operator by operator."""
+    cold, hot = split_hot(df, series)
+    parts = [None if cold is None else apply(cold, replace(series, bounded=True))]
+    if hot is not None:
+        parts.append(apply(hot.drop(_SLICE), series))
+    return _union(parts)
+
+
 def position(df: DataFrame, series: Series, name: str = "position") -> DataFrame:
     """Add the exact 0-based row position within the key."""
     cold, hot = split_hot(df, series)
