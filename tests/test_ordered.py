@@ -132,6 +132,19 @@ def test_cuts_of_any_order(spark, kind):
     assert hot.groupBy("k", "_slice").count().agg(F.max("count")).first()[0] <= max(bound, 4)
 
 
+def test_small_slices_share_partitions(spark):
+    """Slices of a few rows each are not tasks and files of their own, and stay in order."""
+    df = spark.createDataFrame([(i, i * 7919 % 4001) for i in range(4000)], "i long, t long").repartition(3)
+    series = O.Series(by=("t", "i"), task_rows=4, task_bytes=0)
+    _, hot = O.split_hot(df, series)
+    assert len(hot.inputFiles()) <= spark.sparkContext.defaultParallelism
+    spans = hot.groupBy("_slice").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("_slice").collect()
+    assert max(x.n for x in spans) <= 2 and sum(x.n for x in spans) == 4000
+    assert all(a.hi < b.lo for a, b in zip(spans, spans[1:]))
+    got = {x.i: x.position for x in O.position(df, series).collect()}
+    assert got == {i: p for p, (_, i) in enumerate(sorted((i * 7919 % 4001, i) for i in range(4000)))}
+
+
 @pytest.mark.parametrize("series", [PLAIN, SPLIT], ids=["plain", "split"])
 @pytest.mark.parametrize(("lengths", "behind"), [([1, 12, 36, 101], 0), ([100], 1), ([17, 300, 23], 0)], ids=["last", "before", "odd"])
 def test_merged_frames(table, frame, series, lengths, behind):

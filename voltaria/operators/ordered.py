@@ -5,8 +5,8 @@ task, which fails when a key holds a large share of the table (or when there is
 operator here therefore splits the input:
 
 * keys whose rows fit one task take the plain window;
-* keys beyond that are range-partitioned by key and all order columns, as many slices as the rows need,
-  and written with the number of their slice, so that it stays what it is when a task is run again.
+* keys beyond that are range-partitioned by key and all order columns, cut into as many slices as the rows
+  need, and written with the number of their slice, so that it stays what it is when a task is run again.
   Ties of the first order column and its nulls are cut like other values, whatever the columns' types.
   What one slice owes the next (row counts, last value, running sum) is one row per key and slice.
 
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from voltaria.session import input_bytes, is_derived, plan_bytes, stage
 
 _SLICE, _POS, _CHUNK, _HOME = "_slice", "_pos", "_chunk", "_home"
+PARTITION_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -83,10 +84,18 @@ def split_hot(df: DataFrame, series: Series) -> tuple[DataFrame | None, DataFram
 
 
 def _sliced(df: DataFrame, rows: int, series: Series) -> DataFrame:
-    """Rows in slices of about half a task, cut along keys and order columns and written with their number."""
-    slices = max(2, math.ceil(2 * rows / series.task_rows))
-    ranged = df.repartitionByRange(slices, *series.keys, *series.by)
-    return stage(ranged.withColumn(_SLICE, F.spark_partition_id()), "slices")
+    """Rows in slices of about half a task, cut along keys and order columns and written with their number.
+
+    Range partitions are as many as the cluster runs at once, or more where they would hold over ``PARTITION_ROWS``,
+    but no more than slices: a small slice is a part of one, not a task and a file of its own.
+    """
+    size = max(1, series.task_rows // 2)
+    wanted = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / PARTITION_ROWS))
+    ranged = df.repartitionByRange(max(2, min(wanted, math.ceil(rows / size))), *series.keys, *series.by)
+    # The number counts on from 0 within each partition, whose own number is above these bits.
+    number = F.monotonically_increasing_id()
+    within = number.bitwiseAND(F.lit((1 << 33) - 1))
+    return stage(ranged.sortWithinPartitions(*series.keys, *series.by).withColumn(_SLICE, number - within % size), "slices")
 
 
 def _with_carry(
