@@ -51,3 +51,22 @@ def test_classifier_is_cut_and_empty_validation_changes_nothing(noisy):
     assert len(cut.stages[-1].treeWeights) == L.best_round(L.round_losses(full, rows.where("v")))
     assert L.predict(cut, rows).where("probability between 0 and 1").count() == rows.count()
     assert L.cut_back(full, rows.where("false")) is full
+
+
+def test_candidates_are_fitted_at_the_same_time(spark):
+    """Each of two fits waits for the other; the models come back under their names."""
+    import threading
+
+    from pyspark.ml import Estimator
+    from pyspark.ml.feature import VectorAssembler
+
+    met = threading.Barrier(2, timeout=60)
+
+    class Waiting(Estimator):
+        def _fit(self, rows):
+            met.wait()
+            return VectorAssembler(inputCols=["x"], outputCol=f"seen_{rows.count()}")
+
+    rows = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "x double, label double")
+    models = L.fit_all(rows, ["x"], {"one": Waiting(), "other": Waiting()})
+    assert list(models) == ["one", "other"] and all(m.stages[-1].getOutputCol() == "seen_2" for m in models.values())

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import SparkContext
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -112,17 +113,24 @@ def fit_all(
     """One fitted pipeline per candidate.
 
     ``validation`` names a boolean column of rows to learn nothing from: boosted trees are cut back to the round of
-    least loss on them, under the rule of ``best_round``; forests are fitted without them.
+    least loss on them, under the rule of ``best_round``; forests are fitted without them. Candidates are fitted at the
+    same time, so that the many short jobs of one leave no core idle that another can use.
     """
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    models = {}
-    for name, estimator in estimators.items():
-        rows = train.where(~F.col(validation)) if validation else train
-        fitted = Pipeline(stages=[assembler, estimator]).fit(rows)
+    names = list(features)
+    rows = train.where(~F.col(validation)) if validation else train
+
+    def fit(estimator) -> PipelineModel:
+        fitted = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), estimator]).fit(rows)
         if validation and estimator.hasParam("maxIter"):
             fitted = cut_back(fitted, train.where(validation), patience)
-        models[name] = fitted
-    return models
+        return fitted
+
+    if not estimators:
+        return {}
+    with ThreadPoolExecutor(len(estimators)) as pool:
+        # Each thread inherits the local properties, such as a job group, of the caller's.
+        running = {name: pool.submit(inheritable_thread_target(train.sparkSession)(fit), estimator) for name, estimator in estimators.items()}
+        return {name: made.result() for name, made in running.items()}
 
 
 def best_round(losses: Iterable[float], patience: int = PATIENCE) -> int:
