@@ -11,6 +11,7 @@ import pytest
 
 from brute import table
 from voltaria.llm import bpe, count, encode, iblt, langid, sharding, template, tiling
+from voltaria.session import stage
 
 PATH = bpe.vocabulary()
 
@@ -319,3 +320,28 @@ def test_broken_and_deep_pages_end_in_linear_time():
     assert text("<p>" + "<i>" * n + "<p>b</p>" * n).count("b") == n
     assert text("<table>" + "<div>" * n + "<td>c</td>" * n).count("c") == n
     assert time.time() - start < 60
+
+
+def test_sketches_shuffle_and_write_no_digests(spark, monkeypatch):
+    """Retries stay in their rows: only what no turn could peel is written, and the likeness is exact either way."""
+    r = random.Random(6)
+    texts = ["\n".join(f"{r.randrange(300)}" for _ in range(n)) for n in (3, 30, 120, 400, 120, 30, 900)]
+    staged = {}
+
+    def keep(rows, label):
+        made = stage(rows, label)
+        staged.setdefault(label, []).append(made)
+        return made
+
+    monkeypatch.setattr(iblt, "stage", keep)
+    for turns in (2, 0):
+        staged.clear()
+        monkeypatch.setattr(iblt, "IN_ROW", turns)
+        rows = {x.doc_id: x for x in iblt.fingerprints(table(spark, texts)).collect()}
+        for i, text in enumerate(texts):
+            assert rows[i].near_next == pytest.approx(likeness(text, texts[i - 1]))
+        assert "digests" not in staged
+        (first,) = staged["sketches"]
+        assert "Exchange hashpartitioning(row" not in first._jdf.queryExecution().executedPlan().toString()
+        left = first.selectExpr("sum(size(rest_e) + size(rest_b)) n", "sum(size_a + size_b + size_e) total").first()
+        assert left.n * 20 <= left.total and (left.n > 0) == ("blocks" in staged)

@@ -6,8 +6,8 @@ Paragraphs are the non-empty lines of a text; lines above ``LONG`` characters ar
 sketches subtract cell by cell, and what remains is peeled: a cell of count 1 or -1 whose check fits holds one
 differing digest, which is taken out of its cells until none is left. If cells remain, the comparison is retried
 with a larger sketch: as many blocks of cells as the sets need, a digest's block being taken from bits that its cells
-do not use. Blocks are rows, so that is one shuffle of digests. Of these only the blocks that do not peel are
-taken again, each cut in four by further hash bits, without a shuffle and without the blocks that did peel.
+do not use. Of these only the blocks that do not peel are taken again, each cut in four by further hash bits. All this
+stays in the pair's row, so digests are neither shuffled nor written; the few blocks left after some turns become rows.
 The likeness of two versions is the Jaccard similarity of their digest sets, from set sizes and peeled differences.
 
 The next document in descending key order comes from a window within slices of keys; the slices' bounds are
@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from voltaria.session import stage
 
 ROWS, CELLS, ROUNDS = 3, 8, 10
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 BLOCK_LOAD, SPLIT = 8, 4
+#: Turns of cutting blocks anew within the row of their pair.
+IN_ROW = 2
 LONG, LEAST_PIECE, MOST_PIECE = 96, 64, 256
 _PIECE = rf"(?s).{{{LEAST_PIECE},{MOST_PIECE}}}?(?:[dlnry.!?]\s|[^\x00-\x7F]\s|[。！？、।]|$)|.{{1,{MOST_PIECE}}}"
 _BITS = CELLS.bit_length() - 1
@@ -119,7 +121,7 @@ def peeled(one: Column, other: Column) -> Column:
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
     """Jaccard similarity from set sizes and the number of differing digests."""
-    shared = (F.size(a) + F.size(b) - differing) / F.lit(2.0)
+    shared = (a + b - differing) / F.lit(2.0)
     return F.when(differing == 0, F.lit(1.0)).otherwise(shared / (shared + differing))
 
 
@@ -170,50 +172,91 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = rows.select(
         "key", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next_text")).alias("b")
     )
-    rows = stage(rows.withColumn("row", F.monotonically_increasing_id()), "digests")
     made = rows.withColumns({"sa": sketch(F.col("a")), "se": sketch(F.col("e")), "sb": sketch(F.col("b"))})
-    made = made.withColumns({"edited_gap": peeled(F.col("sa"), F.col("se")), "next_gap": peeled(F.col("sa"), F.col("sb")), "fingerprint": printed(F.col("sa")), "edited_fingerprint": printed(F.col("se"))})
-    first = stage(made.drop("sa", "se", "sb"), "sketches")
-    open_ = first.where("edited_gap is null").select("row", F.lit(0).alias("side"), "a", F.col("e").alias("b"))
-    open_ = open_.unionByName(first.where("next_gap is null").select("row", F.lit(1).alias("side"), "a", "b"))
-    gaps = stage(_retried(open_), "gaps")
-    side = lambda n, name: gaps.where(f"side = {n}").select("row", F.col("gap").alias(name))
-    whole = first.join(side(0, "g0"), "row", "left").join(side(1, "g1"), "row", "left")
-    return whole.select(
+    made = made.withColumns({"gap_e": peeled(F.col("sa"), F.col("se")), "gap_b": peeled(F.col("sa"), F.col("sb")), "fingerprint": printed(F.col("sa")), "edited_fingerprint": printed(F.col("se"))})
+    made = made.drop("sa", "se", "sb")
+    for other in ("e", "b"):
+        made = _retried(made, F.col("a"), F.col(other), f"gap_{other}", f"rest_{other}")
+    sizes = [F.size(c).alias(f"size_{c}") for c in ("a", "e", "b")]
+    # No digest is written, but for those of blocks that no turn above could peel.
+    first = stage(
+        made.select("key", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *sizes, "gap_e", "gap_b", "rest_e", "rest_b", F.monotonically_increasing_id().alias("row")), "sketches"
+    )
+    parts = [first.select("row", F.lit(c).alias("side"), F.explode(f"rest_{c}").alias("p")).select("row", "side", "p.x", "p.y") for c in ("e", "b")]
+    gaps = _rest(parts[0].unionByName(parts[1]))
+    if gaps is not None:
+        for c in ("e", "b"):
+            first = first.join(gaps.where(F.col("side") == c).select("row", F.col("gap").alias(f"more_{c}")), "row", "left")
+            first = first.withColumn(f"gap_{c}", F.col(f"gap_{c}") + F.coalesce(f"more_{c}", F.lit(0)))
+    return first.select(
         F.col("key").alias(key),
         "n_chars",
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("a"), F.col("e"), F.coalesce("edited_gap", "g0")).alias("near_edited"),
-        likeness(F.col("a"), F.col("b"), F.coalesce("next_gap", "g1")).alias("near_next"),
+        likeness(F.col("size_a"), F.col("size_e"), F.col("gap_e")).alias("near_edited"),
+        likeness(F.col("size_a"), F.col("size_b"), F.col("gap_b")).alias("near_next"),
     )
 
 
-def _retried(pairs: DataFrame) -> DataFrame:
-    """``row, side, gap`` of pairs whose first sketches could not be peeled: sketches of as many blocks as the sets need;
-    then a block that cannot be peeled, and no other, is cut in ``SPLIT`` by further bits of its digests, until all are."""
-    blocks = F.greatest(F.lit(2), F.ceil((F.size("a") + F.size("b")) / BLOCK_LOAD)).cast("long")
-    pairs = pairs.withColumn("blocks", blocks)
-    items = pairs.select("row", "side", "blocks", F.lit(True).alias("own"), F.explode("a").alias("digest")).unionByName(
-        pairs.select("row", "side", "blocks", F.lit(False).alias("own"), F.explode("b").alias("digest"))
-    )
-    block = F.pmod(F.shiftrightunsigned("digest", ROWS * _BITS), F.col("blocks"))
-    own, other = (F.collect_list(F.when(F.col("own") == F.lit(w), F.col("digest"))) for w in (True, False))
-    parts = items.groupBy("row", "side", block.alias("block")).agg(own.alias("x"), other.alias("y")).drop("block")
-    done, turn = None, 0
-    while True:
+def _block(x: Column, y: Column) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def _held(blocks: Column) -> Column:
+    return F.filter(blocks, lambda p: F.size(p["x"]) + F.size(p["y"]) > 0)
+
+
+def _dealt(a: Column, b: Column) -> Column:
+    """Two sets in as many blocks as they need, by bits of the digests that no cell uses; first in runs of blocks, then each run."""
+
+    def deal(n: Column) -> Column:
+        block = lambda d: F.pmod(F.shiftrightunsigned(d, ROWS * _BITS), n)
+
+        def split(width: Column) -> Column:
+            run = lambda r: _block(*(F.filter(s, lambda d: F.floor(block(d) / width) == r) for s in (a, b)))
+            own = lambda p, j: _block(*(F.filter(p[s], lambda d: F.pmod(block(d), width) == j) for s in "xy"))
+            runs = F.transform(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / width)), run)
+            return F.flatten(F.transform(runs, lambda p: F.transform(F.sequence(F.lit(0).cast("long"), width - 1), lambda j: own(p, j))))
+
+        return let(F.ceil(F.sqrt(n)).cast("long"), split)
+
+    return _held(let(F.greatest(F.lit(2), F.ceil((F.size(a) + F.size(b)) / BLOCK_LOAD)).cast("long"), deal))
+
+
+def _quartered(p: Column, turn: int) -> Column:
+    """A block cut in ``SPLIT`` by further bits of its digests."""
+    # The bits of one hash serve all turns but the last of its 62; then the next hash is taken.
+    at = lambda d: F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit(turn // 31), d), 2 * (turn % 31)), F.lit(SPLIT))
+    return F.transform(F.sequence(F.lit(0), F.lit(SPLIT - 1)), lambda n: _block(F.filter(p["x"], lambda d: at(d) == n), F.filter(p["y"], lambda d: at(d) == n)))
+
+
+def _retried(rows: DataFrame, a: Column, b: Column, gap: str, rest: str) -> DataFrame:
+    """``gap`` of pairs whose first sketches could not be peeled, from sketches of as many blocks as the sets need; a block
+    that cannot be peeled, and no other, is cut anew for ``IN_ROW`` turns. ``rest`` keeps those that are left then; the gap
+    does not count them. A pair's blocks stay in its row, so this takes no shuffle."""
+    tried = lambda blocks: F.transform(blocks, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"), peeled(sketch(p["x"]), sketch(p["y"])).alias("gap")))
+    whole = _block(F.array().cast("array<long>"), F.array().cast("array<long>"))
+    none = F.filter(F.array(whole), lambda p: F.lit(False))
+    blocks = F.when(F.col(gap).isNull(), _dealt(a, b)).otherwise(none)
+    for turn in range(IN_ROW + 1):
+        rows = rows.withColumn("_blocks", blocks).withColumn("_tried", tried(F.col("_blocks")))
+        found = F.aggregate("_tried", F.lit(0).cast("long"), lambda n, p: n + F.coalesce(p["gap"], F.lit(0).cast("long")))
+        failed = F.transform(F.filter("_tried", lambda p: p["gap"].isNull()), lambda p: _block(p["x"], p["y"]))
+        rows = rows.withColumns({gap: F.coalesce(gap, F.lit(0).cast("long")) + found, rest: failed}).drop("_blocks", "_tried")
+        blocks = _held(F.flatten(F.transform(rest, lambda p: _quartered(p, turn))))  # noqa: B023
+    return rows
+
+
+def _rest(failed: DataFrame) -> DataFrame | None:
+    """``row, side, gap`` of the blocks ``row, side, x, y`` that could not be peeled in their row, or None without any: each is
+    cut anew until all its pieces can be."""
+    done, turn = None, IN_ROW
+    while not failed.isEmpty():
+        parts = failed.select("row", "side", F.explode(_held(_quartered(F.struct("x", "y"), turn))).alias("p")).select("row", "side", "p.x", "p.y")
         tried = stage(parts.withColumn("gap", peeled(sketch(F.col("x")), sketch(F.col("y")))), "blocks")
         good = tried.where("gap is not null").select("row", "side", "gap")
         done = good if done is None else done.unionByName(good)
-        failed = tried.where("gap is null")
-        if failed.isEmpty():
-            return done.groupBy("row", "side").agg(F.sum("gap").alias("gap"))
-        # The bits of one hash serve all turns but the last of its 62; then the next hash is taken.
-        at = lambda d: F.pmod(F.shiftrightunsigned(F.xxhash64(F.lit(turn // 31), d), 2 * (turn % 31)), F.lit(SPLIT))  # noqa: E731, B023
-        pieces = F.transform(
-            F.sequence(F.lit(0), F.lit(SPLIT - 1)),
-            lambda n: F.struct(F.filter("x", lambda d: at(d) == n).alias("x"), F.filter("y", lambda d: at(d) == n).alias("y")),
-        )
-        parts = failed.select("row", "side", F.explode(pieces).alias("p")).select("row", "side", "p.x", "p.y").where("size(x) + size(y) > 0")
+        failed = tried.where("gap is null").drop("gap")
         turn += 1
+    return None if done is None else stage(done.groupBy("row", "side").agg(F.sum("gap").alias("gap")), "gaps")
