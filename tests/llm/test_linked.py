@@ -86,6 +86,43 @@ def test_checks_of_a_large_bucket_stay_few(spark, monkeypatch):
         assert sum(checks) <= bound * len(sets), checks
 
 
+def test_one_round_settles_a_group_around_one_head(spark, monkeypatch):
+    r, staged, stage = random.Random(4), Counter(), linking.stage
+    monkeypatch.setattr(linking, "stage", lambda df, label: staged.update([label]) or stage(df, label))
+    base = list(range(1, 101))
+    sets = [sorted(base[:-1] + [1000 + i]) for i in range(30)] + [sorted(r.sample(range(10**6, 10**9), 100)) for _ in range(30)]
+    frame = spark.createDataFrame([(i, len(x), x) for i, x in enumerate(sets)], "item long, size long, hashes array<long>")
+    buckets = spark.createDataFrame([(1, i) for i in range(len(sets))], "bucket long, item long")
+    found = {x.node: x.component for x in linking.link_sets(buckets, frame, 80).collect()}
+    assert found == {i: 0 for i in range(30)}
+    assert (staged["heads"], staged["links"], staged["edges"]) == (1, 1, 1)
+
+
+def test_labels_that_rounds_left_apart_are_joined(spark):
+    links = spark.createDataFrame([(5, 3), (9, 8), (8, 5), (20, 21)], "a long, b long")
+    labels = spark.createDataFrame([(3, 3), (5, 3), (8, 8), (9, 8), (20, 20), (21, 20)], "node long, component long")
+    found = {x.node: x.component for x in linking._joined(links, labels).collect()}
+    assert found == {3: 3, 5: 3, 8: 3, 9: 3, 20: 20, 21: 20}
+
+
+@pytest.mark.parametrize("block", [1, 10**6])
+def test_verified_pairs_need_four_shuffles(spark, block):
+    r = random.Random(8)
+    sets = {i: sorted(set(range(100)) - set(r.sample(range(100), r.choice([5, 9, 14])))) for i in range(12)}
+    frame = spark.createDataFrame([(i, len(x), x) for i, x in sets.items()], "item long, size long, hashes array<long>")
+    asked = [(a, b, 800) for a in sets for b in sets if a < b and b != 5]
+    pairs = spark.createDataFrame([(b, a, n) for a, b, n in asked], "item long, head long, bytes long")
+    like = lambda a, b: 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = linking.verified(pairs, frame, 80, block)
+        assert sorted((x.b, x.a) for x in found.collect()) == sorted((a, b) for a, b, _ in asked if like(a, b))
+        plan = linking.verified(pairs, frame, 80, block)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 20)] + [(7, 7)]
     found = {r.node: r.component for r in linking.components(spark.createDataFrame(edges, "a long, b long")).collect()}

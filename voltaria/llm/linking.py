@@ -106,41 +106,47 @@ def link_sets(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             top = [F.max_by(c, rank if joining else F.col("weight")).alias(f"head_{c}") for c in ("item", "label", "size", "lone", "probe", "weight", *PARITY)]
             heads = stage(cur.groupBy("bucket", slot.alias("slot")).agg(*top).drop("slot"), "heads")
             pairs = stage(_pairs(cur, heads, tested, percent, joining), "pairs")
-            found = stage(verified(pairs, sets, percent), "links")
-            done = pairs.select("lo", "hi")
-            tested = done if tested is None else tested.unionByName(done)
-            links.append(found)
-            labels = stage(_followed(found, labels), "labels")
+            linked = 0
+            if not pairs.isEmpty():
+                found = stage(verified(pairs.drop("lo", "hi"), sets, percent), "links")
+                done = pairs.select("lo", "hi")
+                tested = done if tested is None else tested.unionByName(done)
+                linked = found.count()
+            if linked:
+                links.append(found)
+                labels = stage(_followed(found, labels), "labels")
             turn += 1
             open_ = cur.select(*fields)
             if not joining:
                 open_ = open_.join(heads.select("bucket", F.col("head_item").alias("item")), ["bucket", "item"], "left_anti")
                 leaders, settled = min(leaders * LEADER_GROWTH, 1 << 20), True
-            joining = JOINING_SHARE * found.count() >= items
+            joining = JOINING_SHARE * linked >= items
         if not links:
+            held.release()
             return spark.createDataFrame([], "node long, component long")
-        out = stage(components(reduce(DataFrame.unionByName, links)), "labels")
+        out = stage(_joined(reduce(DataFrame.unionByName, links), labels), "labels")
         held.release(out)
     return out
 
 
 def _pairs(cur: DataFrame, heads: DataFrame, tested: DataFrame | None, percent: int, joining: bool) -> DataFrame:
-    """``item, head, bytes, lo, hi`` still to be verified: every member with every head of its buckets, each pair once; when
-    joining, every item with one head."""
+    """``item, head, bytes, lo, hi`` and the labels of both, still to be verified: every member with every head of its buckets,
+    each pair once; when joining, every item with one head."""
     # Either side's probes find a pair: those of the set with more hashes of its own, as they are fewer and rarer. A joining
     # round may miss pairs, and looks from the item's probes only.
     finds = F.when(F.struct("lone", "item") > F.struct("head_lone", "head_item"), F.col("probe")).otherwise(F.col("head_probe"))
     met = (cur.where("probe") if joining else cur).join(heads, "bucket").where("label <> head_label").where(_possible(percent))
     named = [F.col("head_item").alias("head"), ((F.col("size") + F.col("head_size")) * 8).alias("bytes"), F.least("item", "head_item").alias("lo"), F.greatest("item", "head_item").alias("hi")]
-    pairs = (met if joining else met.where(finds)).select("item", "head_weight", *named).select("lo", "hi", F.struct("head_weight", "item", "head", "bytes").alias("p"))
+    pairs = (met if joining else met.where(finds)).select("item", "head_weight", "label", "head_label", *named)
+    pairs = pairs.select("lo", "hi", F.struct("head_weight", "item", "head", "bytes", "label", "head_label").alias("p"))
     if tested is not None:
         pairs = pairs.unionByName(tested.withColumn("p", F.lit(None).cast(pairs.schema["p"].dataType)))
     # One sum a pair finds both its copies and whether it was verified before.
     pairs = pairs.groupBy("lo", "hi").agg(F.max("p").alias("p"), F.count_if(F.col("p").isNull()).alias("done")).where("done = 0").select("p.*", "lo", "hi")
     if joining:
-        best = F.max_by(F.struct("head", "bytes", "lo", "hi"), "head_weight").alias("p")
+        best = F.max_by(F.struct("head", "bytes", "label", "head_label", "lo", "hi"), "head_weight").alias("p")
         pairs = pairs.groupBy("item").agg(best).select("item", "p.*")
-    return pairs.select("item", "head", "bytes", "lo", "hi")
+    return pairs.select("item", "head", "bytes", "label", "head_label", "lo", "hi")
 
 
 def _refined(cur: DataFrame, sets: DataFrame, facts: DataFrame, percent: int) -> DataFrame | None:
@@ -164,23 +170,26 @@ def _refined(cur: DataFrame, sets: DataFrame, facts: DataFrame, percent: int) ->
 
 
 def _followed(found: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Labels after new links: an item, and the label it had, take the least label across its links."""
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    if labels is None:
-        named = both.select("a", F.col("a").alias("la"), F.col("b").alias("lb"))
-        old = both.select(F.col("a").alias("node"), F.col("a").alias("component"))
-    else:
-        of = lambda c, n: labels.select(F.col("node").alias(c), F.col("component").alias(n))
-        named = both.join(of("a", "la"), "a", "left").join(of("b", "lb"), "b", "left").select("a", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
-        old = labels.unionByName(both.select(F.col("a").alias("node"), F.col("a").alias("component")))
-    moved = named.select(F.explode(F.array("a", "la")).alias("node"), F.least("la", "lb").alias("component"))
-    least = old.unionByName(moved).groupBy("node").agg(F.min("component").alias("component"))
+    """Labels after new links: all items linked with one head, and the labels they had, take the least label among them."""
+    least = found.groupBy("b").agg(F.least(F.min("label"), F.min("head_label")).alias("component"))
+    moved = found.join(least, "b").select(F.explode(F.array("a", "b", "label", "head_label")).alias("node"), "component")
+    least = (moved if labels is None else labels.unionByName(moved)).groupBy("node").agg(F.min("component").alias("component"))
     up = least.select(F.col("node").alias("component"), F.col("component").alias("next"))
     for _ in range(2):
         least = least.join(up, "component", "left").select("node", F.coalesce("next", "component").alias("component"))
     return least
 
 
+def _joined(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The components of all links. A label is the least item that its holder is known to be connected with, so what is left to
+    find is which labels the links connect; the least item of a component is its own label."""
+    of = lambda item, label: labels.select(F.col("node").alias(item), F.col("component").alias(label))
+    apart = links.select("a", "b").join(of("a", "la"), "a").join(of("b", "lb"), "b").where("la <> lb")
+    least = components(apart.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    least = least.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return labels.join(least, "component", "left").select("node", F.coalesce("least", "component").alias("component"))
+
+
 def _facts(sets: DataFrame) -> DataFrame:
     """``item, size, lone`` and a parity: how many of a set's hashes no other of these sets holds, and the parity of the rest."""
     held = sets.select("item", F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count("*").alias("n"), F.min("item").alias("item"))
@@ -215,28 +224,28 @@ def _possible(percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int, block: int = BLOCK_BYTES) -> DataFrame:
-    """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold, from ``item, head, bytes`` (of both sets).
+    """The pairs ``a, b`` whose exact Jaccard similarity reaches the threshold, from ``item, head, bytes`` (of both sets); other
+    columns stay.
 
     Pairs are dealt by item into blocks of about ``block`` bytes of sets; a block gets the set of each item once, not once a pair.
     """
     total = pairs.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    fit = pairs.select(F.col("item").alias("a"), F.col("head").alias("b"), F.pmod(F.xxhash64("item"), F.lit(1 + total // block)).alias("block"))
-    left = fit.groupBy("block", "b").agg(F.collect_list("a").alias("members")).join(sets.select(F.col("item").alias("b"), F.col("hashes").alias("y")), "b")
-    own = fit.select(F.col("block").alias("part"), F.col("a").alias("item")).distinct()
-    right = own.join(sets.select("item", F.col("hashes").alias("x")), "item")
+    fit = pairs.withColumnsRenamed({"item": "a", "head": "b"}).drop("bytes").withColumn("block", F.pmod(F.xxhash64("a"), F.lit(1 + total // block)))
+    wanted = fit.select("block", F.explode(F.array("a", "b")).alias("item")).groupBy("item").agg(F.collect_set("block").alias("blocks"))
+    held = wanted.join(sets.select("item", "hashes"), "item").select(F.explode("blocks").alias("part"), "item", "hashes")
 
     def check(one: pa.Table, other: pa.Table) -> pa.Table:
-        own = {a: x.values.to_numpy() for a, x in zip(other.column("item").to_pylist(), other.column("x"))}
-        found = []
-        for b, members, hashes in zip(one.column("b").to_pylist(), one.column("members").to_pylist(), one.column("y")):
-            y = hashes.values.to_numpy()
-            for a in members:
-                x = own[a]
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                shared = int(np.count_nonzero(y[at] == x))
-                if shared * 100 >= (len(x) + len(y) - shared) * percent:
-                    found.append((a, b))
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
-
-    return left.groupBy("block").cogroup(right.groupBy("part")).applyInArrow(check, "a long, b long")
+        own = {item: x.values.to_numpy() for item, x in zip(other.column("item").to_pylist(), other.column("hashes"))}
+        keep = []
+        for a, b in zip(one.column("a").to_pylist(), one.column("b").to_pylist()):
+            x, y = own[a], own.get(b)
+            if y is None:
+                keep.append(False)
+                continue
+            at = np.searchsorted(y, x)
+            at[at == len(y)] = 0
+            shared = int(np.count_nonzero(y[at] == x))
+            keep.append(shared * 100 >= (len(x) + len(y) - shared) * percent)
+        return one.drop_columns(["block"]).filter(pa.array(keep, pa.bool_()))
+
+    return fit.groupBy("block").cogroup(held.groupBy("part")).applyInArrow(check, fit.drop("block").schema)
