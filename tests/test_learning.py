@@ -5,6 +5,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from voltaria.operators import learn as L
+from voltaria.operators import trees as G
 from voltaria.session import scratch_path, stage
 
 
@@ -70,3 +71,55 @@ def test_candidates_are_fitted_at_the_same_time(spark):
     rows = spark.createDataFrame([(1.0, 2.0), (2.0, 3.0)], "x double, label double")
     models = L.fit_all(rows, ["x"], {"one": Waiting(), "other": Waiting()})
     assert list(models) == ["one", "other"] and all(m.stages[-1].getOutputCol() == "seen_2" for m in models.values())
+
+
+@pytest.fixture(scope="module")
+def blocks(spark):
+    """Rows of six blocks over several partitions, with ties, zeros, fractions and a feature that is always 0."""
+    rows = spark.range(0, 30_000, 1, 3).select(
+        (F.col("id") % 6).cast("int").alias("block"),
+        F.floor(F.rand(1) * 40).cast("double").alias("a"),
+        F.when(F.rand(2) < 0.7, F.rand(3) * 10 - 3).otherwise(0.0).alias("b"),
+        (F.col("id") % 3).cast("double").alias("c"),
+        F.lit(0.0).alias("d"),
+    )
+    return stage(rows.withColumn("label", F.rint(F.col("a") * F.abs("b") + F.randn(5) * 8)), "blocks")
+
+
+def test_trees_of_all_folds_are_those_of_spark_ml(blocks):
+    features, estimators = ["a", "b", "c", "d"], L.regressors(trees=6, depth=4)
+    grown = G.fit_folds(blocks, features, estimators)
+    for k in (1, 5):
+        fitted = L.fit_all(blocks.where(F.col("block") < k), features, estimators)
+        held = blocks.where(F.col("block") == k).select(*features, "label")
+        for name, model in fitted.items():
+            ours, theirs = (m[name].stages[-1] for m in ({name: grown[name][k]}, fitted))
+            assert [t.numNodes for t in ours.trees] == [t.numNodes for t in theirs.trees]
+            both = L.predict(grown[name][k], held).withColumnRenamed("prediction", "ours")
+            both = model.transform(both).agg(F.max(F.abs(F.col("ours") - F.col("prediction"))), F.stddev("prediction")).first()
+            assert both[0] < 1e-9 < both[1]
+
+
+def test_jobs_of_cross_validation_do_not_grow_with_folds(spark, blocks):
+    """All folds go through the same passes: more folds are a few more jobs, and not another fit's."""
+
+    def jobs(folds: int) -> int:
+        group = f"folds-{folds}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            L.cross_validate(blocks, ["a", "b"], L.regressors(trees=3, depth=3), folds)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(5) < 1.5 * jobs(1)
+
+
+def test_estimators_that_are_not_grown_are_fitted_fold_by_fold(blocks):
+    """Another kind of regressor, and one whose setting is not covered, still come back for each fold."""
+    from pyspark.ml.regression import LinearRegression
+
+    other = {"linear": LinearRegression(), "absolute": L.regressors(trees=2, depth=2)["boosted"].copy().setLossType("absolute")}
+    assert not G.fit_folds(blocks, ["a", "b"], other)
+    scores = L.cross_validate(blocks, ["a", "b"], other, 2).collect()
+    assert sorted((r.model, r.fold) for r in scores) == [("absolute", 1), ("absolute", 2), ("linear", 1), ("linear", 2)]

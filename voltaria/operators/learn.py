@@ -21,6 +21,7 @@ from voltaria.functions.congestion import congestion_label
 from voltaria.functions.scalar import finite
 from voltaria.operators import metrics as M
 from voltaria.operators.ordered import Series, ordered_cut, running_sum
+from voltaria.operators.trees import fit_folds
 
 SEED = 42
 TRAIN_SHARE = 0.8
@@ -276,10 +277,16 @@ def expanding_folds(df: DataFrame, ts: str = "ts", folds: int = 5) -> DataFrame:
 
 
 def cross_validate(df: DataFrame, features: Iterable[str], estimators: Mapping[str, object], folds: int = 5) -> DataFrame:
-    """Regression metrics per candidate and fold of :func:`expanding_folds`."""
-    out = None
+    """Regression metrics per candidate and fold of :func:`expanding_folds`.
+
+    Candidates that :func:`fit_folds` can grow are fitted to all folds side by side, others fold by fold.
+    """
+    features = list(features)
+    grown, out = fit_folds(df, features, estimators, folds), None
+    rest = {name: estimator for name, estimator in estimators.items() if name not in grown}
     for k in range(1, folds + 1):
-        models = fit_all(df.where(F.col("block") < k), features, estimators)
+        fitted = fit_all(df.where(F.col("block") < k), features, rest)
+        models = {name: grown[name][k] if name in grown else fitted[name] for name in estimators}
         part = compare_regressors(models, df.where(F.col("block") == k)).withColumn("fold", F.lit(k))
         out = part if out is None else out.unionByName(part)
     return out
